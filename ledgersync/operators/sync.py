@@ -183,19 +183,30 @@ def incremental_pull(df: DataFrame, col: str, watermark: str | datetime | None,
     return df if until is None else df.filter(F.col(col) <= ts(until))
 
 
-def bucket_of(key: str, buckets: int) -> Column:
-    """Storage bucket of a key (a NULL key has its own fixed bucket by the hash)."""
-    return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
+def with_bucket(df: DataFrame, key: str, buckets: int, name: str = "bucket") -> DataFrame:
+    """Add the storage bucket of each row; rows without a key are spread by their content."""
+    keyless = F.when(F.col(key).isNull(), F.struct(*[F.col(c) for c in df.columns]))
+    return df.withColumn(name, F.pmod(F.xxhash64(F.col(key).cast("string"), keyless), F.lit(buckets)).cast("int"))
 
 
-def write_keyed(df: DataFrame, path: str, key: str, buckets: int = 64) -> None:
-    """Write a merge target partitioned by key bucket, so upserts rewrite only touched buckets."""
-    keyed = df.withColumn("bucket", bucket_of(key, buckets))
-    keyed.repartition(buckets, "bucket").write.mode("errorifexists").partitionBy("bucket").parquet(path)
+def _laid_out(df: DataFrame, key: str, splits: int) -> DataFrame:
+    """One shuffle that lines files up with buckets, ``splits`` tasks per bucket."""
+    split = F.pmod(F.hash(F.col(key)), F.lit(splits))
+    return df.repartition(F.col("bucket"), split)
+
+
+def write_keyed(df: DataFrame, path: str, key: str, buckets: int = 64, splits: int = 1) -> None:
+    """Write a merge target partitioned by key bucket, so upserts rewrite only touched buckets.
+
+    Choose ``buckets`` for about a gigabyte per bucket; ``splits`` writes a bucket
+    by several tasks where it must be larger.
+    """
+    out = _laid_out(with_bucket(df, key, buckets), key, splits)
+    out.write.mode("errorifexists").partitionBy("bucket").parquet(path)
 
 
 def upsert_into_path(
-    spark: SparkSession, path: str, source: DataFrame, spec: ObjectSpec, buckets: int = 64, **options: object
+    spark: SparkSession, path: str, source: DataFrame, spec: ObjectSpec, buckets: int = 64, splits: int = 1, **options: object
 ) -> None:
     """Merge ``source`` into a ``write_keyed`` folder, rewriting only the touched buckets.
 
@@ -205,17 +216,16 @@ def upsert_into_path(
     half-written target.
     """
     staged_source, staged = scratch_path(spark, "source"), scratch_path(spark, "merged")
-    source.select(*spec.columns).withColumn("bucket", bucket_of(spec.key, buckets)).write.parquet(staged_source)
+    with_bucket(source.select(*spec.columns), spec.key, buckets).write.parquet(staged_source)
     src = spark.read.parquet(staged_source)
     touched = [r[0] for r in src.select("bucket").distinct().collect()]  # at most ``buckets`` small numbers
     if not touched:
         return
     target = spark.read.parquet(path).filter(F.col("bucket").isin(touched)).select(*spec.columns)
-    merged = merge_object(target, src.drop("bucket"), spec, **options)
-    merged.withColumn("bucket", bucket_of(spec.key, buckets)).repartition("bucket").write.partitionBy("bucket").parquet(staged)
+    merged = with_bucket(merge_object(target, src.drop("bucket"), spec, **options), spec.key, buckets)
+    _laid_out(merged, spec.key, splits).write.partitionBy("bucket").parquet(staged)
     (
         spark.read.parquet(staged)
-        .repartition("bucket")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("bucket")
