@@ -1,0 +1,11 @@
+"""Registered queries with their equivalent SQL."""
+
+from __future__ import annotations
+
+from ledgersync.checks.harness import Query
+
+
+def registered() -> dict[str, Query]:
+    from ledgersync.checks.plan_checks import plans
+
+    return dict(plans.items)

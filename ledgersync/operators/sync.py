@@ -221,7 +221,7 @@ def upsert_into_path(
     touched = [r[0] for r in src.select("bucket").distinct().collect()]  # at most ``buckets`` small numbers
     if not touched:
         return
-    target = spark.read.parquet(path).filter(F.col("bucket").isin(touched)).select(*spec.columns)
+    target = spark.read.schema(src.schema).parquet(path).filter(F.col("bucket").isin(touched)).select(*spec.columns)
     merged = with_bucket(merge_object(target, src.drop("bucket"), spec, **options), spec.key, buckets)
     _laid_out(merged, spec.key, splits).write.partitionBy("bucket").parquet(staged)
     (
