@@ -7,10 +7,9 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgersync.registry import ObjectSpec
-from ledgersync.schemas import STAR_DDL, schema_of
+from ledgersync.schemas import STAR_DDL, columns_of
 from ledgersync.sources.star import STAR_VIEWS, StarCatalog, view_sql
 
 AS_OF = "2000-01-01 00:00:00"
@@ -35,7 +34,7 @@ class Query:
 
     def spark(self, session: SparkSession, sf_dir: str) -> DataFrame:
         df = self.build(StarCatalog(session, sf_dir))
-        return df.select(*[F.col(c).cast(_SPARK.get(t, t)).alias(c) for c, t in self.schema])
+        return df.selectExpr(*[f"CAST(`{c}` AS {_SPARK.get(t, t)}) AS `{c}`" for c, t in self.schema])
 
     def oracle(self) -> str | None:
         if self.sql is None:
@@ -48,11 +47,7 @@ class Query:
 def _typed(name: str) -> str:
     """A lease view under the declared column types."""
     text = view_sql(name).format(**{t: t for t in STAR_DDL})
-    fields = schema_of(name).fields
-    cols = []
-    for f in fields:
-        kind = f.dataType.simpleString()
-        cols.append(f"CAST({f.name} AS {_CONTRACT_TYPES.get(kind, kind)}) AS {f.name}")
+    cols = [f"CAST({c} AS {_CONTRACT_TYPES.get(kind, kind)}) AS {c}" for c, kind in columns_of(name)]
     return f"SELECT {', '.join(cols)} FROM ({text}) AS raw"
 
 

@@ -35,7 +35,12 @@ def as_datetime(value: str | date | datetime) -> datetime:
 
 def ts(value: str | date | datetime) -> Column:
     """Zone-less timestamp literal (folds to a constant, so filters still push down)."""
-    return F.lit(as_datetime(value).isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.expr(ts_sql(value))
+
+
+def ts_sql(value: str | date | datetime) -> str:
+    """The same literal as SQL text."""
+    return f"TIMESTAMP_NTZ'{as_datetime(value).isoformat(sep=' ')}'"
 
 
 @dataclass(frozen=True)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgersync.functions.clock import ts
+from ledgersync.functions.clock import ts, ts_sql
 from ledgersync.functions.scalar import split_credit, split_debit
 
 # Ledger accounts and processes of the contract balances.
@@ -37,90 +37,94 @@ DUE_RENT_CODES = (1, 35)
 DUE_RENT_AND_TAX_CODES = (1, 35, 4)
 
 
+def _codes(values: Sequence[int | str]) -> str:
+    """Code list as SQL text."""
+    return ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
+
+
 @dataclass(frozen=True)
 class Bucket:
-    """One conditional sum: rows meeting ``when`` add ``sign`` times the amount.
+    """One conditional sum: rows meeting ``when`` (an SQL condition) add ``sign`` times the amount.
 
     Without a qualifying row the sum is NULL, or ``default`` if given.
     """
 
     name: str
-    when: Column
+    when: str
     sign: int = 1
     default: int | None = None
 
-    def partial(self, amount: Column) -> Column:
-        return F.sum(F.when(self.when, amount * self.sign if self.sign != 1 else amount)).alias(self.name)
+    def _total(self, value: str) -> Column:
+        text = f"SUM({value})" if self.default is None else f"COALESCE(SUM({value}), {self.default})"
+        return F.expr(f"{text} AS {self.name}")
+
+    def total(self, amount: str) -> Column:
+        return self._total(f"CASE WHEN {self.when} THEN {'-' if self.sign < 0 else ''}({amount}) END")
 
-    def final(self) -> Column:
-        total = F.sum(self.name)
-        return (total if self.default is None else F.coalesce(total, F.lit(self.default))).alias(self.name)
+    def retotal(self) -> Column:
+        """The sum over rows that already hold this bucket."""
+        return self._total(self.name)
 
 
-def ledger_amount() -> Column:
-    """Debit plus credit (credits are stored negative)."""
-    return F.coalesce(F.col("debit"), F.lit(0)) + F.coalesce(F.col("credit"), F.lit(0))
+# Debit plus credit (credits are stored negative).
+LEDGER_AMOUNT = "COALESCE(debit, 0) + COALESCE(credit, 0)"
 
 
-def bucket_sums(df: DataFrame, keys: Sequence[str], amount: Column, buckets: Sequence[Bucket], *extra: Column) -> DataFrame:
-    """All buckets in one pass over ``df``."""
-    sums = [b.partial(amount) for b in buckets]
-    if any(b.default is not None for b in buckets):
-        sums = [
-            s if b.default is None else F.coalesce(F.sum(F.when(b.when, amount * b.sign)), F.lit(b.default)).alias(b.name)
-            for s, b in zip(sums, buckets)
-        ]
-    return df.groupBy(*keys).agg(*sums, *extra)
+def bucket_sums(df: DataFrame, keys: Sequence[str], amount: str, buckets: Sequence[Bucket], *extra: Column) -> DataFrame:
+    """All buckets in one pass over ``df``; ``amount`` is an SQL expression."""
+    return df.groupBy(*keys).agg(*[b.total(amount) for b in buckets], *extra)
 
 
-def _balance_terms(prefix: str, cond: Column) -> list[Bucket]:
-    acc = F.col("account_id")
+def _balance_terms(prefix: str, cond: str) -> list[Bucket]:
     return [
-        Bucket(f"{prefix}balance_remaining", cond & acc.isin(*BALANCE_ACCOUNTS)),
-        Bucket(f"{prefix}unearned_finance", cond & (acc == UNEARNED_ACCOUNT), -1),
-        Bucket(f"{prefix}residual", cond & (acc == RESIDUAL_ACCOUNT)),
-        Bucket(f"{prefix}deferred_residual", cond & (acc == DEFERRED_RESIDUAL_ACCOUNT), -1),
-        Bucket(f"{prefix}deferred_expense", cond & (acc == DEFERRED_EXPENSE_ACCOUNT)),
-        Bucket(f"{prefix}security_deposit", cond & (acc == DEPOSIT_ACCOUNT), -1),
+        Bucket(f"{prefix}balance_remaining", f"{cond} AND account_id IN ({_codes(BALANCE_ACCOUNTS)})"),
+        Bucket(f"{prefix}unearned_finance", f"{cond} AND account_id = '{UNEARNED_ACCOUNT}'", -1),
+        Bucket(f"{prefix}residual", f"{cond} AND account_id = '{RESIDUAL_ACCOUNT}'"),
+        Bucket(f"{prefix}deferred_residual", f"{cond} AND account_id = '{DEFERRED_RESIDUAL_ACCOUNT}'", -1),
+        Bucket(f"{prefix}deferred_expense", f"{cond} AND account_id = '{DEFERRED_EXPENSE_ACCOUNT}'"),
+        Bucket(f"{prefix}security_deposit", f"{cond} AND account_id = '{DEPOSIT_ACCOUNT}'", -1),
     ]
 
 
+def gross_bucket(name: str, processes: Sequence[int], cond: str = "TRUE", default: int | None = None) -> Bucket:
+    """Gross receivable under one process list."""
+    return Bucket(name, f"{cond} AND account_id = '{GROSS_ACCOUNT}' AND process_oid IN ({_codes(processes)})", default=default)
+
+
 def snapshot_buckets(as_of: str | datetime) -> list[Bucket]:
     """The contract balances at ``as_of``."""
-    posted, acc, proc = F.col("post_date") <= ts(as_of), F.col("account_id"), F.col("process_oid")
-    gross = posted & (acc == GROSS_ACCOUNT)
+    posted = f"post_date <= {ts_sql(as_of)}"
     return [
-        Bucket("gross_receivable", gross & proc.isin(*GROSS_PROCESSES)),
-        Bucket("original_gross_receivable", gross & proc.isin(*ORIGINAL_GROSS_PROCESSES)),
+        gross_bucket("gross_receivable", GROSS_PROCESSES, posted),
+        gross_bucket("original_gross_receivable", ORIGINAL_GROSS_PROCESSES, posted),
         *_balance_terms("", posted),
     ]
 
 
 def termination_buckets() -> list[Bucket]:
     """Balances moved by the termination process, and gross before it; no date limit."""
-    at_term = F.col("process_oid") == TERMINATION_PROCESS
-    gross = (F.col("account_id") == GROSS_ACCOUNT) & F.col("process_oid").isin(*TERMINATION_GROSS_PROCESSES)
-    return [Bucket("term_gross_receivable", gross), *_balance_terms("term_", at_term)]
+    return [
+        gross_bucket("term_gross_receivable", TERMINATION_GROSS_PROCESSES),
+        *_balance_terms("term_", f"process_oid = {TERMINATION_PROCESS}"),
+    ]
 
 
-def ledger_buckets(gl: DataFrame, account_ids: DataFrame, buckets: Sequence[Bucket], counts: Mapping[str, Column] | None = None) -> DataFrame:
+def ledger_buckets(
+    gl: DataFrame, account_ids: DataFrame, buckets: Sequence[Bucket], counts: Mapping[str, str] | None = None
+) -> DataFrame:
     """Bucket sums per contract from one ledger scan.
 
     The ledger is summed per account id before it meets the account table, so
     only one row per account id is joined and regrouped by contract. ``counts``
-    adds row counts under the given conditions.
+    adds row counts under the given SQL conditions.
     """
     counts = counts or {}
-    per_account = bucket_sums(
-        gl,
-        ["general_ledger_account_id_oid"],
-        ledger_amount(),
-        [Bucket(b.name, b.when, b.sign) for b in buckets],
-        *[F.count(F.when(c, 1)).alias(n) for n, c in counts.items()],
-    )
-    contracts = account_ids.select("general_ledger_account_id_oid", "contract_oid").filter(F.col("contract_oid").isNotNull())
+    plain = [Bucket(b.name, b.when, b.sign) for b in buckets]
+    row_counts = [F.expr(f"COUNT(CASE WHEN {c} THEN 1 END) AS {n}") for n, c in counts.items()]
+    per_account = bucket_sums(gl, ["general_ledger_account_id_oid"], LEDGER_AMOUNT, plain, *row_counts)
+    contracts = account_ids.select("general_ledger_account_id_oid", "contract_oid").filter("contract_oid IS NOT NULL")
     joined = per_account.join(contracts, "general_ledger_account_id_oid")
-    return joined.groupBy("contract_oid").agg(*[b.final() for b in buckets], *[F.sum(n).alias(n) for n in counts])
+    return joined.groupBy("contract_oid").agg(*[b.retotal() for b in buckets], *[F.expr(f"SUM({n}) AS {n}") for n in counts])
 
 
 def ledger_snapshot(gl: DataFrame, account_ids: DataFrame, as_of: str | datetime) -> DataFrame:

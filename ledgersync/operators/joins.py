@@ -27,16 +27,13 @@ def lookup(base: DataFrame, dim: DataFrame, on: On, cols: dict[str, str], how: s
     is pruned and names never clash.
     """
     pairs = _pairs(on)
-    tag = "__k_"
-    right = dim.select(
-        *[F.col(r).alias(f"{tag}{i}") for i, (_, r) in enumerate(pairs)], *[F.col(c).alias(n) for c, n in cols.items()]
+    keys = [f"__k_{i}" for i in range(len(pairs))]
+    right = dim.selectExpr(
+        *[f"`{r}` AS {k}" for k, (_, r) in zip(keys, pairs)], *[f"`{c}` AS `{n}`" for c, n in cols.items()]
     )
-    cond = None
-    for i, (left, _) in enumerate(pairs):
-        term = base[left] == right[f"{tag}{i}"]
-        cond = term if cond is None else cond & term
+    cond = F.expr(" AND ".join(f"`{left}` = {k}" for k, (left, _) in zip(keys, pairs)))
     joined = base.join(right, cond, how)
-    return joined.drop(*[f"{tag}{i}" for i in range(len(pairs))])
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*keys)
 
 
 def star_left(base: DataFrame, dims: Sequence[tuple[DataFrame, On, dict[str, str]]]) -> DataFrame:

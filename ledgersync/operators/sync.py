@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,20 +59,19 @@ def snapshot_diff(
     ``null_safe`` treats NULL as a value and ``new_rows`` flags missing rows.
     """
     names = list(dict.fromkeys(c for m in measures for c in ((m,) if isinstance(m, str) else m)))
-    stored = previous.select(F.col(key).alias("__key"), *[F.col(c).alias(f"__p_{c}") for c in names])
-    joined = current.join(stored, current[key] == stored["__key"], "left")
+    stored = previous.selectExpr(f"`{key}` AS __key", *[f"`{c}` AS `__p_{c}`" for c in names])
+    joined = current.join(stored, F.expr(f"`{key}` = __key"), "left")
 
-    def side(m: str | tuple[str, str], p: str) -> Column:
-        return F.col(p + m) if isinstance(m, str) else F.col(p + m[0]) - F.col(p + m[1])
+    def side(m: str | tuple[str, str], p: str) -> str:
+        return f"`{p}{m}`" if isinstance(m, str) else f"(`{p}{m[0]}` - `{p}{m[1]}`)"
 
-    known = F.col("__key").isNotNull()
-    tests = [
-        (known & ~side(m, "").eqNullSafe(side(m, "__p_"))) if null_safe else (side(m, "") != side(m, "__p_")) for m in measures
-    ]
-    changed = reduce(lambda a, b: a | b, tests)
+    differs = "NOT ({} <=> {})" if null_safe else "{} <> {}"
+    changed = "(" + " OR ".join(differs.format(side(m, ""), side(m, "__p_")) for m in measures) + ")"
+    if null_safe:
+        changed = f"(__key IS NOT NULL AND {changed})"
     if new_rows:
-        changed = changed | ~known
-    out = joined.withColumn(status, F.when(changed, CHANGED).otherwise(UNCHANGED))
+        changed = f"({changed} OR __key IS NULL)"
+    out = joined.withColumn(status, F.expr(f"CASE WHEN {changed} THEN '{CHANGED}' ELSE '{UNCHANGED}' END"))
     return out.drop("__key", *[f"__p_{c}" for c in names])
 
 
@@ -92,24 +90,22 @@ def one_row_per_key(
         raise ValueError(f"on_duplicate={on_duplicate!r}, on_null_key={on_null_key!r}")
     if on_duplicate == "latest" and not latest_by:
         raise ValueError("latest_by is required")
-    cols, is_null = source.columns, F.col(key).isNull()
+    cols = source.columns
     if on_null_key == "drop":
-        source = source.filter(~is_null)
-    row = F.struct(*[F.col(c) for c in [*latest_by, *[c for c in cols if c not in latest_by]]])
-    spread = F.when(is_null, row) if on_null_key == "insert" else F.lit(None).cast("int")
-    grouped = source.groupBy(F.col(key).alias("__k"), spread.alias("__null_row")).agg(
-        F.count(F.lit(1)).alias("__n"), F.max(row).alias("__row")
+        source = source.filter(F.col(key).isNotNull())
+    row = ", ".join(f"`{c}`" for c in [*latest_by, *[c for c in cols if c not in latest_by]])
+    null_row = f"CASE WHEN `{key}` IS NULL THEN struct({row}) END" if on_null_key == "insert" else "CAST(NULL AS INT)"
+    grouped = source.groupBy(F.expr(f"`{key}` AS __k"), F.expr(f"{null_row} AS __null_row")).agg(
+        F.expr("COUNT(1) AS __n"), F.expr(f"MAX(struct({row})) AS __row")
     )
+    rows = "CASE WHEN __k IS NULL THEN __n ELSE 1 END"
     if on_duplicate == "error":
-        clash = F.col("__k").isNotNull() & (F.col("__n") > 1)
-        note = F.concat(F.lit(f"several source rows for {key} = "), F.col("__k").cast("string"))
-        grouped = grouped.withColumn("__n", F.when(clash, F.raise_error(note).cast("bigint")).otherwise(F.col("__n")))
+        fail = f"raise_error(concat('several source rows for {key} = ', CAST(__k AS STRING)))"
+        rows = f"CASE WHEN __k IS NULL THEN __n WHEN __n > 1 THEN CAST({fail} AS BIGINT) ELSE 1 END"
     if on_null_key == "error":
-        bad = F.raise_error(F.lit(f"source row without {key}")).cast("bigint")
-        grouped = grouped.withColumn("__n", F.when(F.col("__k").isNull(), bad).otherwise(F.col("__n")))
-    copies = F.when(F.col("__k").isNull(), F.col("__n")).otherwise(F.when(F.col("__n") > 0, F.lit(1)))
-    repeated = grouped.select("__row", F.explode(F.array_repeat(F.lit(0), copies.cast("int"))))
-    return repeated.select(*[F.col(f"__row.{c}").alias(c) for c in cols])
+        rows = f"CASE WHEN __k IS NULL THEN CAST(raise_error('source row without {key}') AS BIGINT) ELSE {rows} END"
+    repeated = grouped.selectExpr("__row", f"explode(array_repeat(0, CAST({rows} AS INT)))")
+    return repeated.selectExpr(*[f"__row.`{c}` AS `{c}`" for c in cols])
 
 
 def merge_upsert(
@@ -122,7 +118,7 @@ def merge_upsert(
     on_duplicate: str = "error",
     on_null_key: str = "insert",
     latest_by: Sequence[str] = (),
-    defaults: Mapping[str, object] | None = None,
+    defaults: Mapping[str, int | float] | None = None,
     newer_by: str | None = None,
 ) -> DataFrame:
     """Matched rows take ``update_cols``, new rows take ``insert_cols``, other rows stay; nothing is deleted.
@@ -138,26 +134,24 @@ def merge_upsert(
     if lacking:
         raise ValueError(f"source lacks {lacking}")
     src = one_row_per_key(source.select(*needed), key, on_duplicate, on_null_key, latest_by)
-    for c, value in (defaults or {}).items():
-        if c in src.columns:
-            src = src.withColumn(c, F.coalesce(F.col(c), F.lit(value)))
-    s = src.select(*[F.col(c).alias(f"__s_{c}") for c in src.columns], F.lit(True).alias("__in_source"))
+    filled = defaults or {}
+    s = src.selectExpr(
+        *[f"COALESCE(`{c}`, {filled[c]}) AS `__s_{c}`" if c in filled else f"`{c}` AS `__s_{c}`" for c in src.columns],
+        "TRUE AS __in_source",
+    )
     t = target.withColumn("__in_target", F.lit(True))
-    joined = t.join(s, t[key] == s[f"__s_{key}"], "full")
-    has_s, has_t = F.col("__in_source").isNotNull(), F.col("__in_target").isNotNull()
-    take = has_s
+    joined = t.join(s, F.expr(f"`{key}` = `__s_{key}`"), "full")
+    take = "__in_source"
     if newer_by:
-        take = has_s & (~has_t | F.col(newer_by).isNull() | (F.col(f"__s_{newer_by}") >= F.col(newer_by)))
+        take = f"__in_source AND (`{newer_by}` IS NULL OR `__s_{newer_by}` >= `{newer_by}`)"
 
-    def merged(c: str) -> Column:
-        kind = target.schema[c].dataType
-        new = F.col(f"__s_{c}").cast(kind) if f"__s_{c}" in joined.columns else F.lit(None).cast(kind)
-        value = F.when(~has_t, new if c in inserts else F.lit(None).cast(kind))
-        if c in updates:
-            value = value.when(take, new)
-        return value.otherwise(F.col(c)).alias(c)
+    def merged(c: str, kind: str) -> str:
+        new = f"CAST(`__s_{c}` AS {kind})" if c in src.columns else f"CAST(NULL AS {kind})"
+        inserted = new if c in inserts else f"CAST(NULL AS {kind})"
+        updated = f"WHEN {take} THEN {new}" if c in updates else ""
+        return f"CASE WHEN __in_target IS NULL THEN {inserted} {updated} ELSE `{c}` END AS `{c}`"
 
-    return joined.select(*[merged(c) for c in cols])
+    return joined.selectExpr(*[merged(f.name, f.dataType.simpleString()) for f in target.schema.fields])
 
 
 def merge_object(target: DataFrame, source: DataFrame, spec: ObjectSpec, **options: object) -> DataFrame:

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgersync.functions.clock import ts
+from ledgersync.functions.clock import ts, ts_sql
 from ledgersync.functions.predicates import contract_scope
 from ledgersync.functions.scalar import days_past_due, default, net_investment
 from ledgersync.operators.aggregates import (
@@ -17,7 +17,7 @@ from ledgersync.operators.aggregates import (
     TERMINATED_EXCLUDED_STATES,
     TERMINATION_GROSS_PROCESSES,
     TERMINATION_PROCESS,
-    Bucket,
+    gross_bucket,
     ledger_buckets,
     oldest_unpaid,
     snapshot_buckets,
@@ -46,8 +46,8 @@ _TERMS = ("balance_remaining", "unearned_finance", "residual", "deferred_residua
 
 def contract_ledger(cat: TableCatalog, as_of: str | datetime) -> DataFrame:
     """Balances at ``as_of`` and at termination, from a single ledger scan."""
-    posted = F.col("post_date") <= ts(as_of)
-    gl = cat.read("general_ledger").filter(posted | F.col("process_oid").isin(*TERMINATION_GROSS_PROCESSES, TERMINATION_PROCESS))
+    posted, at_term = f"post_date <= {ts_sql(as_of)}", (*TERMINATION_GROSS_PROCESSES, TERMINATION_PROCESS)
+    gl = cat.read("general_ledger").filter(f"{posted} OR process_oid IN {at_term}")
     buckets = [*snapshot_buckets(as_of), *termination_buckets()]
     out = ledger_buckets(gl, cat.read("general_ledger_account_id"), buckets, {"posted_rows": posted})
     # The original gross is 0, not NULL, for a contract with any posted row.
@@ -104,12 +104,12 @@ def accounting(
 
 def gross_definition_check(cat: TableCatalog) -> DataFrame:
     """Terminated contracts on which two definitions of the gross receivable disagree."""
-    gross, proc = F.col("account_id") == GROSS_ACCOUNT, F.col("process_oid")
     buckets = [
-        Bucket("gross_receivable", gross & proc.isin(*TERMINATION_GROSS_PROCESSES), default=0),
-        Bucket("gross_receivable_narrow", gross & proc.isin(*NARROW_GROSS_PROCESSES), default=0),
+        gross_bucket("gross_receivable", TERMINATION_GROSS_PROCESSES, default=0),
+        gross_bucket("gross_receivable_narrow", NARROW_GROSS_PROCESSES, default=0),
     ]
-    gl = cat.read("general_ledger").filter(gross & proc.isin(*TERMINATION_GROSS_PROCESSES))
+    gross = (F.col("account_id") == GROSS_ACCOUNT) & F.col("process_oid").isin(*TERMINATION_GROSS_PROCESSES)
+    gl = cat.read("general_ledger").filter(gross)
     sums = ledger_buckets(gl, cat.read("general_ledger_account_id"), buckets)
     ended = contract_scope(cat.read("contract"), terminated=1).select("contract_oid")
     # A contract without such rows has 0 on both sides and cannot disagree.

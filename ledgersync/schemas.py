@@ -6,6 +6,8 @@ Times are zone-less (``timestamp_ntz``), as the ledger's date-times are; money i
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql.types import StructType
 
 _AUDIT = "last_change_operator string, last_change_datetime timestamp_ntz"
@@ -124,3 +126,8 @@ def schema_of(table: str, ddl: dict[str, str] = LEASE_DDL) -> StructType:
         return StructType.fromDDL(ddl[table])
     except KeyError:
         raise KeyError(f"unknown table {table!r}") from None
+
+
+def columns_of(table: str, ddl: dict[str, str] = LEASE_DDL) -> list[tuple[str, str]]:
+    """(column, type) pairs of a table, without a session."""
+    return re.findall(r"(\w+) (\w+(?:\(\d+,\d+\))?)", ddl[table])

@@ -8,7 +8,6 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgersync.schemas import LEASE_DDL
@@ -34,10 +33,10 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
         if len(hits) != 1:
             (unclear if hits else missing).append(f.name)
             continue
-        cols.append(F.col(f"`{hits[0]}`").cast(f.dataType).alias(f.name))
+        cols.append(f"CAST(`{hits[0]}` AS {f.dataType.simpleString()}) AS `{f.name}`")
     if missing or unclear:
         raise ValueError(f"missing columns {missing}, ambiguous columns {unclear} among {df.columns}")
-    return df.select(*cols)
+    return df.selectExpr(*cols)
 
 
 @dataclass
@@ -58,6 +57,7 @@ class TableCatalog:
     crm_root: str | None = None
     fmt: str = "parquet"
     ddl: Mapping[str, str] = field(default_factory=lambda: dict(LEASE_DDL))
+    _tables: dict[str, DataFrame] = field(default_factory=dict, init=False, repr=False)
 
     def _load(self, name: str) -> DataFrame:
         spec = self.overrides.get(name)
@@ -78,10 +78,11 @@ class TableCatalog:
         return reader.load(spec)
 
     def read(self, name: str, schema: StructType | str | None = None) -> DataFrame:
-        """The table ``name`` under its declared column contract."""
-        if schema is None:
-            schema = self.ddl.get(name)
-        df = self._load(name)
-        if schema is None:
-            return df
-        return conform(df, StructType.fromDDL(schema) if isinstance(schema, str) else schema)
+        """The table ``name`` under its declared column contract (one plan per name and catalog)."""
+        if schema is not None:
+            return conform(self._load(name), StructType.fromDDL(schema) if isinstance(schema, str) else schema)
+        if name not in self._tables:
+            df = self._load(name)
+            declared = self.ddl.get(name)
+            self._tables[name] = df if declared is None else conform(df, StructType.fromDDL(declared))
+        return self._tables[name]

@@ -7,8 +7,6 @@ so the same code runs on a real ledger through ``TableCatalog``.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -361,12 +359,9 @@ def star_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(schema_of(name, STAR_DDL)).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-@dataclass
 class StarCatalog(TableCatalog):
     """A ``TableCatalog`` whose lease tables are views over the star tables in ``root``."""
 
-    overrides: Mapping[str, Any] = field(default_factory=dict)
-
     def star(self, name: str) -> DataFrame:
         return star_table(self.spark, self.root, name)
 
