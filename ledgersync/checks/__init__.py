@@ -6,6 +6,7 @@ from ledgersync.checks.harness import Query
 
 
 def registered() -> dict[str, Query]:
+    from ledgersync.checks.operator_checks import operators
     from ledgersync.checks.plan_checks import plans
 
-    return dict(plans.items)
+    return {**operators.items, **plans.items}

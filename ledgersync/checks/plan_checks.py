@@ -25,8 +25,11 @@ from ledgersync.operators.sync import merge_object
 from ledgersync.plans import accounting as acc
 from ledgersync.plans import amortization as am
 from ledgersync.plans import banking, contracts, delinquency, equipment, invoices, journal, notes, payments, schedules, tax
-from ledgersync.registry import OBJECTS
+from ledgersync.operators.sets import union_arms
+from ledgersync.registry import OBJECTS, PUBLISHED
+from ledgersync.session import scratch_path
 from ledgersync.sources.inline import vendor_rows
+from ledgersync.sources.sink import publish_all
 from ledgersync.sources.star import StarCatalog
 
 plans = Registry()
@@ -835,3 +838,47 @@ plans.add(
         WHERE c.is_booked = 1 AND c.company_oid = 1 AND c.is_terminated = 1 GROUP BY c.contract_oid
         HAVING gross_receivable <> gross_receivable_narrow""",
 )
+
+# --- publication --------------------------------------------------------------------------
+
+_PUBLISHED_PLANS = {
+    "accounting": ("p01_accounting_snapshot", lambda c: acc.accounting(c, AS_OF)),
+    "eft_alt_schedule": ("p04_alternate_schedule", banking.alternate_schedules),
+    "eft_assignment": ("p05_auto_debit_assignment", banking.assignments),
+    "equipment": ("p13_equipment", equipment.equipment),
+    "invoice": ("p06_invoice_lines", invoices.invoice_lines),
+    "notes": (None, lambda c: notes.notes(c, AS_OF)),
+    "payment": ("p08_applied_payments", lambda c: payments.applied(c).filter(F.col("cash_receipt_detail_oid").isNotNull())),
+    "scheduled_billables": ("p09_scheduled_billables", schedules.scheduled_billables),
+    "total_payments": ("p10_total_payments", schedules.total_payments),
+    "phone": ("p12_phone", contracts.phones),
+    "amortization": ("p16_amortization", am.amortization),
+    "collector": ("p02_collector", contracts.collectors),
+    "contract": ("p03_contract", contracts.contracts),
+}
+
+
+def _published(cat: StarCatalog) -> DataFrame:
+    """Publish every registered object and list what landed: object, key field and row count."""
+    staged = {n: build(cat) for n, (_, build) in _PUBLISHED_PLANS.items()}
+    paths = publish_all(staged, scratch_path(cat.spark, "publish"), "b1")
+    keys = dict(PUBLISHED)
+    landed = []
+    for n, path in paths.items():
+        count = cat.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("batch_rows"))
+        landed.append(count.selectExpr(f"'{n}' AS object", f"'{OBJECTS[n].fields[keys[n]]}' AS key_field", "batch_rows"))
+    return union_arms(*landed)
+
+
+def _published_sql() -> str:
+    arms = []
+    for n, key in PUBLISHED:
+        name = _PUBLISHED_PLANS[n][0]
+        body = notes_sql(1) if name is None else plans.items[name].sql
+        arms.append(
+            f"SELECT '{n}' AS object, '{OBJECTS[n].fields[key]}' AS key_field, COUNT(*) AS batch_rows FROM ({body}) AS b WHERE {key} IS NOT NULL"
+        )
+    return " UNION ALL ".join(arms)
+
+
+plans.add("p23_published_batches", "object string, key_field string, batch_rows bigint", _published, _published_sql())
