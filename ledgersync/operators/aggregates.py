@@ -164,28 +164,38 @@ def sign_split(df: DataFrame, net: str, debit: str = "debit", credit: str = "cre
     return df.withColumn(debit, split_debit(net)).withColumn(credit, split_credit(net))
 
 
-def _header_balance(details: DataFrame, payments: DataFrame, as_of: str | datetime, codes: Sequence[int],
-                    due_side: Column, paid_side: Column) -> DataFrame:
-    """Due amount per (contract, header, due date) and paid amount per (contract, header)."""
-    now = ts(as_of)
+def oldest_unpaid_by(
+    details: DataFrame,
+    payments: DataFrame,
+    as_of: str | datetime,
+    due_excluded: Mapping[str, Sequence[int]],
+    codes: Sequence[int] = RENT_CODES,
+    paid_excluded: Sequence[int] = CLOSED_STATES,
+) -> DataFrame:
+    """Oldest due date per contract among invoices not fully paid, under several state rules at once.
+
+    ``due_excluded`` names an output column per list of invoice states that do not
+    count as due. Lines and payments are read once for all rules.
+    """
+    now, state = ts(as_of), F.col("open_closed_oid")
     paid = (
-        payments.filter(F.col("applied_date") <= now)
-        .groupBy("invoice_detail_oid")
-        .agg(F.sum("applied_amount").alias("paid"))
+        payments.filter(F.col("applied_date") <= now).groupBy("invoice_detail_oid").agg(F.sum("applied_amount").alias("paid"))
     )
-    d = details.filter((F.col("due_date") <= now) & F.col("transaction_code_oid").isin(*codes) & (due_side | paid_side))
-    lines = (
+    d = details.filter((F.col("due_date") <= now) & F.col("transaction_code_oid").isin(*codes) & state.isNotNull())
+    per_date = (
         d.join(paid, "invoice_detail_oid", "left")
         .groupBy("contract_oid", "invoice_header_oid", "due_date")
         .agg(
-            F.count(F.when(due_side, 1)).alias("due_lines"),
-            F.sum(F.when(due_side, F.col("original_due_amount"))).alias("due"),
-            F.sum(F.when(paid_side, F.col("paid"))).alias("paid"),
+            F.sum(F.when(~state.isin(*paid_excluded), F.col("paid"))).alias("paid"),
+            *[F.sum(F.when(~state.isin(*states), F.col("original_due_amount"))).alias(n) for n, states in due_excluded.items()],
         )
     )
     # One row per due date is left, so the window holds few rows even for a hot header.
-    per_header = W.partitionBy("contract_oid", "invoice_header_oid")
-    return lines.withColumn("header_paid", F.sum("paid").over(per_header)).filter(F.col("due_lines") > 0)
+    header = W.partitionBy("contract_oid", "invoice_header_oid")
+    open_dates = per_date.withColumn("header_paid", F.coalesce(F.sum("paid").over(header), F.lit(0)))
+    # No qualifying line leaves the due sum NULL, which is never above the payments.
+    oldest = [F.min(F.when(F.col(n) > F.col("header_paid"), F.col("due_date"))).alias(n) for n in due_excluded]
+    return open_dates.groupBy("contract_oid").agg(*oldest)
 
 
 def oldest_unpaid(
@@ -197,10 +207,8 @@ def oldest_unpaid(
     paid_excluded: Sequence[int] = CLOSED_STATES,
 ) -> DataFrame:
     """Oldest due date per contract among invoices not fully paid at ``as_of``."""
-    state = F.col("open_closed_oid")
-    balance = _header_balance(details, payments, as_of, codes, ~state.isin(*due_excluded), ~state.isin(*paid_excluded))
-    remaining = F.col("due") - F.coalesce(F.col("header_paid"), F.lit(0))
-    return balance.filter(remaining > 0).groupBy("contract_oid").agg(F.min("due_date").alias("oldest_due"))
+    out = oldest_unpaid_by(details, payments, as_of, {"oldest_due": due_excluded}, codes, paid_excluded)
+    return out.filter(F.col("oldest_due").isNotNull())
 
 
 def invoice_settlement(invoices: DataFrame, payments: DataFrame) -> DataFrame:

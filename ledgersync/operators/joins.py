@@ -104,29 +104,41 @@ def interval_join(
     return events.join(s, cond, "inner").drop("__key")
 
 
-_RADIX = 32
+_LEVELS = 5  # day blocks of 1, 8, 64, 512 and 4096 days
+_EDGE = 9  # code level of the partial first and last days
+_ORIGIN = "DATE'0001-01-01'"
 
 
-def _range(lo: Column, hi: Column) -> Column:
-    """Whole numbers ``lo <= n < hi``, possibly none."""
-    return F.when(lo < hi, F.sequence(lo, hi - 1)).otherwise(F.array().cast("array<bigint>"))
+def _code(level: int, block: str) -> str:
+    """One number for (level, block)."""
+    return f"({level << 32}L + {block})"
 
 
-def _blocks(lo: Column, hi: Column) -> Column:
-    """Cover the day numbers ``lo <= d < hi`` by few aligned blocks of 1, 32 and 1024 days."""
-    lo1, hi1 = F.ceil(lo / _RADIX), F.floor(hi / _RADIX)
-    lo2, hi2 = F.ceil(lo1 / _RADIX), F.floor(hi1 / _RADIX)
-    fits1, fits2 = lo1 < hi1, lo2 < hi2
-    days = F.when(fits1, F.concat(_range(lo, lo1 * _RADIX), _range(hi1 * _RADIX, hi))).otherwise(_range(lo, hi))
-    mid = F.when(fits1 & fits2, F.concat(_range(lo1, lo2 * _RADIX), _range(hi2 * _RADIX, hi1))).otherwise(
-        F.when(fits1, _range(lo1, hi1)).otherwise(F.array().cast("array<bigint>"))
-    )
-    top = F.when(fits1 & fits2, _range(lo2, hi2)).otherwise(F.array().cast("array<bigint>"))
+def _run(level: int, lo: str, hi: str) -> str:
+    """Codes of the blocks ``lo <= b < hi`` of a level, possibly none."""
+    return f"IF({lo} < {hi}, sequence({_code(level, lo)}, {_code(level, hi)} - 1L), CAST(array() AS ARRAY<BIGINT>))"
+
 
-    def tagged(level: int, blocks: Column) -> Column:
-        return F.transform(blocks, lambda b: F.struct(F.lit(level).alias("level"), b.cast("bigint").alias("block")))
+def _with_blocks(df: DataFrame, lo: str, hi: str, out: str) -> DataFrame:
+    """Add the codes of the few aligned day blocks that exactly cover ``lo <= day < hi``.
 
-    return F.concat(tagged(0, days), tagged(1, mid), tagged(2, top))
+    Level by level, the days that do not fill a block of the next level stay where
+    they are and the rest moves up.
+    """
+    df = df.withColumns({"__lo0": F.expr(lo), "__hi0": F.expr(hi)})
+    parts, steps = [], ["__lo0", "__hi0"]
+    for lv in range(_LEVELS):
+        a, z = f"__lo{lv}", f"__hi{lv}"
+        rest = _run(lv, a, z)
+        if lv < _LEVELS - 1:
+            up_a, up_z = f"__lo{lv + 1}", f"__hi{lv + 1}"
+            df = df.withColumns({up_a: F.expr(f"shiftright({a} + 7, 3)"), up_z: F.expr(f"shiftright({z}, 3)")})
+            steps += [up_a, up_z]
+            split = f"concat({_run(lv, a, f'{up_a} * 8')}, {_run(lv, f'{up_z} * 8', z)})"
+            rest = f"IF({up_a} < {up_z}, {split}, {rest})"
+        moved_up = " AND ".join(f"__lo{i} < __hi{i}" for i in range(1, lv + 1)) or "TRUE"
+        parts.append(f"IF({moved_up}, {rest}, CAST(array() AS ARRAY<BIGINT>))")
+    return df.withColumn(out, F.expr(f"concat({', '.join(parts)})")).drop(*steps)
 
 
 def interval_min(
@@ -143,64 +155,48 @@ def interval_min(
     """Events inside at least one span of their key, with the least of each span value.
 
     Equal to ``interval_join`` followed by ``min`` per event, without building the
-    (event, span) pairs: whole days of a span become aligned day blocks whose
-    minima are taken once, so an event probes three blocks however many spans its
-    key has. Only the partial first and last day of a span compares clock times,
-    again against spans already reduced to one row per clock time.
+    (event, span) pairs: the whole days of a span become aligned day blocks whose
+    minima are taken once, so an event probes one row per block size however many
+    spans its key has. Only the partial first and last day of a span compares clock
+    times, again against spans already reduced to one row per clock time.
     ``event_id`` must identify an event.
     """
-    until = F.coalesce(F.col(end), ts(as_of))
-    origin = F.lit("1970-01-01").cast("date")
-
-    def day(c: Column) -> Column:
-        return F.datediff(F.to_date(c), origin).cast("bigint")
-
-    def midnight(c: Column) -> Column:
-        return c == F.to_date(c).cast("timestamp_ntz")
-
     mins = [F.min(v).alias(v) for v in values]
+    day = f"CAST(datediff(to_date({{}}), {_ORIGIN}) AS BIGINT)".format
+    active = events.select(F.col(key)).distinct()
     sp = (
-        spans.select(F.col(key), F.col(start).alias("__from"), until.alias("__to"), *values)
-        .filter(F.col(key).isNotNull() & (F.col("__from") <= F.col("__to")))
-        .groupBy(key, "__from", "__to")
-        .agg(*mins)
-    )
-    first_full = day(F.col("__from")) + F.when(midnight(F.col("__from")), 0).otherwise(1)
-    whole = (
-        sp.select(key, *values, F.explode(_blocks(first_full, day(F.col("__to")))).alias("__b"))
-        .groupBy(key, F.col("__b.level").alias("__level"), F.col("__b.block").alias("__block"))
-        .agg(*mins)
+        spans.select(F.col(key), F.col(start).alias("__from"), F.coalesce(F.col(end), ts(as_of)).alias("__to"), *values)
+        .filter(F.col("__from") <= F.col("__to"))
+        .join(active, key, "left_semi")
+        .withColumns(
+            {
+                "__first": F.expr(day("__from")),
+                "__last": F.expr(day("__to")),
+                "__midnight": F.expr("__from = CAST(to_date(__from) AS TIMESTAMP_NTZ)"),
+            }
+        )
     )
-    f_day, t_day, one_day = day(F.col("__from")), day(F.col("__to")), F.col("__one_day")
-    sp = sp.withColumn("__one_day", day(F.col("__from")) == day(F.col("__to")))
-    edges = (
-        sp.withColumn("__day", F.explode(F.array_distinct(F.array(f_day, t_day))))
-        # A first day that is whole is already covered by the blocks, unless it is also the last day.
-        .filter(one_day | (F.col("__day") == t_day) | ~midnight(F.col("__from")))
-        # On a first day only the start matters, on a last day only the end: open spans of a key
-        # all collapse into one row there.
-        .withColumn("__lo", F.when(one_day | (F.col("__day") == f_day), F.col("__from")))
-        .withColumn("__hi", F.when(one_day | (F.col("__day") == t_day), F.col("__to")))
-        .groupBy(F.col(key).alias("__key"), "__day", "__lo", "__hi")
-        .agg(*mins)
+    sp = _with_blocks(sp, "IF(__midnight, __first, __first + 1)", "__last", "__blocks")
+    # A first day that starts at midnight is whole, hence among the blocks, unless it is also the last day.
+    edges = f"IF(__midnight OR __first = __last, array({_code(_EDGE, '__last')}), array({_code(_EDGE, '__first')}, {_code(_EDGE, '__last')}))"
+    sp = sp.withColumn("__code", F.explode(F.expr(f"concat(__blocks, {edges})")))
+    # On a first day only the start matters, on a last day only the end: open spans collapse to one row there.
+    sp = sp.withColumns(
+        {
+            "__after": F.expr(f"IF(__code = {_code(_EDGE, '__first')}, __from, NULL)"),
+            "__until": F.expr(f"IF(__code = {_code(_EDGE, '__last')}, __to, NULL)"),
+        }
     )
-    ev = events.filter(F.col(at).isNotNull()).select(F.col(event_id), F.col(key), F.col(at).alias("__at"))
-    ev = ev.withColumn("__day", day(F.col("__at")))
-    steps = F.array(
-        *[
-            F.struct(F.lit(lv).alias("level"), F.floor(F.col("__day") / (_RADIX**lv)).cast("bigint").alias("block"))
-            for lv in (0, 1, 2)
-        ]
-    )
-    probe = ev.select(event_id, key, F.explode(steps).alias("__p")).select(
-        event_id, key, F.col("__p.level").alias("__level"), F.col("__p.block").alias("__block")
+    sp = sp.groupBy(key, "__code", "__after", "__until").agg(*mins)
+
+    probes = [_code(lv, f"shiftright(__day, {3 * lv})") for lv in range(_LEVELS)] + [_code(_EDGE, "__day")]
+    probe = (
+        events.select(event_id, key, F.col(at).alias("__at"))
+        .withColumn("__day", F.expr(day("__at")))
+        .select(event_id, key, "__at", F.explode(F.expr(f"array({', '.join(probes)})")).alias("__code"))
     )
-    hits = probe.join(whole, [key, "__level", "__block"]).select(event_id, *values)
-    after = F.col("__lo").isNull() | (F.col("__at") >= F.col("__lo"))
-    before = F.col("__hi").isNull() | (F.col("__at") <= F.col("__hi"))
-    on_edge = (F.col(key) == F.col("__key")) & (ev["__day"] == edges["__day"]) & after & before
-    edge_hits = ev.join(edges, on_edge).select(event_id, *values)
-    best = hits.unionByName(edge_hits).groupBy(event_id).agg(*mins)
+    inside = "(__after IS NULL OR __at >= __after) AND (__until IS NULL OR __at <= __until)"
+    best = probe.join(sp, [key, "__code"]).filter(inside).groupBy(event_id).agg(*mins)
     return events.join(best, event_id)
 
 

@@ -19,7 +19,7 @@ from ledgersync.operators.aggregates import (
     TERMINATION_PROCESS,
     gross_bucket,
     ledger_buckets,
-    oldest_unpaid,
+    oldest_unpaid_by,
     snapshot_buckets,
     termination_buckets,
 )
@@ -57,10 +57,9 @@ def contract_ledger(cat: TableCatalog, as_of: str | datetime) -> DataFrame:
 
 def days_due(cat: TableCatalog, as_of: str | datetime, contracts: DataFrame) -> DataFrame:
     """Days past due of active contracts, and at termination of terminated ones."""
-    details, paid = cat.read("invoice_detail"), cat.read("invoice_payment_history")
-    now = oldest_unpaid(details, paid, as_of).withColumnRenamed("oldest_due", "due_now")
-    term = oldest_unpaid(details, paid, as_of, due_excluded=TERMINATED_EXCLUDED_STATES, paid_excluded=CLOSED_STATES)
-    out = contracts.join(now, "contract_oid", "left").join(term.withColumnRenamed("oldest_due", "due_term"), "contract_oid", "left")
+    rules = {"due_now": CLOSED_STATES, "due_term": TERMINATED_EXCLUDED_STATES}
+    oldest = oldest_unpaid_by(cat.read("invoice_detail"), cat.read("invoice_payment_history"), as_of, rules)
+    out = contracts.join(oldest, "contract_oid", "left")
     active, ended = F.col("is_terminated") == 0, F.col("is_terminated") == 1
     return out.withColumn("dpd", default(F.when(active, days_past_due("due_now", ts(as_of))), 0)).withColumn(
         "dpd_at_termination", default(F.when(ended, days_past_due("due_term", "termination_date")), 0)

@@ -20,6 +20,11 @@ _MACROS = {
     "@PRICE": "CAST(l_extendedprice AS DECIMAL(18,2))",
     "@TAX": "CAST(l_tax * 100 AS DECIMAL(18,2))",
     "@KEY": "(l_orderkey * 10 + l_linenumber)",
+    # Least and greatest flag or status, taken over numbers (text extremes would force sorted aggregation).
+    "@MINFLAG": "(CASE MIN(@FLAG) WHEN 0 THEN 'A' WHEN 1 THEN 'N' ELSE 'R' END)",
+    "@MAXFLAG": "(CASE MAX(@FLAG) WHEN 0 THEN 'A' WHEN 1 THEN 'N' ELSE 'R' END)",
+    "@MINSTATUS": "(CASE MIN(CASE l_linestatus WHEN 'F' THEN 0 ELSE 1 END) WHEN 0 THEN 'F' ELSE 'O' END)",
+    "@MAXSTATUS": "(CASE MAX(CASE l_linestatus WHEN 'F' THEN 0 ELSE 1 END) WHEN 0 THEN 'F' ELSE 'O' END)",
     "@FLAG": "(CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END)",
     "@PRIO": "CAST(SUBSTR(o_orderpriority, 1, 1) AS INT)",
     "@TOTAL": "CAST(o_totalprice AS DECIMAL(18,2))",
@@ -144,7 +149,7 @@ STAR_VIEWS: dict[str, str] = {
     "invoice_header": """
         SELECT l_orderkey * 10 + l_linenumber % 3 AS invoice_header_oid, l_orderkey AS contract_oid,
           MIN(l_shipdate) AS invoice_date, MIN(l_shipdate) + INTERVAL 30 DAY AS due_date,
-          CASE WHEN MAX(l_tax) > 0.01 THEN 1 ELSE 0 END AS is_posted, MAX(l_returnflag) AS last_change_operator,
+          CASE WHEN MAX(l_tax) > 0.01 THEN 1 ELSE 0 END AS is_posted, @MAXFLAG AS last_change_operator,
           MAX(l_shipdate) AS last_change_datetime
         FROM {lineitem} GROUP BY l_orderkey, l_orderkey * 10 + l_linenumber % 3""",
     "invoice_detail": """
@@ -152,22 +157,22 @@ STAR_VIEWS: dict[str, str] = {
           l_orderkey AS contract_oid, @KEY AS contract_item_oid,
           CASE l_linenumber WHEN 1 THEN 1 WHEN 2 THEN 35 WHEN 3 THEN 25 WHEN 4 THEN 4 WHEN 5 THEN 37 WHEN 6 THEN 43
                ELSE 99 END AS transaction_code_oid,
-          CASE WHEN MIN(l_returnflag) = 'R' THEN 11022 WHEN MIN(l_returnflag) = 'N' THEN 11021 ELSE 11020 END AS open_closed_oid,
+          CASE WHEN @MINFLAG = 'R' THEN 11022 WHEN @MINFLAG = 'N' THEN 11021 ELSE 11020 END AS open_closed_oid,
           MIN(-1 - l_suppkey) AS location_oid, CAST(SUM(@PRICE) AS DECIMAL(18,2)) AS original_due_amount,
           CAST(SUM(CASE WHEN l_linestatus = 'O' THEN @PRICE ELSE 0 END) AS DECIMAL(18,2)) AS current_due_amount,
-          MIN(l_shipdate) AS due_date, CASE WHEN MAX(l_linestatus) = 'F' THEN 1 ELSE 0 END AS is_paid,
-          MAX(l_returnflag) AS last_change_operator, MAX(l_shipdate) AS last_change_datetime
+          MIN(l_shipdate) AS due_date, CASE WHEN @MAXSTATUS = 'F' THEN 1 ELSE 0 END AS is_paid,
+          @MAXFLAG AS last_change_operator, MAX(l_shipdate) AS last_change_datetime
         FROM {lineitem} GROUP BY l_orderkey, l_linenumber""",
     "invoice_payment_history": """
         SELECT @KEY AS invoice_detail_oid, @PRICE AS applied_amount, l_shipdate + INTERVAL 5 DAY AS applied_date,
           l_shipdate + INTERVAL 6 DAY AS post_date FROM {lineitem} WHERE l_linestatus = 'F'""",
     "payment": """
         SELECT @KEY AS payment_oid, l_orderkey AS contract_oid, 'REF' || CAST(MAX(l_partkey) AS STRING) AS reference_number,
-          CASE MIN(l_returnflag) WHEN 'A' THEN 9001 WHEN 'N' THEN 9002 ELSE 9009 END AS payment_method_oid,
+          CASE @MINFLAG WHEN 'A' THEN 9001 WHEN 'N' THEN 9002 ELSE 9009 END AS payment_method_oid,
           CAST(SUM(@PRICE) AS DECIMAL(18,2)) AS amount, MAX(l_shipdate) + INTERVAL 6 DAY AS post_date,
           MAX(l_shipdate) + INTERVAL 5 DAY AS effective_date, CASE WHEN MAX(l_quantity) > 3 THEN 1 ELSE 0 END AS is_posted,
-          CASE MIN(l_returnflag) WHEN 'R' THEN 1 WHEN 'N' THEN 0 WHEN 'A' THEN CASE WHEN MAX(l_tax) > 0.04 THEN 0 END END AS is_returned,
-          MAX(l_returnflag) AS last_change_operator, MAX(l_shipdate) AS last_change_datetime
+          CASE @MINFLAG WHEN 'R' THEN 1 WHEN 'N' THEN 0 WHEN 'A' THEN CASE WHEN MAX(l_tax) > 0.04 THEN 0 END END AS is_returned,
+          @MAXFLAG AS last_change_operator, MAX(l_shipdate) AS last_change_datetime
         FROM {lineitem} WHERE l_linestatus = 'F' GROUP BY l_orderkey, l_linenumber""",
     "cash_receipt_header": """
         SELECT DISTINCT @KEY AS cash_receipt_header_oid, @KEY AS payment_oid, 'Receipt ' || CAST(l_linenumber AS STRING) AS description
@@ -176,7 +181,7 @@ STAR_VIEWS: dict[str, str] = {
         SELECT DISTINCT @KEY AS cash_receipt_billable_oid, @KEY AS cash_receipt_header_oid FROM {lineitem} WHERE l_linestatus = 'F'""",
     "cash_receipt_detail": """
         SELECT @KEY * 3 + @FLAG AS cash_receipt_detail_oid, @KEY AS cash_receipt_billable_oid, @KEY AS invoice_detail_oid,
-          CAST(SUM(@PRICE) AS DECIMAL(18,2)) AS applied_amount, MAX(l_returnflag) AS last_change_operator,
+          CAST(SUM(@PRICE) AS DECIMAL(18,2)) AS applied_amount, @MAXFLAG AS last_change_operator,
           MAX(l_shipdate) + INTERVAL 2 DAY AS last_change_datetime
         FROM {lineitem} WHERE l_linestatus = 'F' AND l_discount > 0
         GROUP BY l_orderkey, l_linenumber, l_returnflag""",
@@ -185,7 +190,7 @@ STAR_VIEWS: dict[str, str] = {
           CASE WHEN l_linenumber = 6 THEN NULL ELSE l_orderkey END AS contract_term_oid,
           l_orderkey * 10 + l_linenumber % 2 AS schedule_definition_oid, MIN(l_shipdate) AS start_date,
           CAST(SUM(l_quantity) AS BIGINT) AS occurrences, CASE l_linenumber % 2 WHEN 0 THEN '1' ELSE '3' END AS frequency,
-          CASE WHEN MIN(l_linestatus) = 'F' THEN 1 ELSE 0 END AS is_invoiced, MAX(l_returnflag) AS last_change_operator,
+          CASE WHEN @MINSTATUS = 'F' THEN 1 ELSE 0 END AS is_invoiced, @MAXFLAG AS last_change_operator,
           MAX(l_shipdate) AS last_change_datetime
         FROM {lineitem} GROUP BY l_orderkey, l_linenumber""",
     "payment_stream_contract_item": """
@@ -197,12 +202,12 @@ STAR_VIEWS: dict[str, str] = {
     "recurring_billable": """
         SELECT l_orderkey * 10 + l_linenumber % 2 AS recurring_billable_oid, l_orderkey AS contract_oid,
           l_orderkey * 10 + l_linenumber % 2 AS schedule_definition_oid,
-          CASE l_linenumber % 2 WHEN 0 THEN 1 ELSE 35 END AS transaction_code_oid, MIN(l_returnflag) AS description,
-          CASE WHEN MIN(l_returnflag) = 'A' THEN 1 ELSE 0 END AS is_following_rent,
-          CASE WHEN MAX(l_returnflag) = 'R' THEN 1 ELSE 0 END AS is_combined_with_rent,
+          CASE l_linenumber % 2 WHEN 0 THEN 1 ELSE 35 END AS transaction_code_oid, @MINFLAG AS description,
+          CASE WHEN @MINFLAG = 'A' THEN 1 ELSE 0 END AS is_following_rent,
+          CASE WHEN @MAXFLAG = 'R' THEN 1 ELSE 0 END AS is_combined_with_rent,
           CASE WHEN MAX(l_tax) > 0.05 THEN 1 ELSE 0 END AS is_process_as_eft,
           CASE WHEN MAX(l_discount) > 0.05 THEN 1 ELSE 0 END AS is_bill_after_termination,
-          MAX(l_linestatus) AS last_change_operator, MIN(l_shipdate) AS last_change_datetime
+          @MAXSTATUS AS last_change_operator, MIN(l_shipdate) AS last_change_datetime
         FROM {lineitem} GROUP BY l_orderkey, l_linenumber % 2""",
     "transaction_code": _values(
         "transaction_code_oid, description, invoice_description",
@@ -289,7 +294,7 @@ STAR_VIEWS: dict[str, str] = {
     "contract_equipment": """
         SELECT @KEY AS contract_equipment_oid, l_orderkey AS contract_oid, @KEY AS equipment_oid,
           MIN(-1 - l_suppkey) AS bill_to_location_oid, CASE WHEN l_linenumber = 1 THEN 1 ELSE 0 END AS is_primary_for_pricing,
-          CASE WHEN MIN(l_returnflag) = 'A' THEN 'driver' END AS driver_operator, MAX(l_returnflag) AS last_change_operator,
+          CASE WHEN @MINFLAG = 'A' THEN 'driver' END AS driver_operator, @MAXFLAG AS last_change_operator,
           MAX(l_shipdate) AS last_change_datetime
         FROM {lineitem} GROUP BY l_orderkey, l_linenumber""",
     "equipment_id": """
@@ -313,11 +318,11 @@ STAR_VIEWS: dict[str, str] = {
           o_orderdate AS last_change_datetime FROM {orders}""",
     "amort_line_item": """
         SELECT @KEY * 3 + @FLAG AS line_item_oid, l_orderkey AS schedule_oid, MIN(l_shipdate) + INTERVAL 10 HOUR AS event_date,
-          'Event ' || CAST(l_linenumber AS STRING) AS note, CASE WHEN MIN(l_linestatus) = 'O' THEN 1 ELSE 0 END AS is_loan,
-          CASE WHEN MIN(l_linestatus) = 'F' THEN 1 ELSE 0 END AS is_payment, CAST(SUM(@PRICE) AS DECIMAL(18,2)) AS event_amount,
+          'Event ' || CAST(l_linenumber AS STRING) AS note, CASE WHEN @MINSTATUS = 'O' THEN 1 ELSE 0 END AS is_loan,
+          CASE WHEN @MINSTATUS = 'F' THEN 1 ELSE 0 END AS is_payment, CAST(SUM(@PRICE) AS DECIMAL(18,2)) AS event_amount,
           CAST(MAX(l_tax) AS DECIMAL(18,8)) AS new_rate, CAST(MAX(@TAX) AS DECIMAL(18,2)) AS interest_accrued,
           CAST(SUM(@PRICE) - MAX(@TAX) AS DECIMAL(18,2)) AS principal, CAST(MAX(@PRICE) AS DECIMAL(18,2)) AS balance,
-          MAX(l_returnflag) AS last_change_operator, MAX(l_shipdate) AS last_change_datetime
+          @MAXFLAG AS last_change_operator, MAX(l_shipdate) AS last_change_datetime
         FROM {lineitem} GROUP BY l_orderkey, l_linenumber, l_returnflag""",
     "tax_detail_finalized": """
         SELECT l_orderkey AS contract_oid, @KEY AS contract_item_oid, @KEY AS parent_invoice_detail_oid,
