@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgersync.functions.clock import ts, ts_sql
+from ledgersync.functions.clock import ts
 from ledgersync.functions.scalar import split_credit, split_debit
 
 # Ledger accounts and processes of the contract balances.
@@ -54,16 +54,9 @@ class Bucket:
     sign: int = 1
     default: int | None = None
 
-    def _total(self, value: str) -> Column:
-        text = f"SUM({value})" if self.default is None else f"COALESCE(SUM({value}), {self.default})"
-        return F.expr(f"{text} AS {self.name}")
-
     def total(self, amount: str) -> Column:
-        return self._total(f"CASE WHEN {self.when} THEN {'-' if self.sign < 0 else ''}({amount}) END")
-
-    def retotal(self) -> Column:
-        """The sum over rows that already hold this bucket."""
-        return self._total(self.name)
+        text = f"SUM(CASE WHEN {self.when} THEN {'-' if self.sign < 0 else ''}({amount}) END)"
+        return F.expr(f"{text if self.default is None else f'COALESCE({text}, {self.default})'} AS {self.name}")
 
 
 # Debit plus credit (credits are stored negative).
@@ -91,9 +84,8 @@ def gross_bucket(name: str, processes: Sequence[int], cond: str = "TRUE", defaul
     return Bucket(name, f"{cond} AND account_id = '{GROSS_ACCOUNT}' AND process_oid IN ({_codes(processes)})", default=default)
 
 
-def snapshot_buckets(as_of: str | datetime) -> list[Bucket]:
-    """The contract balances at ``as_of``."""
-    posted = f"post_date <= {ts_sql(as_of)}"
+def snapshot_buckets(posted: str = "TRUE") -> list[Bucket]:
+    """The contract balances from rows meeting ``posted``."""
     return [
         gross_bucket("gross_receivable", GROSS_PROCESSES, posted),
         gross_bucket("original_gross_receivable", ORIGINAL_GROSS_PROCESSES, posted),
@@ -110,26 +102,34 @@ def termination_buckets() -> list[Bucket]:
 
 
 def ledger_buckets(
-    gl: DataFrame, account_ids: DataFrame, buckets: Sequence[Bucket], counts: Mapping[str, str] | None = None
+    gl: DataFrame,
+    account_ids: DataFrame,
+    buckets: Sequence[Bucket],
+    flags: Mapping[str, str] | None = None,
+    counts: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Bucket sums per contract from one ledger scan.
 
-    The ledger is summed per account id before it meets the account table, so
-    only one row per account id is joined and regrouped by contract. ``counts``
-    adds row counts under the given SQL conditions.
+    The ledger is first reduced to one amount per account id, account, process and
+    flag (named SQL conditions such as posted-by-date); only that narrow table is
+    shuffled, meets the account table and is spread over the buckets. Bucket
+    conditions may use ``account_id``, ``process_oid`` and the flags. ``counts``
+    adds row counts under the given conditions.
     """
-    counts = counts or {}
-    plain = [Bucket(b.name, b.when, b.sign) for b in buckets]
-    row_counts = [F.expr(f"COUNT(CASE WHEN {c} THEN 1 END) AS {n}") for n, c in counts.items()]
-    per_account = bucket_sums(gl, ["general_ledger_account_id_oid"], LEDGER_AMOUNT, plain, *row_counts)
+    flags, counts = flags or {}, counts or {}
+    named = [F.expr(f"{c} AS {n}") for n, c in flags.items()]
+    reduced = gl.groupBy("general_ledger_account_id_oid", "account_id", "process_oid", *named).agg(
+        F.expr(f"SUM({LEDGER_AMOUNT}) AS amount"), F.expr("COUNT(1) AS ledger_rows")
+    )
     contracts = account_ids.select("general_ledger_account_id_oid", "contract_oid").filter("contract_oid IS NOT NULL")
-    joined = per_account.join(contracts, "general_ledger_account_id_oid")
-    return joined.groupBy("contract_oid").agg(*[b.retotal() for b in buckets], *[F.expr(f"SUM({n}) AS {n}") for n in counts])
+    joined = reduced.join(contracts, "general_ledger_account_id_oid")
+    row_counts = [F.expr(f"COALESCE(SUM(CASE WHEN {c} THEN ledger_rows END), 0) AS {n}") for n, c in counts.items()]
+    return bucket_sums(joined, ["contract_oid"], "amount", buckets, *row_counts)
 
 
 def ledger_snapshot(gl: DataFrame, account_ids: DataFrame, as_of: str | datetime) -> DataFrame:
     """Contract balances from rows posted up to ``as_of``."""
-    out = ledger_buckets(gl.filter(F.col("post_date") <= ts(as_of)), account_ids, snapshot_buckets(as_of))
+    out = ledger_buckets(gl.filter(F.col("post_date") <= ts(as_of)), account_ids, snapshot_buckets())
     return out.withColumn("original_gross_receivable", F.coalesce("original_gross_receivable", F.lit(0)))
 
 

@@ -48,8 +48,8 @@ def contract_ledger(cat: TableCatalog, as_of: str | datetime) -> DataFrame:
     """Balances at ``as_of`` and at termination, from a single ledger scan."""
     posted, at_term = f"post_date <= {ts_sql(as_of)}", (*TERMINATION_GROSS_PROCESSES, TERMINATION_PROCESS)
     gl = cat.read("general_ledger").filter(f"{posted} OR process_oid IN {at_term}")
-    buckets = [*snapshot_buckets(as_of), *termination_buckets()]
-    out = ledger_buckets(gl, cat.read("general_ledger_account_id"), buckets, {"posted_rows": posted})
+    buckets = [*snapshot_buckets("posted"), *termination_buckets()]
+    out = ledger_buckets(gl, cat.read("general_ledger_account_id"), buckets, {"posted": posted}, {"posted_rows": "posted"})
     # The original gross is 0, not NULL, for a contract with any posted row.
     original = F.when(F.col("posted_rows") > 0, F.coalesce("original_gross_receivable", F.lit(0)))
     return out.withColumn("original_gross_receivable", original)
