@@ -196,13 +196,18 @@ add(
     lambda c: c.read("general_ledger").filter(P.in_month("post_date", JOURNAL_MONTH)),
     f"SELECT * FROM lease_general_ledger WHERE post_date > {TS('1998-09-30')} AND post_date <= {TS('1998-10-31')}",
 )
-_DRAFT = F.col("account_id").isin("01-20025", "01-10040")
+
+
+def _flagged(c: StarCatalog) -> DataFrame:
+    draft = F.col("account_id").isin("01-20025", "01-10040")
+    out = P.flag_groups(c.read("general_ledger"), draft, "journal_number", "group_hit")
+    return out.withColumn("row_hit", P.row_predicate(draft, "journal_number").cast("int"))
+
+
 add(
     "f10_row_predicate",
     "general_ledger_oid bigint, journal_number bigint, account_id string, row_hit int, group_hit int",
-    lambda c: P.flag_groups(c.read("general_ledger"), _DRAFT, "journal_number", "group_hit").withColumn(
-        "row_hit", P.row_predicate(_DRAFT, "journal_number").cast("int")
-    ),
+    _flagged,
     """SELECT general_ledger_oid, journal_number, account_id, CASE WHEN account_id IN ('01-20025', '01-10040') THEN 1 ELSE 0 END AS row_hit,
          MAX(CASE WHEN account_id IN ('01-20025', '01-10040') THEN 1 ELSE 0 END) OVER (PARTITION BY journal_number) AS group_hit
        FROM lease_general_ledger""",
@@ -317,13 +322,14 @@ add(
     "oid bigint, message_type string, message_label string, tag string",
     lambda c: J.code_lookup(
         J.code_lookup(c.read("comment"), c.read("lti_values"), "message_type", {"descr": "message_label"}, "EVENT", "data_value").withColumn(
-            "code", F.lit(20119)
+            "code", F.when(F.col("message_type") == "click", 20119).otherwise(20120)
         ),
         c.read("lti_values"),
         "code",
         {"descr": "tag"},
     ),
-    """SELECT m.oid, m.message_type, v.descr AS message_label, 'Booking' AS tag FROM lease_comment AS m
+    """SELECT m.oid, m.message_type, v.descr AS message_label,
+         CASE WHEN m.message_type = 'click' THEN 'Booking' ELSE 'Asset Sale' END AS tag FROM lease_comment AS m
        LEFT JOIN lease_lti_values AS v ON v.table_key = 'EVENT' AND v.data_value = m.message_type""",
 )
 _SPANS = f"""(SELECT k.entity_oid, k.contract_oid, t.start_date, k.termination_date, COALESCE(k.termination_date, {TS(AS_OF)}) AS until_date

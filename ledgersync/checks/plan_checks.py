@@ -182,10 +182,18 @@ def _stored(cat: StarCatalog) -> DataFrame:
 
 plans.add("p01_accounting_snapshot", _ACC_SCHEMA, lambda c: acc.accounting(c, AS_OF), f"{_DELIVERED} FROM ({accounting_sql(AS_OF)}) AS q")
 plans.add("p01_accounting_changes", _ACC_SCHEMA, lambda c: acc.accounting(c, AS_OF, _stored(c)), _CHANGES)
+def _merged_accounting(cat: StarCatalog) -> DataFrame:
+    """The stored snapshot is a table, as it is downstream: compared with and merged into."""
+    path = scratch_path(cat.spark, "stored-accounting")
+    _stored(cat).write.parquet(path)
+    stored = cat.spark.read.parquet(path)
+    return merge_object(stored, acc.accounting(cat, AS_OF, stored), OBJECTS["accounting"])
+
+
 plans.add(
     "p01_accounting_merged",
     _ACC_SCHEMA,
-    lambda c: merge_object(_stored(c), acc.accounting(c, AS_OF, _stored(c)), OBJECTS["accounting"]),
+    _merged_accounting,
     merge_sql(_STORED, _CHANGES, OBJECTS["accounting"]),
 )
 

@@ -200,24 +200,33 @@ def write_keyed(df: DataFrame, path: str, key: str, buckets: int = 64, splits: i
 
 
 def upsert_into_path(
-    spark: SparkSession, path: str, source: DataFrame, spec: ObjectSpec, buckets: int = 64, splits: int = 1, **options: object
+    spark: SparkSession,
+    path: str,
+    source: DataFrame,
+    spec: ObjectSpec,
+    buckets: int = 64,
+    splits: int = 1,
+    stage: str | None = None,
+    **options: object,
 ) -> None:
     """Merge ``source`` into a ``write_keyed`` folder, rewriting only the touched buckets.
 
-    The source and the merged buckets are staged in the shared scratch folder
+    The source and the merged buckets are staged below ``stage`` (default: a new
+    folder in the shared scratch space; repeated jobs should pass one to overwrite)
     first: the source is computed once, and the target is replaced partition by
     partition from finished files, so a lost executor or a rerun never reads a
     half-written target.
     """
-    staged_source, staged = scratch_path(spark, "source"), scratch_path(spark, "merged")
-    with_bucket(source.select(*spec.columns), spec.key, buckets).write.parquet(staged_source)
+    root = stage or scratch_path(spark, "upsert")
+    staged_source, staged = f"{root}/source", f"{root}/merged"
+    with_bucket(source.select(*spec.columns), spec.key, buckets).write.mode("overwrite").parquet(staged_source)
     src = spark.read.parquet(staged_source)
     touched = [r[0] for r in src.select("bucket").distinct().collect()]  # at most ``buckets`` small numbers
     if not touched:
         return
     target = spark.read.schema(src.schema).parquet(path).filter(F.col("bucket").isin(touched)).select(*spec.columns)
     merged = with_bucket(merge_object(target, src.drop("bucket"), spec, **options), spec.key, buckets)
-    _laid_out(merged, spec.key, splits).write.partitionBy("bucket").parquet(staged)
+    _laid_out(merged, spec.key, splits).write.mode("overwrite").partitionBy("bucket").parquet(staged)
     (
         spark.read.parquet(staged)
         .write.mode("overwrite")

@@ -328,7 +328,7 @@ STAR_VIEWS: dict[str, str] = {
         SELECT l_orderkey AS contract_oid, @KEY AS contract_item_oid, @KEY AS parent_invoice_detail_oid,
           CASE l_linenumber WHEN 1 THEN 1 WHEN 2 THEN 9 ELSE 2 END AS contract_item_type_oid, l_partkey AS tax_product_oid,
           40 + l_linenumber AS tax_jurisdiction_oid, CASE WHEN l_tax > 0 THEN 45 ELSE 46 END AS applied_taxability_oid,
-          47 AS applied_tax_payment_type_oid, @PRICE AS taxable_amount, CAST(l_tax AS DECIMAL(18,8)) AS tax_rate,
+          CASE WHEN l_discount > 0.05 THEN 47 ELSE 48 END AS applied_tax_payment_type_oid, @PRICE AS taxable_amount, CAST(l_tax AS DECIMAL(18,8)) AS tax_rate,
           @TAX AS tax_amount, @TAX AS applied_tax_amount, l_shipdate AS payment_date, l_suppkey AS tax_code_oid
         FROM {lineitem}""",
     "tax_product": "SELECT p_partkey AS tax_product_oid, p_type AS description FROM {part} WHERE p_size > 5",

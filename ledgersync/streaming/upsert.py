@@ -45,13 +45,14 @@ def stream_upsert(
 
     Each micro-batch is reduced to the newest row per key and merged where it is
     not older than the stored row, so a batch that is run again changes nothing.
+    Two staging folders beside the checkpoint are used in turn, so they do not pile up.
     """
     spark = stream.sparkSession
 
-    def merge_batch(batch: DataFrame, _: int) -> None:
+    def merge_batch(batch: DataFrame, batch_id: int) -> None:
         upsert_into_path(
-            spark, target, batch, spec, buckets, on_duplicate="latest", on_null_key="drop",
-            latest_by=[ts, *tie_breakers], newer_by=ts,
+            spark, target, batch, spec, buckets, stage=f"{checkpoint.rstrip('/')}-stage/{batch_id % 2}", on_duplicate="latest",
+            on_null_key="drop", latest_by=[ts, *tie_breakers], newer_by=ts,
         )
 
     return (
