@@ -199,6 +199,17 @@ def write_keyed(df: DataFrame, path: str, key: str, buckets: int = 64, splits: i
     out.write.mode("errorifexists").partitionBy("bucket").parquet(path)
 
 
+def _publish(spark: SparkSession, staged: str, path: str) -> None:
+    """Replace the staged buckets in the target."""
+    (
+        spark.read.parquet(staged)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("bucket")
+        .parquet(path)
+    )
+
+
 def upsert_into_path(
     spark: SparkSession,
     path: str,
@@ -214,11 +225,16 @@ def upsert_into_path(
     The source and the merged buckets are staged below ``stage`` (default: a new
     folder in the shared scratch space; repeated jobs should pass one to overwrite)
     first: the source is computed once, and the target is replaced partition by
-    partition from finished files, so a lost executor or a rerun never reads a
-    half-written target.
+    partition from finished files. A run that stops while publishing is finished
+    from its staged buckets by the next run with the same ``stage``.
     """
     root = stage or scratch_path(spark, "upsert")
     staged_source, staged = f"{root}/source", f"{root}/merged"
+    ready = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_READY")
+    fs = ready.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(ready):  # an earlier run stopped while publishing: its staged buckets are complete
+        _publish(spark, staged, path)
+        fs.delete(ready, False)
     with_bucket(source.select(*spec.columns), spec.key, buckets).write.mode("overwrite").parquet(staged_source)
     src = spark.read.parquet(staged_source)
     touched = [r[0] for r in src.select("bucket").distinct().collect()]  # at most ``buckets`` small numbers
@@ -227,10 +243,6 @@ def upsert_into_path(
     target = spark.read.schema(src.schema).parquet(path).filter(F.col("bucket").isin(touched)).select(*spec.columns)
     merged = with_bucket(merge_object(target, src.drop("bucket"), spec, **options), spec.key, buckets)
     _laid_out(merged, spec.key, splits).write.mode("overwrite").partitionBy("bucket").parquet(staged)
-    (
-        spark.read.parquet(staged)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("bucket")
-        .parquet(path)
-    )
+    fs.create(ready).close()
+    _publish(spark, staged, path)
+    fs.delete(ready, False)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import shutil
 from datetime import datetime, timedelta
 
 import pytest
@@ -175,6 +176,20 @@ def test_upsert_into_path_touches_only_its_buckets(spark, tmp_path):
     assert kept, "buckets without changed keys must stay as they are"
 
 
+def test_interrupted_publication_is_finished_by_the_next_run(spark, tmp_path):
+    spec = ObjectSpec("thing", "k", {"k": "K", "a": "A", "b": "B"})
+    path, stage = str(tmp_path / "target"), str(tmp_path / "stage")
+    R.write_keyed(spark.createDataFrame([(i, "old", i) for i in range(40)], SCHEMA), path, "k", 4)
+    R.upsert_into_path(spark, path, spark.createDataFrame([(5, "new", 0)], SCHEMA), spec, 4, stage=stage)
+    want = rows(spark.read.parquet(path).select("k", "a", "b"))
+    touched = next(iter(spark.read.parquet(f"{stage}/merged").select("bucket").distinct().collect()))[0]
+    shutil.rmtree(tmp_path / "target" / f"bucket={touched}")  # as if stopped between removing and replacing a bucket
+    (tmp_path / "stage" / "_READY").touch()
+    R.upsert_into_path(spark, path, spark.createDataFrame([(6, "new", 0)], SCHEMA), spec, 4, stage=stage)
+    got = rows(spark.read.parquet(path).select("k", "a", "b"))
+    assert got == sorted([r for r in want if r[0] != 6] + [(6, "new", 0)], key=repr)
+
+
 def test_publication(spark, tmp_path):
     df = spark.createDataFrame([(1, "p"), (2, "q")], "phone_oid long, phone_number string")
     for c in OBJECTS["phone"].columns:
