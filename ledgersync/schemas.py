@@ -8,8 +8,6 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql.types import StructType
-
 _AUDIT = "last_change_operator string, last_change_datetime timestamp_ntz"
 
 LEASE_DDL: dict[str, str] = {
@@ -120,14 +118,11 @@ STAR_DDL: dict[str, str] = {
 }
 
 
-def schema_of(table: str, ddl: dict[str, str] = LEASE_DDL) -> StructType:
-    """Parsed schema of one lease (or star) table."""
-    try:
-        return StructType.fromDDL(ddl[table])
-    except KeyError:
-        raise KeyError(f"unknown table {table!r}") from None
+def parse_ddl(text: str) -> list[tuple[str, str]]:
+    """(column, type) pairs of a flat column list, without a session."""
+    return re.findall(r"(\w+) (\w+(?:\(\d+,\d+\))?)", text)
 
 
 def columns_of(table: str, ddl: dict[str, str] = LEASE_DDL) -> list[tuple[str, str]]:
-    """(column, type) pairs of a table, without a session."""
-    return re.findall(r"(\w+) (\w+(?:\(\d+,\d+\))?)", ddl[table])
+    """(column, type) pairs of a declared table."""
+    return parse_ddl(ddl[table])

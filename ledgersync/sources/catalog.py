@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
 
-from ledgersync.schemas import LEASE_DDL
+from ledgersync.schemas import LEASE_DDL, parse_ddl
 
 
 def _norm(name: str) -> str:
@@ -18,22 +17,22 @@ def _norm(name: str) -> str:
     return re.sub(r"_", "", re.sub(r"__c$", "", name.lower()))
 
 
-def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Select and rename the columns of ``schema`` from ``df``, cast to its types.
+def conform(df: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame:
+    """Select, rename and cast the (column, type) pairs from ``df``.
 
     ``ContractOid``, ``contract_oid`` and ``ContractOID__c`` all satisfy
-    ``contract_oid``; columns outside the schema are pruned before the scan.
+    ``contract_oid``; other columns are pruned before the scan.
     """
     by_name: dict[str, list[str]] = {}
     for c in df.columns:
         by_name.setdefault(_norm(c), []).append(c)
     cols, missing, unclear = [], [], []
-    for f in schema.fields:
-        hits = by_name.get(_norm(f.name), [])
+    for name, kind in columns:
+        hits = by_name.get(_norm(name), [])
         if len(hits) != 1:
-            (unclear if hits else missing).append(f.name)
+            (unclear if hits else missing).append(name)
             continue
-        cols.append(f"CAST(`{hits[0]}` AS {f.dataType.simpleString()}) AS `{f.name}`")
+        cols.append(f"CAST(`{hits[0]}` AS {kind}) AS `{name}`")
     if missing or unclear:
         raise ValueError(f"missing columns {missing}, ambiguous columns {unclear} among {df.columns}")
     return df.selectExpr(*cols)
@@ -77,12 +76,14 @@ class TableCatalog:
             reader = reader.option("header", "true")
         return reader.load(spec)
 
-    def read(self, name: str, schema: StructType | str | None = None) -> DataFrame:
+    def read(self, name: str, schema: str | None = None) -> DataFrame:
         """The table ``name`` under its declared column contract (one plan per name and catalog)."""
         if schema is not None:
-            return conform(self._load(name), StructType.fromDDL(schema) if isinstance(schema, str) else schema)
+            return conform(self._load(name), parse_ddl(schema))
         if name not in self._tables:
-            df = self._load(name)
-            declared = self.ddl.get(name)
-            self._tables[name] = df if declared is None else conform(df, StructType.fromDDL(declared))
+            self._tables[name] = self._declared(name)
         return self._tables[name]
+
+    def _declared(self, name: str) -> DataFrame:
+        df = self._load(name)
+        return conform(df, parse_ddl(self.ddl[name])) if name in self.ddl else df

@@ -11,8 +11,8 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgersync.schemas import LEASE_DDL, STAR_DDL, schema_of
-from ledgersync.sources.catalog import TableCatalog, conform
+from ledgersync.schemas import LEASE_DDL, STAR_DDL, columns_of
+from ledgersync.sources.catalog import TableCatalog
 from ledgersync.sources.inline import VENDOR_STATES
 
 # Shorthands expanded in the view texts below.
@@ -361,28 +361,27 @@ def view_sql(name: str) -> str:
 
 def star_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One star table with its declared schema (no inference job)."""
-    return spark.read.schema(schema_of(name, STAR_DDL)).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(STAR_DDL[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 class StarCatalog(TableCatalog):
     """A ``TableCatalog`` whose lease tables are views over the star tables in ``root``."""
 
     def star(self, name: str) -> DataFrame:
-        return star_table(self.spark, self.root, name)
+        key = f"star.{name}"
+        if key not in self._tables:
+            self._tables[key] = star_table(self.spark, self.root, name)
+        return self._tables[key]
 
-    def _load(self, name: str) -> DataFrame:
-        if name in self.overrides or name.startswith("crm."):
-            return super()._load(name)
-        if name not in STAR_VIEWS:
-            raise KeyError(f"unknown table {name!r}")
+    def _declared(self, name: str) -> DataFrame:
+        if name in self.overrides or name not in STAR_VIEWS:
+            return super()._declared(name)
         text = view_sql(name)
+        cols = ", ".join(f"CAST({c} AS {kind}) AS {c}" for c, kind in columns_of(name))
         used = {t: self.star(t) for t in STAR_DDL if f"{{{t}}}" in text}
-        return self.spark.sql(text, **used)
+        return self.spark.sql(f"SELECT {cols} FROM ({text}) AS view", **used)
 
 
 def missing_views() -> set[str]:
     """Lease tables without a star view (none expected)."""
     return set(LEASE_DDL) - set(STAR_VIEWS)
-
-
-__all__ = ["STAR_VIEWS", "StarCatalog", "conform", "missing_views", "star_table", "view_sql"]
