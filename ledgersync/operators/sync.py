@@ -16,6 +16,8 @@ from ledgersync.session import scratch_path
 # Fixed value: the attribute that holds the opportunity id.
 OPPORTUNITY_ATTRIBUTE = 23
 
+_NULL_KEY_SPREAD = 4096
+
 CHANGED, UNCHANGED = "Data Changed", "No Changes"
 
 
@@ -135,12 +137,18 @@ def merge_upsert(
         raise ValueError(f"source lacks {lacking}")
     src = one_row_per_key(source.select(*needed), key, on_duplicate, on_null_key, latest_by)
     filled = defaults or {}
+
+    def salt(df: DataFrame) -> str:
+        """Rows without a key match nothing; spread them, or they would all meet in one join task."""
+        return f"IF(`{key}` IS NULL, pmod(xxhash64({', '.join(f'`{c}`' for c in df.columns)}), {_NULL_KEY_SPREAD}L), 0L)"
+
     s = src.selectExpr(
         *[f"COALESCE(`{c}`, {filled[c]}) AS `__s_{c}`" if c in filled else f"`{c}` AS `__s_{c}`" for c in src.columns],
         "TRUE AS __in_source",
+        f"{salt(src)} AS __s_salt",
     )
-    t = target.withColumn("__in_target", F.lit(True))
-    joined = t.join(s, F.expr(f"`{key}` = `__s_{key}`"), "full")
+    t = target.selectExpr("*", "TRUE AS __in_target", f"{salt(target)} AS __t_salt")
+    joined = t.join(s, F.expr(f"`{key}` = `__s_{key}` AND __t_salt = __s_salt"), "full")
     take = "__in_source"
     if newer_by:
         take = f"__in_source AND (`{newer_by}` IS NULL OR `__s_{newer_by}` >= `{newer_by}`)"

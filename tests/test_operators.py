@@ -138,6 +138,19 @@ def test_merge_arms(spark):
     assert (None, "new", 4) not in rows(R.merge_upsert(t, s, "k", on_null_key="drop"))
 
 
+def test_rows_without_key_are_spread_and_kept(spark):
+    t = spark.createDataFrame([(None, "old", i) for i in range(400)] + [(1, "old", 0)], SCHEMA)
+    s = spark.createDataFrame([(None, "new", i) for i in range(400)] + [(1, "new", 0)], SCHEMA)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = R.merge_upsert(t, s, "k")
+        assert out.count() == 801 and out.filter("k = 1 AND a = 'new'").count() == 1
+        sizes = [r[1] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) < 400
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_merge_is_idempotent_and_keeps_other_rows(spark):
     t = spark.createDataFrame([(i, "old", i) for i in range(50)], SCHEMA)
     s = spark.createDataFrame([(i, "new", -i) for i in range(40, 60)], SCHEMA)
