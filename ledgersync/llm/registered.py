@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from ledgersync.llm import mixing, topk
+from ledgersync.llm import mixing, topk, vector_dedup
 
-_MODULES = (topk, mixing)
+_MODULES = (topk, mixing, vector_dedup)
 QUERIES = {name: build for m in _MODULES for name, build in m.QUERIES.items()}
 SQL = {name: text for m in _MODULES for name, text in m.SQL.items()}
