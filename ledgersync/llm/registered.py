@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from ledgersync.llm import mixing, token_files, topk, vector_dedup
+from ledgersync.llm import mixing, token_files, topk, vector_dedup, wrappers
 
-_MODULES = (topk, mixing, token_files, vector_dedup)
+_MODULES = (wrappers, topk, mixing, token_files, vector_dedup)
 QUERIES = {name: build for m in _MODULES for name, build in m.QUERIES.items()}
 SQL = {name: text for m in _MODULES for name, text in m.SQL.items()}
