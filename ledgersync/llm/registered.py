@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from ledgersync.llm import mixing, pieces, token_files, topk, vector_dedup, wrappers
+from ledgersync.llm import byte_language, mixing, pieces, token_files, topk, vector_dedup, wrappers
 
-_MODULES = (wrappers, pieces, topk, mixing, token_files, vector_dedup)
+_MODULES = (wrappers, pieces, byte_language, topk, mixing, token_files, vector_dedup)
 QUERIES = {name: build for m in _MODULES for name, build in m.QUERIES.items()}
 SQL = {name: text for m in _MODULES for name, text in m.SQL.items()}
