@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from ledgersync.llm import byte_language, licences, mixing, pieces, quotes, token_files, topk, vector_dedup, wrappers
+from ledgersync.llm import byte_language, licences, mixing, pieces, quotes, shingle_join, token_files, topk, vector_dedup, wrappers
 
-_MODULES = (quotes, wrappers, pieces, byte_language, topk, licences, mixing, token_files, vector_dedup)
+_MODULES = (quotes, shingle_join, wrappers, pieces, byte_language, topk, licences, mixing, token_files, vector_dedup)
 QUERIES = {name: build for m in _MODULES for name, build in m.QUERIES.items()}
 SQL = {name: text for m in _MODULES for name, text in m.SQL.items()}
