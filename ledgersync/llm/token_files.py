@@ -27,6 +27,7 @@ Other columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -46,7 +47,7 @@ LANES = 64
 BLOCK = 1 << 16
 INTERVAL = 256
 SEGMENT_IDS = 1 << 21
-KNOWN_WORDS = 400_000  # entries of a worker's table of words
+KNOWN_WORDS = 600_000  # entries of a worker's table of words and marks
 SEGMENT = "shard int, segment int, first long, doc_ids array<long>, lengths array<long>, data binary"
 _HEAD = "<4s7IQ"
 _LOW, _WORD = np.uint64(1 << 31), np.uint64(32)
@@ -147,28 +148,63 @@ def decode_segment(data: bytes) -> np.ndarray:
     return ids.ravel()[:n]
 
 
+# The text is lower-cased. Plain Latin letters (a-z and U+00E0..U+00FF but the division sign, and their capitals) up to
+# an ASCII character that is neither letter nor apostrophe, or else everything up to white space.
+_LETTERS = rb"[a-z\xc3\x80-\x96\x98-\xb6\xb8-\xbf]++(?=[\x00-\x26\x28-\x40\x5b-\x60\x7b-\x7f]|\Z)"
+_PARTS = re.compile(_LETTERS + rb"|[^\x20\x09-\x0D]+")
+_PLAIN = re.compile(_LETTERS)
+
+
 class WordEncoder:
-    """Ids of texts under a vocabulary that never joins what ASCII white space separates."""
+    """Ids of texts under a vocabulary that never joins what ASCII white space separates, and lower-cases.
+
+    Letters and the marks or digits behind them are separate to the vocabulary too, so a word and its marks are looked
+    up apart.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
 
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
+    def _encode_apart(self, words: list[bytes]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in found]
+
+    def _encode_letters(self, words: list[bytes]) -> list[bytes]:
+        """Words of letters alone, encoded as one text: each has a single piece that ends a word."""
+        text = b" ".join(words).decode()
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        ends = (np.flatnonzero(self.ends_word[ids]) + 1) * 4
+        if len(ends) != len(words):
+            return self._encode_apart(words)
+        data, starts = ids.tobytes(), [0, *ends[:-1].tolist()]
+        return [data[a:b] for a, b in zip(starts, ends.tolist(), strict=True)]
+
+    def _learn(self, parts: set[bytes]) -> None:
+        plain = [w for w in parts if _PLAIN.fullmatch(w)]
+        for lo in range(0, len(plain), 5_000):
+            self.known.update(zip(plain[lo : lo + 5_000], self._encode_letters(plain[lo : lo + 5_000]), strict=True))
+        rest = list(parts.difference(plain))
+        self.known.update(zip(rest, self._encode_apart(rest), strict=True))
+
+    def __call__(self, texts: list[bytes | None]) -> list[bytes]:
         """Each text's ids as little-endian u32."""
-        split = [(t or "").encode().split() for t in texts]
         if len(self.known) > KNOWN_WORDS:
             self.known.clear()
-        new = list({w for words in split for w in words if w not in self.known})
-        for lo in range(0, len(new), 20_000):
-            part = new[lo : lo + 20_000]
-            found = self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
-            for w, e in zip(part, found, strict=True):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join([self.known[w] for w in words]) for words in split]
+        known = self.known
+        split = [_PARTS.findall((t or b"").lower()) for t in texts]
+        found = [list(map(known.get, words)) for words in split]
+        new = {w for words, ids in zip(split, found, strict=True) if None in ids for w, x in zip(words, ids, strict=True) if x is None}
+        if not new:
+            return [b"".join(ids) for ids in found]
+        self._learn(new)
+        return [b"".join([known[w] if x is None else x for w, x in zip(words, ids, strict=True)]) for words, ids in zip(split, found, strict=True)]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -199,7 +235,7 @@ def _write(path: str, end_id: int):
 
         size = 0
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1)
+            keys, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())
             for lo in range(0, len(keys), 256):
                 for key, ids in zip(keys[lo : lo + 256], encode(texts[lo : lo + 256].to_pylist()), strict=True):
                     held += [ids, end]
