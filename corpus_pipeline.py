@@ -1,19 +1,49 @@
-"""A pipeline over ``documents``; each stage's result is written and reread as the next one's input."""
+"""A pipeline over ``documents``: language, near duplicates, mixture, token ids.
+
+Each stage takes (spark, docs, sf_dir) and works on every row that its predecessor kept; ``run`` writes each result
+below the shared scratch folder and reads it back for the next one. All stages but the last return the columns of
+documents. Rows that share an id share its decisions.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ledgersync.llm import byte_language, pieces, shingle_join
 from ledgersync.llm.common import stage, table
 from ledgersync.llm.mixing import mixed_documents
 
+#: Documents whose best language has less than this mean probability are rejected, as are those without letters.
+LEAST_SCORE = 0.3
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a recognisable language; learned from the labels of ``docs`` outside the held-out fold."""
+    found = byte_language.identify(docs, byte_language.fit(docs))
+    return found.where(f"lang_pred <> 'und' AND score >= {LEAST_SCORE}").select(*docs.columns)
+
+
+def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id."""
+    groups = shingle_join.near_duplicates(docs)
+    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources mixed to their target weights: documents repeated, cut or left out as the schedule takes them."""
     return mixed_documents(docs)
 
 
-STAGES = [("mix", mix_stage)]
+def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document of the mixture, decoded again and compared with its text."""
+    encoded = pieces.with_ids(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return encoded.select("doc_id", "lang", "source", "n_chars", "n_ids", "ids", "round_trip")
+
+
+STAGES = [("language", language_stage), ("near_duplicates", dedup_stage), ("mixture", mix_stage), ("token_ids", encode_stage)]
 ORACLE_SQL = None
 
 

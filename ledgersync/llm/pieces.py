@@ -18,17 +18,19 @@ an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import re
-import zlib
+import struct
 from collections.abc import Iterable, Iterator
+from math import inf
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgersync.llm.common import table
 
 SPACE = "▁"
-KNOWN = 400_000  # entries of a worker's table of words
+KNOWN = 600_000  # entries of a worker's table of words
 LONGEST_KNOWN = 48
 _CHUNK = re.compile(rf"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 
@@ -63,59 +65,99 @@ class Pieces:
         self.unknown = min(scores) - 10.0
         # no piece runs over the start of a word or a line end
         self.by_word = not any((b == SPACE and a != SPACE) or "\n" in (a, b) for a, b in inner)
+        self.inner = frozenset(inner)
         self.known: dict[str, bytes] = {}
 
     def arcs(self, text: str, i: int) -> list[tuple[int, float, int | None]]:
         """(end, score, id) of the pieces that start at ``i``; id None for a character without piece."""
-        out, node = [], self.trie
-        for j in range(i, min(len(text), i + self.longest)):
-            node = node.get(text[j])
+        out, node, end = [], self.trie, i
+        for c in text[i : i + self.longest]:
+            node = node.get(c)
             if node is None:
                 break
+            end += 1
             if "" in node:
-                out.append((j + 1, node[""][1], node[""][0]))
+                piece, score = node[""]
+                out.append((end, score, piece))
         if not out or out[0][0] != i + 1:
             out.insert(0, (i + 1, self.unknown, None))
         return out
 
     def stream(self, text: str) -> Iterator[list[int]]:
         """Yields ids of ``text`` as soon as they are certain."""
-        best: dict[int, tuple[float, int, int | None]] = {0: (0.0, 0, None)}  # end: (sum, start, id)
-        done, far = 0, 0
+        # of the boundaries after the last commit, in order: greatest sum, start and id of the last piece
+        total, start, last = [0.0], [0], [None]
+        done, window, longest = 0, 2 * self.longest, self.longest
         for i in range(len(text)):
-            here = best[i][0]
-            for end, score, piece in self.arcs(text, i):
-                if end not in best or here + score > best[end][0]:
-                    best[end] = (here + score, i, piece)
-                    far = max(far, end)
-            if far == i + 1 or i - done >= 2 * self.longest:
-                live = {e for e in range(i + 1, far + 1) if e in best}
+            here, node, at, single = total[i - done], self.trie, i - done, False
+            for c in text[i : i + longest]:
+                node = node.get(c)
+                if node is None:
+                    break
+                at += 1
+                if "" in node:
+                    piece, score = node[""]
+                    single = single or at == i - done + 1
+                    while len(total) <= at:
+                        total.append(-inf)
+                        start.append(i)
+                        last.append(None)
+                    if here + score > total[at]:
+                        total[at], start[at], last[at] = here + score, i, piece
+            if not single:
+                at = i - done + 1
+                if len(total) <= at:
+                    total.append(-inf)
+                    start.append(i)
+                    last.append(None)
+                if here + self.unknown > total[at]:
+                    total[at], start[at], last[at] = here + self.unknown, i, None
+            far = done + len(total) - 1
+            if far == i + 1 or i - done >= window:
+                live = {end for end in range(i + 1, far + 1) if total[end - done] > -inf}
                 while len(live) > 1:  # follow the latest end back until all paths meet
-                    last = max(live)
-                    live.remove(last)
-                    live.add(best[last][1])
+                    end = max(live)
+                    live.remove(end)
+                    live.add(start[end - done])
                 meet = live.pop()
                 if meet > done:
-                    yield self._path(text, best, done, meet)
-                    best = {e: v for e, v in best.items() if e >= meet}
-                    best[meet] = (best[meet][0], meet, None)
-                    done = meet
-        if done < len(text):
-            yield self._path(text, best, done, len(text))
-
-    def _path(self, text: str, best: dict, start: int, end: int) -> list[int]:
+                    yield self._path(text, start, last, done, meet)
+                    cut, done = meet - done, meet
+                    del total[:cut], start[:cut], last[:cut]
+
+    def _path(self, text: str, start: list[int], last: list[int | None], done: int, end: int) -> list[int]:
         ids: list[int] = []
-        while end > start:
-            _, before, piece = best[end]
-            ids += [piece] if piece is not None else [self.byte_id[b] for b in reversed(text[before:end].encode())]
+        while end > done:
+            piece, before = last[end - done], start[end - done]
+            if piece is None:
+                ids += [self.byte_id[b] for b in reversed(text[before:end].encode())]
+            else:
+                ids.append(piece)
             end = before
-        return ids[::-1]
+        ids.reverse()
+        return ids
+
+    def _apart(self, chunk: str) -> list[str]:
+        """``chunk`` cut where no piece of the vocabulary can run across."""
+        cuts = [0, *(k for k, pair in enumerate(zip(chunk, chunk[1:], strict=False), 1) if pair not in self.inner), len(chunk)]
+        return [chunk[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def _search(self, part: str) -> bytes:
+        ids = [i for some in self.stream(part) for i in some]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _chunk(self, chunk: str) -> bytes:
-        ids = np.array([i for part in self.stream(chunk) for i in part], "<u4").tobytes()
-        if len(chunk) <= LONGEST_KNOWN:
-            if len(self.known) >= KNOWN:
-                self.known.clear()
+        if len(self.known) >= KNOWN:
+            self.known.clear()
+        parts = self._apart(chunk)
+        for part in parts:
+            if part not in self.known:
+                found = self._search(part)
+                if len(part) > LONGEST_KNOWN:
+                    return b"".join([self.known.get(p) or self._search(p) for p in parts])
+                self.known[part] = found
+        ids = b"".join([self.known[p] for p in parts])
+        if len(parts) > 1 and len(chunk) <= LONGEST_KNOWN:
             self.known[chunk] = ids
         return ids
 
@@ -176,19 +218,32 @@ def decode_documents(encoded: DataFrame, model_file: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(decode, "doc_id long, ids binary, text string")
 
 
-def digests(docs: DataFrame, model_file: str) -> DataFrame:
-    """(doc_id, n_ids, ids_crc32, round_trip) of each document: encoded, decoded and compared with its text."""
+def with_ids(docs: DataFrame, model_file: str) -> DataFrame:
+    """``docs`` with ids (little-endian u32), n_ids and round_trip, whether the ids decode to the text.
+
+    Columns of these names are replaced.
+    """
+    rest = docs.drop("ids", "n_ids", "round_trip")
+    at = rest.columns.index("text")
 
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = pieces(model_file)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            ids = [vocabulary.encode(t) for t in texts]
-            same = [vocabulary.decode(np.frombuffer(b, "<u4").tolist()) == (t or "") for b, t in zip(ids, texts, strict=True)]
-            columns = [batch.column(0), pa.array([len(b) // 4 for b in ids], pa.int64()), pa.array([zlib.crc32(b) for b in ids], pa.int64()), pa.array(same)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_ids", "ids_crc32", "round_trip"])
+            for lo in range(0, batch.num_rows, 512):
+                part = batch.slice(lo, 512)
+                texts = part.column(at).to_pylist()
+                ids = [vocabulary.encode(t) for t in texts]
+                same = [vocabulary.decode(np.frombuffer(b, "<u4").tolist()) == (t or "") for b, t in zip(ids, texts, strict=True)]
+                made = [pa.array(ids, pa.binary()), pa.array([len(b) // 4 for b in ids], pa.int64()), pa.array(same, pa.bool_())]
+                yield pa.RecordBatch.from_arrays([*part.columns, *made], [*part.schema.names, "ids", "n_ids", "round_trip"])
 
-    return docs.select("doc_id", "text").mapInArrow(digest, "doc_id long, n_ids long, ids_crc32 long, round_trip boolean")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema)
+    return rest.mapInArrow(encode, f"{fields}, ids binary, n_ids long, round_trip boolean")
+
+
+def digests(docs: DataFrame, model_file: str) -> DataFrame:
+    """(doc_id, n_ids, ids_crc32, round_trip) of each document: encoded, decoded and compared with its text."""
+    return with_ids(docs.select("doc_id", "text"), model_file).select("doc_id", "n_ids", F.crc32("ids").alias("ids_crc32"), "round_trip")
 
 
 def op4_piece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
