@@ -29,7 +29,6 @@ from collections.abc import Iterator
 from math import ceil
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -40,6 +39,8 @@ from ledgersync.llm.common import components, stage, table
 
 GROUPS = 48
 LEAF = 128  # points of a leaf
+FINE_BITS = 9  # pairs are bounded once more by 2**FINE_BITS groups before sets are joined to them
+PAIRS = 1 << 17  # pairs bounded at a time
 KNOWN_WORDS = 400_000
 COMMON = 1 / 500  # share of all documents from which a shingle is common
 
@@ -49,19 +50,23 @@ class Shingles:
 
     def __init__(self, width: int) -> None:
         self.width = width
-        self.known: dict[bytes, int] = {}
+        self.known: dict[bytes, bytes] = {}
         self.factors = (np.random.default_rng(7).integers(1, 1 << 62, width, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 
     def __call__(self, texts: list[bytes | None]) -> list[np.ndarray]:
         """Each text's distinct shingles, sorted."""
         if len(self.known) > KNOWN_WORDS:
             self.known.clear()
-        known, split = self.known, [(t or b"").lower().split() for t in texts]
-        for words in split:
-            for w in words:
-                if w not in known:
-                    known[w] = xxhash.xxh3_64_intdigest(w)
-        return [self._set(np.array([known[w] for w in words], np.uint64)) for words in split]
+        known, out = self.known, []
+        for t in texts:
+            words = (t or b"").lower().split()
+            found = list(map(known.get, words))
+            if None in found:
+                for k, w in enumerate(words):
+                    if found[k] is None:
+                        found[k] = known[w] = xxhash.xxh3_64_digest(w)
+            out.append(self._set(np.frombuffer(b"".join(found), "<u8").astype(np.uint64)))
+        return out
 
     def _set(self, h: np.ndarray) -> np.ndarray:
         if not len(h):
@@ -89,26 +94,12 @@ def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[pa.Re
             yield part, hash_text(part.column("text").cast(pa.binary()).to_pylist())
 
 
-def _common(docs: DataFrame, width: int) -> np.ndarray:
-    """Shingles that one in ``1 / COMMON`` of all documents share, as far as some part of 256 documents shows them twice.
-
-    They are counted over all documents; their number is at most the mean size of a set over COMMON. The list does no
-    more than order shingles: any list gives the same links.
-    """
-
-    def count(batches):
-        for _, sets in _sets(batches, width):
-            value, n = np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]), return_counts=True)
-            hit = n >= 2
-            yield pa.RecordBatch.from_arrays([pa.array(value[hit].view(np.int64)), pa.array(n[hit])], ["shingle", "n"])
-
-    found = docs.select("text").mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    rows = found.where(F.col("n") >= max(8.0, docs.count() * COMMON)).select("shingle").toPandas()
-    return np.sort(rows["shingle"].to_numpy(np.int64).view(np.uint64))
+_POINTS = "doc_id long, n long, low long, mix long, counts array<int>, shingle long, times long"
 
 
 def _points(width: int):
-    """Documents as points: size, two digests of the set, and the counts of the groups."""
+    """Documents as points: size, two digests of the set, and the counts of the groups; and, in rows of their own,
+    shingles that more than one document of a part has, with the number of those documents."""
 
     def points(batches):
         for part, sets in _sets(batches, width):
@@ -116,20 +107,32 @@ def _points(width: int):
             with np.errstate(over="ignore"):
                 mix = [int((s * (s >> np.uint64(31) | np.uint64(1))).sum(dtype=np.uint64)) for s in sets]
             counts = [np.bincount((s % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS) for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("doc_id"),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array(np.array(low, np.uint64).view(np.int64)),
-                    pa.array(np.array(mix, np.uint64).view(np.int64)),
-                    pa.array(counts, pa.list_(pa.int32())),
-                ],
-                ["doc_id", "n", "low", "mix", "counts"],
-            )
+            value, times = np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]), return_counts=True)
+            value, times = value[times > 1].view(np.int64), times[times > 1]
+            here, more = len(sets), len(value)
+            columns = [
+                pa.concat_arrays([part.column("doc_id"), pa.nulls(more, pa.int64())]),
+                pa.array([len(s) for s in sets] + [None] * more, pa.int64()),
+                *[pa.concat_arrays([pa.array(np.array(x, np.uint64).view(np.int64)), pa.nulls(more, pa.int64())]) for x in (low, mix)],
+                pa.array(counts + [None] * more, pa.list_(pa.int32())),
+                *[pa.concat_arrays([pa.nulls(here, pa.int64()), pa.array(x, pa.int64())]) for x in (value, times)],
+            ]
+            yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in _POINTS.split(", ")])
 
     return points
 
 
+def _common(points: DataFrame, documents: int) -> np.ndarray:
+    """Shingles that at least one in ``1 / COMMON`` of all documents share, as far as parts of them show it.
+
+    They are counted over all documents; their number is at most the mean size of a set over COMMON. The list does no
+    more than order shingles: any list gives the same links.
+    """
+    found = points.where("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("times").alias("times"))
+    rows = found.where(F.col("times") >= max(8.0, documents * COMMON)).select("shingle").toPandas()
+    return np.sort(rows["shingle"].to_numpy(np.int64).view(np.uint64))
+
+
 def _first(width: int, similarity: float, common: np.ndarray):
     """(key, low): the first shingles of each set, common ones last, and the set's digest."""
 
@@ -171,20 +174,43 @@ def _bounded(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFra
     return sized.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose sets have the similarity; sets are made only for classes in pairs."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def _sets_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """(node, fine, set) of the classes named in ``nodes``: a finer count vector and the sorted shingles."""
     wanted = classes.select("node", "doc_id", "n", "low").join(nodes, "node").withColumnRenamed("doc_id", "id")
 
     def sets(batches):
+        seen: set[int] = set()  # a class once where rows repeat; a repetition in another task is only read twice
         for part, found in _sets(batches, width):
-            # of rows with the same id, those that are the class
-            hit = [len(s) == n and int(s.sum(dtype=np.uint64).view(np.int64)) == low for s, n, low in zip(found, part.column("n").to_pylist(), part.column("low").to_pylist(), strict=True)]
+            hit = []
+            for s, node, n, low in zip(found, *(part.column(c).to_pylist() for c in ("node", "n", "low")), strict=True):
+                # of rows with the same id, those that are the class
+                hit.append(node not in seen and len(s) == n and int(s.sum(dtype=np.uint64).view(np.int64)) == low)
+                if hit[-1]:
+                    seen.add(node)
             made = pa.array([s.astype("<u8").tobytes() for s in found], pa.binary())
-            yield pa.RecordBatch.from_arrays([part.column("node"), made], ["node", "set"]).filter(pa.array(hit, pa.bool_()))
+            fine = [np.bincount((s >> np.uint64(64 - FINE_BITS)).astype(np.int64), minlength=1 << FINE_BITS) for s in found]
+            packed = pa.array([np.minimum(f, 255).astype(np.uint8).tobytes() if f.max(initial=0) < 255 else None for f in fine], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column("node"), packed, made], ["node", "fine", "set"]).filter(pa.array(hit, pa.bool_()))
 
     texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("id"))).select("node", "n", "low", "text")
-    made = stage(texts.mapInArrow(sets, "node long, set binary").groupBy("node").agg(F.first("set").alias("set")), "shingle-sets")
+    return stage(texts.mapInArrow(sets, "node long, fine binary, set binary"), "shingle-sets")
+
+
+def _nodes(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+
+def _verified(pairs: DataFrame, made: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose sets have the similarity, by the finer vectors first."""
+
+    def refine(batches):
+        for batch in batches:
+            hit = []
+            for x, y, n in zip(batch.column("fine_a"), batch.column("fine_b"), batch.column("n").to_pylist(), strict=True):
+                v, u = x.as_buffer(), y.as_buffer()
+                overlap = np.minimum(np.frombuffer(v, np.uint8), np.frombuffer(u, np.uint8)).sum(dtype=np.int64) if v and u else n
+                hit.append((1 + similarity) * overlap >= similarity * n - 1e-9)
+            yield batch.select(["a", "b"]).filter(pa.array(hit, pa.bool_()))
 
     def compare(batches):
         for batch in batches:
@@ -195,25 +221,46 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
                 hit.append((1 + similarity) * both >= similarity * (len(s) + len(t)) - 1e-9)
             yield batch.select(["a", "b"]).filter(pa.array(hit, pa.bool_()))
 
-    set_of = lambda x: made.select(F.col("node").alias(x), F.col("set").alias(f"set_{x}"))
-    return stage(pairs.join(set_of("a"), "a").join(set_of("b"), "b").mapInArrow(compare, "a long, b long"), "shingle-links")
+    part = lambda x, *c: made.select(F.col("node").alias(x), *c)
+    size = F.expr("CAST(length(set) div 8 AS BIGINT)")
+    sized = pairs.join(part("a", F.col("fine").alias("fine_a"), size.alias("m_a")), "a").join(part("b", F.col("fine").alias("fine_b"), size.alias("m_b")), "b")
+    left = stage(sized.withColumn("n", F.col("m_a") + F.col("m_b")).mapInArrow(refine, "a long, b long"), "refined-pairs")
+    joined = left.join(part("a", F.col("set").alias("set_a")), "a").join(part("b", F.col("set").alias("set_b")), "b")
+    return stage(joined.mapInArrow(compare, "a long, b long"), "shingle-links")
 
 
 def _leaf_pairs(similarity: float):
     """Pairs of two leaves' points of different components that sizes and summed minima allow."""
 
-    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def lists(batch: pa.RecordBatch, side: str) -> tuple[np.ndarray, ...]:
+        start = batch.column(f"low_{side}").offsets.to_numpy().astype(np.int64)
+        flat = [batch.column(f"{c}_{side}").flatten().to_numpy(zero_copy_only=False) for c in ("low", "n", "component", "counts")]
+        return start[:-1] - start[0], np.diff(start), *flat[:3], flat[3].reshape(-1, GROUPS)
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for x, y in zip(batch["points_a"], batch["points_b"], strict=True):
-                n, m = (np.array([p["n"] for p in side]) for side in (x, y))
-                component, other = (np.array([p["component"] for p in side]) for side in (x, y))
-                low_a, low_b = (np.array([p["low"] for p in side]) for side in (x, y))
-                v, u = (np.stack([np.asarray(p["counts"]) for p in side]) for side in (x, y))
-                for k in range(len(n)):
-                    overlap = np.minimum(np.minimum(v[k], u).sum(axis=1), np.minimum(n[k], m))
-                    hit = (component[k] != other) & ((1 + similarity) * overlap >= similarity * (n[k] + m) - 1e-9)
-                    if hit.any():
-                        yield pd.DataFrame({"low_a": low_a[k], "low_b": low_b[hit]})
+            if not batch.num_rows:
+                continue
+            start_a, len_a, low_a, n_a, group_a, counts_a = lists(batch, "a")
+            start_b, len_b, low_b, n_b, group_b, counts_b = lists(batch, "b")
+            same = batch.column("same").to_numpy(zero_copy_only=False)
+            until = np.cumsum(len_a * len_b)
+            lo = 0
+            while lo < len(until):  # as many leaf pairs as stay within PAIRS, one at least
+                before = until[lo - 1] if lo else 0
+                hi = max(lo + 1, int(np.searchsorted(until, before + PAIRS, side="right")))
+                total = until[lo:hi] - before
+                row = lo + np.repeat(np.arange(hi - lo), len_a[lo:hi] * len_b[lo:hi])
+                at = np.arange(total[-1]) - np.repeat(np.r_[0, total[:-1]], len_a[lo:hi] * len_b[lo:hi])
+                i, j = start_a[row] + at // len_b[row], start_b[row] + at % len_b[row]
+                n, m = n_a[i], n_b[j]
+                hit = (group_a[i] != group_b[j]) & (np.minimum(n, m) * (1 + similarity) >= similarity * (n + m) - 1e-9) & (~same[row] | (low_a[i] < low_b[j]))
+                i, j = i[hit], j[hit]
+                overlap = np.minimum(counts_a[i], counts_b[j]).sum(axis=1)
+                hit = (1 + similarity) * overlap >= similarity * (n_a[i] + n_b[j]) - 1e-9
+                found = np.unique(np.sort(np.stack([low_a[i[hit]], low_b[j[hit]]], axis=1), axis=1), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["low_a", "low_b"])
+                lo = hi
 
     return pairs
 
@@ -231,34 +278,42 @@ def _across(cells: DataFrame, classes: DataFrame, found: DataFrame, similarity:
         F.array(*[F.max(F.col("counts")[g]) for g in range(GROUPS)]).alias("box"),
     )
     leaves = stage(leaves, "leaves")
+    parts = lambda x: [*[F.col(f"points.{c}").alias(f"{c}_{x}") for c in ("low", "n", "component")], F.flatten("points.counts").alias(f"counts_{x}")]
+    inside = leaves.where("from < to").select(*parts("a"), *parts("b"), F.lit(True).alias("same"))
     side = lambda x: leaves.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("leaf", "least", "most", "from", "to", "box")])
-    met = side("a").join(side("b"), "key").where("leaf_a <= leaf_b AND NOT (from_a = to_a AND from_b = to_b AND from_a = from_b)")
+    met = side("a").join(side("b"), "key").where("leaf_a < leaf_b AND NOT (from_a = to_a AND from_b = to_b AND from_a = from_b)")
     # sizes in leaf b are not below those in leaf a
-    met = met.where(_allows(similarity, "least(most_a, least_b)", "most_a", "least_b") + " OR most_a >= least_b")
+    met = met.where(_allows(similarity, "most_a", "most_a", "least_b") + " OR most_a >= least_b")
     met = met.where(_allows(similarity, _minima("box_a", "box_b"), "least_a", "least_b")).select("key", "leaf_a", "leaf_b")
-    of = lambda x: leaves.select("key", F.col("leaf").alias(f"leaf_{x}"), F.col("points").alias(f"points_{x}"))
-    pairs = met.join(of("a"), ["key", "leaf_a"]).join(of("b"), ["key", "leaf_b"]).select("points_a", "points_b")
-    return pairs.mapInPandas(_leaf_pairs(similarity), "low_a long, low_b long").distinct()
+    of = lambda x: leaves.select("key", F.col("leaf").alias(f"leaf_{x}"), *parts(x))
+    across = met.join(of("a"), ["key", "leaf_a"]).join(of("b"), ["key", "leaf_b"]).withColumn("same", F.lit(False))
+    return inside.unionByName(across.select(*inside.columns)).mapInArrow(_leaf_pairs(similarity), "low_a long, low_b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text)."""
     spark, key = docs.sparkSession, ["n", "low", "mix"]
     docs = docs.select("doc_id", "text")
-    rows = stage(docs.mapInArrow(_points(width), "doc_id long, n long, low long, mix long, counts array<int>"), "shingle-points")
+    points = stage(docs.mapInArrow(_points(width), _POINTS), "shingle-points")
+    rows = points.where("n IS NOT NULL")
     distinct = rows.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("doc_id"), F.first("counts").alias("counts"))
     classes = stage(distinct.withColumn("node", F.monotonically_increasing_id()), "shingle-classes")
-    firsts = docs.select("text").mapInArrow(_first(width, similarity, _common(docs, width)), "key long, low long")
+    firsts = docs.select("text").mapInArrow(_first(width, similarity, _common(points, rows.count())), "key long, low long")
     cell = W.partitionBy("key")
     met = firsts.withColumn("before", F.lag("low").over(cell.orderBy("low"))).withColumns({"pivot": F.min("low").over(cell), "last": F.max("low").over(cell)})
     met = met.where("pivot < last AND (before IS NULL OR before < low)")  # a set once, where there is another one
     cells = stage(met.select("key", "low", "pivot"), "shingle-cells")
     stars = cells.where("low <> pivot").select(F.col("pivot").alias("low_a"), F.col("low").alias("low_b")).distinct()
-    links = _verified(stage(_bounded(stars, classes, similarity), "pairs"), classes, docs, width, similarity)
+    pairs = stage(_bounded(stars, classes, similarity), "pairs")
+    sets = _sets_of(_nodes(pairs), classes, docs, width)
+    links = _verified(pairs, sets, similarity)
     found = stage(components(links, spark), "components")
-    more = stage(_bounded(_across(cells, classes, found, similarity), classes, similarity).join(links, ["a", "b"], "left_anti"), "pairs")
+    more = stage(_bounded(_across(cells, classes, found, similarity), classes, similarity).join(pairs, ["a", "b"], "left_anti"), "pairs")
     if not more.isEmpty():
-        links = links.union(_verified(more, classes, docs, width, similarity))
+        new = stage(_nodes(more).join(sets.select("node"), "node", "left_anti"), "nodes")
+        if not new.isEmpty():
+            sets = sets.union(_sets_of(new, classes, docs, width))
+        links = links.union(_verified(more, sets, similarity))
         found = stage(components(links, spark), "components")
     named = classes.join(found, "node", "left").select(*key, "doc_id", F.coalesce("component", "node").alias("component"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
