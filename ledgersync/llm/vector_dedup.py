@@ -10,7 +10,8 @@ then computed in double precision from the components as given.
 Scale: exact copies are reduced to one vector with a count first. Cells are cut into tiles of bounded size, tile against
 tile, so a hot cell is spread over tasks and no task holds more than two tiles. Links are counted, never written out:
 a tile yields per vector its number of links and one edge that keeps the tile's links connected. The number of grid
-coordinates follows the number of vectors, as a number of partitions would.
+coordinates follows the number of vectors, as a number of partitions would. Nothing but the vectors themselves is
+written; cells are worked out twice, once to count them.
 
 Defined results: null, empty and zero vectors, and those with null or non-finite components, link with nothing but get
 a row; a repeated id links its rows like any others (not by the id), each row is counted, and the output has one row
@@ -31,16 +32,31 @@ from pyspark.sql import functions as F
 from ledgersync.llm.common import components, stage, table
 
 BLOCKS = 4  # subspaces
-TILE = 4_096  # vectors on each side of a tile
-CELL = 3_000  # vectors of a grid cell aimed at
-STRIP = 256
+TILE = 16_384  # vectors on each side of a tile
+ROW = 10_000  # comparisons that cost as much as one more row for a vector
+STRIP = 32
 PAIRS = 1 << 15
-SLACK = 1e-5  # rotated coordinates are stored in single precision
+SLACK = 1e-5  # the first comparison is in single precision
 
 
-def _rotation(dim: int) -> np.ndarray:
-    """A fixed rotation, so that no block depends on how the components were laid out."""
-    return np.linalg.qr(np.random.default_rng(dim).normal(size=(dim, dim)))[0]
+def _rotated(x: np.ndarray) -> np.ndarray:
+    """Unit vectors under a fixed rotation, padded to a power of two: two rounds of random signs and sums (Hadamard).
+
+    Every step works element by element, so a vector's coordinates are the same bits in whatever company it is rotated.
+    """
+    dim = 1 << (x.shape[1] - 1).bit_length()
+    out = np.zeros((len(x), dim))
+    out[:, : x.shape[1]] = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+    signs = np.random.default_rng(dim).choice([-1.0, 1.0], size=(2, dim))
+    for s in signs:
+        out *= s
+        width = 1
+        while width < dim:
+            halves = out.reshape(len(x), -1, 2, width)
+            out = np.stack([halves[:, :, 0] + halves[:, :, 1], halves[:, :, 0] - halves[:, :, 1]], axis=2).reshape(len(x), dim)
+            width *= 2
+        out /= np.sqrt(dim)
+    return out
 
 
 def _bounds(dim: int) -> list[int]:
@@ -54,28 +70,32 @@ def _shares(dim: int, distance: float) -> list[float]:
     return [distance * (at[b + 1] - at[b]) / dim + SLACK for b in range(len(at) - 1)]
 
 
-def _cells(distance: float, grid: int):
+def _grid(n: int) -> int:
+    """Grid coordinates for ``n`` vectors: each one more leaves about 0.63 of the comparisons and triples the rows."""
+    return min(range(1, 9), key=lambda g: n * 0.63**g / 2 + ROW * (3**g + 1) / 2)
+
+
+def _vectors(column: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(column), "<f4").reshape(len(column), -1).astype(float)
+
+
+def _cells(distance: float, grid: int, full: bool):
     """Rotates vectors and yields the grid cells they enter: their own in each block, and the adjacent ones."""
 
     def enter(batches):
         for batch in batches:
-            if batch.empty:
-                continue
             for dim, part in batch.groupby("dim"):
-                x = np.stack(part["v"].to_numpy()).astype(float)
-                unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-                turned = (unit @ _rotation(int(dim))).astype(np.float32)
-                at = _bounds(int(dim))
-                for b, share in enumerate(_shares(int(dim), distance)):
+                turned = _rotated(_vectors(part["v"]))
+                at = _bounds(turned.shape[1])
+                for b, share in enumerate(_shares(turned.shape[1], distance)):
                     radius = math.sqrt(share) * (1 + 1e-6)
                     g = min(grid, at[b + 1] - at[b])
-                    home = np.floor(turned[:, at[b] : at[b] + g].astype(float) / radius).astype(np.int64)
+                    home = np.floor(turned[:, at[b] : at[b] + g] / radius).astype(np.int64)
                     for step in itertools.product((-1, 0, 1), repeat=g):
                         if step < (0,) * g:
                             continue  # the half of the adjacent cells that comes later
-                        cell = home + np.array(step)
-                        name = [f"{dim}:{b}:" + ",".join(map(str, c)) for c in cell]
-                        yield pd.DataFrame({"cell": name, "block": b, "home": not any(step), "rep": part["rep"].to_numpy(), "copies": part["copies"].to_numpy(), "v": list(x.astype(np.float32)), "r": list(turned)})
+                        rows = pd.DataFrame({"cell": [f"{dim}:{b}:{c}" for c in map(bytes.hex, map(np.ndarray.tobytes, (home + step).astype("<i2")))]})
+                        yield rows.assign(block=b, home=not any(step), rep=part["rep"].to_numpy(), copies=part["copies"].to_numpy(), v=part["v"].to_numpy()) if full else rows
 
     return enter
 
@@ -85,27 +105,31 @@ def _tile(cosine: float):
 
     def links(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         _, i, j = key
-        x, r = np.stack(rows["v"].to_numpy()).astype(float), np.stack(rows["r"].to_numpy())
+        x = _vectors(rows["v"])
+        r = _rotated(x)
         rep, copies, home = rows["rep"].to_numpy(np.int64), rows["copies"].to_numpy(np.int64), rows["home"].to_numpy(bool)
-        tile, block, dim = rows["tile"].to_numpy(), int(rows["block"].iloc[0]), x.shape[1]
+        tile, block, dim = rows["tile"].to_numpy(), int(rows["block"].iloc[0]), r.shape[1]
         at = _bounds(dim)
         share = _shares(dim, distance)
-        norm = np.linalg.norm(x, axis=1)
-        own = np.ascontiguousarray(r[:, at[block] : at[block + 1]])
-        square = (own.astype(float) ** 2).sum(axis=1).astype(np.float32)
+        norm = np.sqrt((x * x).sum(axis=1))
+        own = r[:, at[block] : at[block + 1]].astype(np.float32)
+        square, one = (own**2).sum(axis=1, keepdims=True), np.ones((len(own), 1), np.float32)
         left, right = np.flatnonzero(home & (tile == i)), np.flatnonzero(tile == j)
+        # one product gives 2ab - aa - bb, minus the squared distance
+        from_left, from_right = np.hstack([2 * own, -square, -one])[left], np.ascontiguousarray(np.hstack([own, one, square])[right].T)
+        least = np.float32(-share[block] - SLACK)
         count, label = np.zeros(len(rep), np.int64), np.arange(len(rep))
         for lo in range(0, len(left), STRIP):
-            a = left[lo : lo + STRIP]
-            near = square[a][:, None] + square[right][None, :] - 2 * (own[a] @ own[right].T) <= share[block] + SLACK
-            p, q = np.nonzero(near)
-            p, q = a[p], right[q]
+            near = np.flatnonzero(from_left[lo : lo + STRIP] @ from_right >= least)
+            if not len(near):
+                continue
+            p, q = left[lo + near // len(right)], right[near % len(right)]
             ordered = ~home[q] | (rep[p] < rep[q])  # of two points at home in the cell, once
             p, q = p[ordered], q[ordered]
             kept = np.zeros(len(p), bool)
             for lo2 in range(0, len(p), PAIRS):
                 s, t = p[lo2 : lo2 + PAIRS], q[lo2 : lo2 + PAIRS]
-                gap = (r[s].astype(float) - r[t]) ** 2
+                gap = (r[s] - r[t]) ** 2
                 within = [gap[:, at[b] : at[b + 1]].sum(axis=1) <= share[b] for b in range(block + 1)]
                 first = within[block]
                 for earlier in within[:block]:
@@ -125,30 +149,34 @@ def _tile(cosine: float):
     return links
 
 
+def _as_bytes(batches):
+    """Vectors as bytes of single-precision numbers, -0.0 as 0.0 (equal, but unlike as keys)."""
+    for batch in batches:
+        yield pd.DataFrame({"vec_id": batch["vec_id"], "v": [(np.asarray(x, "<f4") + np.float32(0)).tobytes() for x in batch["embedding"]]})
+
+
 def near_duplicates(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``vectors`` (vec_id, embedding)."""
     spark = vectors.sparkSession
+    vectors = vectors.select("vec_id", F.col("embedding").cast("array<float>").alias("embedding"))
     sound = F.expr("embedding IS NOT NULL AND forall(embedding, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('infinity')) AND exists(embedding, x -> x <> 0)")
     rows = vectors.select("vec_id", "embedding", F.coalesce(sound, F.lit(False)).alias("sound"))
-    # 0.0 and -0.0 are equal but unlike as keys
-    v = F.expr("transform(embedding, x -> CAST(IF(x = 0, 0, x) AS FLOAT))")
-    keyed = rows.where("sound").select("vec_id", v.alias("v"))
+    keyed = rows.where("sound").select("vec_id", "embedding").mapInPandas(_as_bytes, "vec_id long, v binary")
     classes = keyed.groupBy("v").agg(F.min("vec_id").alias("low"), F.count("*").alias("copies"))
-    classes = classes.select(F.monotonically_increasing_id().alias("rep"), F.size("v").alias("dim"), "v", "low", "copies")
+    classes = classes.select(F.monotonically_increasing_id().alias("rep"), F.length("v").alias("dim"), "v", "low", "copies")
     classes = stage(classes, "vectors")
-    n = classes.count()
-    grid = max(1, math.ceil(math.log(max(n / CELL, 2), 5)))
-    entered = classes.select("rep", "dim", "v", "copies").mapInPandas(
-        _cells(2 - 2 * cosine, grid), "cell string, block int, home boolean, rep long, copies long, v array<float>, r array<float>"
-    )
-    entered = stage(entered, "vector-cells")
-    tiles = entered.groupBy("cell").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
-    dealt = entered.join(tiles, "cell").withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int"))
+    distance, grid, used = 2 - 2 * cosine, _grid(classes.count()), classes.select("rep", "dim", "v", "copies")
+    cells = used.mapInPandas(_cells(distance, grid, False), "cell string")
+    # only cells of more than one tile
+    tiles = cells.groupBy("cell").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles")).where("tiles > 1")
+    entered = used.mapInPandas(_cells(distance, grid, True), "cell string, block int, home boolean, rep long, copies long, v binary")
+    dealt = entered.join(tiles, "cell", "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
+    dealt = dealt.withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int"))
     every = F.sequence(F.lit(0), F.col("tiles") - 1)
     as_left = F.when(F.col("home"), F.transform(every, lambda k: F.struct(F.col("tile").alias("i"), k.alias("j"))))
     as_right = F.transform(every, lambda k: F.struct(k.alias("i"), F.col("tile").alias("j")))
     meets = F.array_distinct(F.concat(as_right, F.coalesce(as_left, F.array().cast("array<struct<i:int,j:int>>"))))
-    sent = dealt.withColumn("to", F.explode(meets)).select("cell", F.col("to.i").alias("i"), F.col("to.j").alias("j"), "tile", "block", "home", "rep", "copies", "v", "r")
+    sent = dealt.withColumn("to", F.explode(meets)).select("cell", F.col("to.i").alias("i"), F.col("to.j").alias("j"), "tile", "block", "home", "rep", "copies", "v")
     found = stage(sent.groupBy("cell", "i", "j").applyInPandas(_tile(cosine), "rep long, links long, root long"), "vector-links")
     groups = components(found.where("rep <> root").select(F.col("rep").alias("a"), F.col("root").alias("b")), spark)
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))

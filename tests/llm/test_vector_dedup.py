@@ -33,7 +33,7 @@ def _brute(rows, cosine):
 @pytest.mark.parametrize("dim", [3, 24])
 def test_equals_brute_force(spark, monkeypatch, dim):
     monkeypatch.setattr(vector_dedup, "TILE", 37)
-    monkeypatch.setattr(vector_dedup, "CELL", 20)
+    monkeypatch.setattr(vector_dedup, "ROW", 5)
     monkeypatch.setattr(vector_dedup, "STRIP", 8)
     rng = np.random.default_rng(dim)
     x = []
