@@ -21,7 +21,7 @@ from ledgersync.plans import invoices as invoice_plans
 from ledgersync.plans.notes import multi_deal_entities
 from ledgersync.registry import OBJECTS, ObjectSpec
 from ledgersync.session import scratch_path
-from ledgersync.sources.inline import vendor_rows, vendor_table
+from ledgersync.sources.inline import vendor_table
 from ledgersync.sources.sink import write_upsert_batch
 from ledgersync.sources.star import StarCatalog
 from ledgersync.streaming.upsert import change_stream, empty_target, stream_upsert
@@ -33,7 +33,19 @@ NOTE_WINDOW = Window.of(NOTE_START, NOTE_END)
 TS = "TIMESTAMP '{}'".format
 IN_WINDOW = f"BETWEEN {TS(START)} AND {TS(END)}"
 OPP = "(SELECT DISTINCT ref_oid, COALESCE(field_value, 'NULL') AS opportunity FROM lease_generic_value WHERE genf_oid = 23)"
-_VENDORS = ", ".join(f"('{s}', '{v}')" for s, v in vendor_rows())
+# The vendor lookup as the oracle has it.
+_VENDORS = """
+    ('AK', 'V04002'), ('AL', 'V04003'), ('AR', 'V04004'), ('AZ', 'V04005'), ('CA', 'V04006'),
+    ('CO', 'V04007'), ('CT', 'V04008'), ('DC', 'V04009'), ('DE', 'V04010'), ('FL', 'V04011'),
+    ('GA', 'V04012'), ('HI', 'V04013'), ('IA', 'V04014'), ('ID', 'V04015'), ('IL', 'V04016'),
+    ('IN', 'V04017'), ('KS', 'V04018'), ('KY', 'V04019'), ('LA', 'V04020'), ('MA', 'V04021'),
+    ('MD', 'V04022'), ('ME', 'V04023'), ('MI', 'V04024'), ('MN', 'V04025'), ('MO', 'V04026'),
+    ('MS', 'V04027'), ('MT', 'V04028'), ('NC', 'V04029'), ('ND', 'V04030'), ('NE', 'V04031'),
+    ('NH', 'V04032'), ('NJ', 'V04033'), ('NM', 'V04034'), ('NV', 'V04035'), ('NY', 'V04036'),
+    ('OH', 'V04037'), ('OK', 'V04038'), ('OR', 'V04039'), ('PA', 'V04040'), ('RI', 'V04041'),
+    ('SC', 'V04042'), ('SD', 'V04043'), ('TN', 'V04044'), ('TX', 'V04045'), ('UT', 'V04046'),
+    ('VA', 'V04047'), ('VT', 'V04048'), ('WA', 'V04049'), ('WI', 'V04050'), ('WV', 'V04051'),
+    ('WY', 'V04052')"""
 
 # --- sources and sinks --------------------------------------------------------------------
 
@@ -1005,25 +1017,50 @@ _EVENT = ObjectSpec(
 _EVENT_DDL = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
-def _streamed(c: StarCatalog) -> DataFrame:
-    """The event file consumed as a change stream and merged by user."""
-    target = scratch_path(c.spark, "stream-target")
-    empty_target(c.spark, target, "user_id bigint, event_id bigint, event_type string, value double, ts timestamp_ntz", "user_id", 4)
-    stream = change_stream(c.spark, f"{c.root}/events*.parquet", _EVENT_DDL)
-    query = stream_upsert(
-        stream, _EVENT, "ts", "1 hour", target, scratch_path(c.spark, "stream-checkpoint"), buckets=4, tie_breakers=["event_id"]
-    )
+_STATE_DDL = "user_id bigint, event_id bigint, event_type string, value double, ts timestamp_ntz"
+
+
+def _streamed(c: StarCatalog, source: str, files_per_trigger: int | None = None, merge: bool = False) -> DataFrame:
+    """Change files consumed as a stream and merged by user."""
+    target, order = scratch_path(c.spark, "stream-target"), ["ts", "event_id"]
+    empty_target(c.spark, target, _STATE_DDL, "user_id", 4)
+    stream = change_stream(c.spark, source, _EVENT_DDL, files_per_trigger)
+    query = stream_upsert(stream, _EVENT, "ts", target, scratch_path(c.spark, "stream-checkpoint"), tie_breakers=["event_id"])
     query.awaitTermination()
-    schema = "user_id bigint, event_id bigint, event_type string, value double, ts timestamp_ntz"
-    return c.spark.read.schema(schema).parquet(target)
+    if merge:
+        R.compact(c.spark, target, _EVENT, order)
+        return c.spark.read.schema(_STATE_DDL).parquet(target).select(*_EVENT.columns)
+    return R.keyed_state(c.spark, target, _EVENT, _STATE_DDL, order)
+
+
+def _late_files(c: StarCatalog) -> DataFrame:
+    """The events in four files, the newest first, so that most rows come days late; then merged into the target."""
+    folder = scratch_path(c.spark, "stream-late")
+    days = c.spark.read.schema(_EVENT_DDL).parquet(f"{c.root}/events*.parquet").withColumn("turn", F.pmod(F.datediff(F.lit("2030-01-01"), "ts"), F.lit(4)))
+    for turn in range(4):  # one micro-batch each
+        days.filter(F.col("turn") == turn).drop("turn").coalesce(1).write.parquet(f"{folder}/f{turn}")
+    return _streamed(c, f"{folder}/*", files_per_trigger=1, merge=True)
+
+
+_LATEST_EVENT = """SELECT user_id, event_id, event_type, value, ts FROM events
+       QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""
+add("t01_stream_late_files", "user_id bigint, event_id bigint, event_type string, value double, ts ts", _late_files, _LATEST_EVENT)
+
+
+def _bucketed(c: StarCatalog) -> DataFrame:
+    """The keyed merge through a bucketed folder."""
+    path = scratch_path(c.spark, "bucketed")
+    R.write_keyed(_pay_target(c), path, "payment_oid", 8)
+    R.upsert_into_path(c.spark, path, _pay_source(c), _PAY_ALL)
+    return c.spark.read.parquet(path).drop("bucket")
 
 
+add("r03_bucketed_upsert", _PAY_SCHEMA, _bucketed, merge_sql(_PAY_TARGET, _PAY_SOURCE, _PAY_ALL))
 add(
     "t01_stream_upsert",
     "user_id bigint, event_id bigint, event_type string, value double, ts ts",
-    _streamed,
-    """SELECT user_id, event_id, event_type, value, ts FROM events
-       QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+    lambda c: _streamed(c, f"{c.root}/events*.parquet"),
+    _LATEST_EVENT,
 )
 
 __all__ = ["operators"]

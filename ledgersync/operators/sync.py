@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgersync.functions.clock import as_datetime, ts
 from ledgersync.operators.joins import lookup
+from ledgersync.operators.windows import latest_per_key
 from ledgersync.registry import ObjectSpec
 from ledgersync.session import scratch_path
 
@@ -85,29 +88,28 @@ def one_row_per_key(
     ``on_duplicate='error'`` fails the job when a key repeats, ``'latest'`` keeps the
     row with the greatest ``latest_by`` (the remaining columns break ties). Rows
     with a NULL key match nothing: ``'insert'`` keeps every one, ``'drop'`` removes
-    them and ``'error'`` fails. Grouping is map-side first, and NULL-key rows are
-    spread by their content, so neither a hot key nor many NULL keys gather in one task.
+    them and ``'error'`` fails. Counts are partial before the shuffle, the latest row
+    is cut to one per key and task first, and NULL-key rows are not shuffled at all.
     """
     if on_duplicate not in ("error", "latest") or on_null_key not in ("insert", "drop", "error"):
         raise ValueError(f"on_duplicate={on_duplicate!r}, on_null_key={on_null_key!r}")
     if on_duplicate == "latest" and not latest_by:
         raise ValueError("latest_by is required")
     cols = source.columns
-    if on_null_key == "drop":
-        source = source.filter(F.col(key).isNotNull())
-    row = ", ".join(f"`{c}`" for c in [*latest_by, *[c for c in cols if c not in latest_by]])
-    null_row = f"CASE WHEN `{key}` IS NULL THEN struct({row}) END" if on_null_key == "insert" else "CAST(NULL AS INT)"
-    grouped = source.groupBy(F.expr(f"`{key}` AS __k"), F.expr(f"{null_row} AS __null_row")).agg(
-        F.expr("COUNT(1) AS __n"), F.expr(f"MAX(struct({row})) AS __row")
-    )
-    rows = "CASE WHEN __k IS NULL THEN __n ELSE 1 END"
-    if on_duplicate == "error":
+    keyed, keyless = source.filter(F.col(key).isNotNull()), source.filter(F.col(key).isNull())
+    if on_duplicate == "latest":
+        order = [F.col(c).desc_nulls_last() for c in [*latest_by, *[c for c in cols if c not in latest_by and c != key]]]
+        keyed = latest_per_key(keyed, [key], order)
+    else:
         fail = f"raise_error(concat('several source rows for {key} = ', CAST(__k AS STRING)))"
-        rows = f"CASE WHEN __k IS NULL THEN __n WHEN __n > 1 THEN CAST({fail} AS BIGINT) ELSE 1 END"
+        counts = keyed.groupBy(F.col(key).alias("__k")).agg(F.expr("COUNT(1) AS __n"))
+        checked = counts.selectExpr("__k", f"CASE WHEN __n > 1 THEN CAST({fail} AS BOOLEAN) ELSE TRUE END AS __once")
+        keyed = keyed.join(checked, F.expr(f"`{key}` = __k")).filter("__once").select(*cols)
+    if on_null_key == "drop":
+        return keyed
     if on_null_key == "error":
-        rows = f"CASE WHEN __k IS NULL THEN CAST(raise_error('source row without {key}') AS BIGINT) ELSE {rows} END"
-    repeated = grouped.selectExpr("__row", f"explode(array_repeat(0, CAST({rows} AS INT)))")
-    return repeated.selectExpr(*[f"__row.`{c}` AS `{c}`" for c in cols])
+        keyless = keyless.filter(F.expr(f"CAST(raise_error('source row without {key}') AS BOOLEAN)"))
+    return keyed.unionByName(keyless)
 
 
 def merge_upsert(
@@ -121,12 +123,12 @@ def merge_upsert(
     on_null_key: str = "insert",
     latest_by: Sequence[str] = (),
     defaults: Mapping[str, int | float] | None = None,
-    newer_by: str | None = None,
+    newer_by: str | Sequence[str] | None = None,
 ) -> DataFrame:
     """Matched rows take ``update_cols``, new rows take ``insert_cols``, other rows stay; nothing is deleted.
 
-    ``defaults`` replaces NULLs of the source on write. With ``newer_by`` a matched
-    row is only updated when its source time is not older than the stored one.
+    ``defaults`` replaces NULLs of the source on write. With ``newer_by`` (columns, NULLs
+    least) a matched row is only updated when the source's are not below the stored ones.
     """
     cols = target.columns
     updates = set(update_cols if update_cols is not None else [c for c in cols if c != key])
@@ -151,7 +153,9 @@ def merge_upsert(
     joined = t.join(s, F.expr(f"`{key}` = `__s_{key}` AND __t_salt = __s_salt"), "full")
     take = "__in_source"
     if newer_by:
-        take = f"__in_source AND (`{newer_by}` IS NULL OR `__s_{newer_by}` >= `{newer_by}`)"
+        by = [newer_by] if isinstance(newer_by, str) else list(newer_by)
+        # structs compare field by field, NULL before all values
+        take = f"__in_source AND struct({', '.join(f'`__s_{c}`' for c in by)}) >= struct({', '.join(f'`{c}`' for c in by)})"
 
     def merged(c: str, kind: str) -> str:
         new = f"CAST(`__s_{c}` AS {kind})" if c in src.columns else f"CAST(NULL AS {kind})"
@@ -197,16 +201,32 @@ def _laid_out(df: DataFrame, key: str, splits: int) -> DataFrame:
     return df.repartition(F.col("bucket"), split)
 
 
+def _beside(path: str, name: str) -> str:
+    return f"{path.rstrip('/')}-{name}"
+
+
 def write_keyed(df: DataFrame, path: str, key: str, buckets: int = 64, splits: int = 1) -> None:
     """Write a merge target partitioned by key bucket, so upserts rewrite only touched buckets.
 
     Choose ``buckets`` for about a gigabyte per bucket; ``splits`` writes a bucket
-    by several tasks where it must be larger.
+    by several tasks where it must be larger. Key, bucket count and columns are stored
+    beside the target (``<path>-layout``), where upserts read them.
     """
+    spark = df.sparkSession
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    spark.createDataFrame([(key, buckets, columns)], "key string, buckets int, columns string").coalesce(1).write.mode("errorifexists").parquet(_beside(path, "layout"))
     out = _laid_out(with_bucket(df, key, buckets), key, splits)
     out.write.mode("errorifexists").partitionBy("bucket").parquet(path)
 
 
+def layout_of(spark: SparkSession, path: str, key: str) -> tuple[int, str]:
+    """Bucket count and columns of a ``write_keyed`` folder, which must be keyed by ``key``."""
+    stored = spark.read.parquet(_beside(path, "layout")).first()
+    if stored.key != key:
+        raise ValueError(f"{path} is keyed by {stored.key}, not {key}")
+    return stored.buckets, stored.columns
+
+
 def _publish(spark: SparkSession, staged: str, path: str) -> None:
     """Replace the staged buckets in the target."""
     (
@@ -218,12 +238,25 @@ def _publish(spark: SparkSession, staged: str, path: str) -> None:
     )
 
 
+def _read_if_there(spark: SparkSession, path: str, **options: str) -> DataFrame | None:
+    try:
+        return spark.read.options(**options).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _mark(spark: SparkSession, root: str, target: str) -> None:
+    """Note which target the stage is being published to; '' when it is done."""
+    spark.createDataFrame([(target,)], "target string").coalesce(1).write.mode("overwrite").parquet(f"{root}/publishing")
+
+
 def upsert_into_path(
     spark: SparkSession,
     path: str,
     source: DataFrame,
     spec: ObjectSpec,
-    buckets: int = 64,
     splits: int = 1,
     stage: str | None = None,
     **options: object,
@@ -234,23 +267,69 @@ def upsert_into_path(
     folder in the shared scratch space; repeated jobs should pass one to overwrite)
     first: the source is computed once, and the target is replaced partition by
     partition from finished files. A run that stops while publishing is finished
-    from its staged buckets by the next run with the same ``stage``.
+    from its staged buckets by the next run with the same ``stage``; a stage that
+    was publishing to another target is refused. While a run publishes, readers of
+    the folder can see some buckets new and others old.
     """
     root = stage or scratch_path(spark, "upsert")
     staged_source, staged = f"{root}/source", f"{root}/merged"
-    ready = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_READY")
-    fs = ready.getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(ready):  # an earlier run stopped while publishing: its staged buckets are complete
+    buckets, columns = layout_of(spark, path, spec.key)
+    marked = _read_if_there(spark, f"{root}/publishing")
+    if marked is not None and (was := marked.first().target):  # an earlier run stopped while publishing: its staged buckets are complete
+        if was != path:
+            raise ValueError(f"{root} holds an unfinished publication to {was}")
         _publish(spark, staged, path)
-        fs.delete(ready, False)
-    with_bucket(source.select(*spec.columns), spec.key, buckets).write.mode("overwrite").parquet(staged_source)
+        _mark(spark, root, "")
+    with_bucket(source, spec.key, buckets).write.mode("overwrite").parquet(staged_source)
     src = spark.read.parquet(staged_source)
     touched = [r[0] for r in src.select("bucket").distinct().collect()]  # at most ``buckets`` small numbers
     if not touched:
         return
-    target = spark.read.schema(src.schema).parquet(path).filter(F.col("bucket").isin(touched)).select(*spec.columns)
+    target = spark.read.schema(f"{columns}, bucket int").parquet(path).filter(F.col("bucket").isin(touched)).select(*spec.columns)
     merged = with_bucket(merge_object(target, src.drop("bucket"), spec, **options), spec.key, buckets)
     _laid_out(merged, spec.key, splits).write.mode("overwrite").partitionBy("bucket").parquet(staged)
-    fs.create(ready).close()
+    _mark(spark, root, path)
     _publish(spark, staged, path)
-    fs.delete(ready, False)
+    _mark(spark, root, "")
+
+
+def append_changes(changes: DataFrame, path: str, spec: ObjectSpec, run: str, latest_by: Sequence[str]) -> None:
+    """Append a batch of changes, its newest row per key, to the change folder of a ``write_keyed`` target.
+
+    ``run`` names the batch: appended again it replaces itself. Rows without a key are dropped, as they match nothing.
+    """
+    newest = one_row_per_key(changes.select(*spec.columns), spec.key, "latest", "drop", latest_by)
+    newest.write.mode("overwrite").parquet(f"{_beside(path, 'changes')}/batch=b{hashlib.sha256(run.encode()).hexdigest()[:16]}")
+
+
+def _changes(spark: SparkSession, path: str, spec: ObjectSpec) -> DataFrame | None:
+    """All appended changes that no ``compact`` has merged yet."""
+    found = _read_if_there(spark, _beside(path, "changes"))
+    merged = _read_if_there(spark, _beside(path, "compacted"))
+    if found is not None and merged is not None:
+        found = found.join(merged.select(F.col("batch").cast(found.schema["batch"].dataType).alias("batch")).distinct(), "batch", "left_anti")
+    return found
+
+
+def keyed_state(spark: SparkSession, path: str, spec: ObjectSpec, schema: str, latest_by: Sequence[str]) -> DataFrame:
+    """The stored rows with all appended changes, in whatever order these came: per key the greatest by ``latest_by``."""
+    target = spark.read.schema(schema).parquet(path).select(*spec.columns)
+    changes = _changes(spark, path, spec)
+    if changes is None:
+        return target
+    return merge_object(target, changes, spec, on_duplicate="latest", on_null_key="drop", latest_by=latest_by, newer_by=latest_by)
+
+
+def compact(spark: SparkSession, path: str, spec: ObjectSpec, latest_by: Sequence[str], stage: str | None = None) -> None:
+    """Merge the appended changes into the target and note their batches as merged.
+
+    A batch merged twice changes nothing, so a run that stops in between is simply run again.
+    """
+    changes = _changes(spark, path, spec)
+    if changes is None:
+        return
+    batches = [r.batch for r in changes.select("batch").distinct().collect()]  # one name per micro-batch since the last run
+    named = changes.filter(F.col("batch").isin(batches))
+    upsert_into_path(spark, path, named, spec, stage=stage, on_duplicate="latest", on_null_key="drop", latest_by=list(latest_by), newer_by=list(latest_by))
+    if batches:
+        spark.createDataFrame([(str(b),) for b in batches], "batch string").coalesce(1).write.mode("append").parquet(_beside(path, "compacted"))

@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgersync.operators.sync import upsert_into_path, write_keyed
+from ledgersync.operators.sync import append_changes, write_keyed
 from ledgersync.registry import ObjectSpec
 
 
@@ -20,48 +19,26 @@ def change_stream(spark: SparkSession, path: str, schema: str, files_per_trigger
     return reader.parquet(path)
 
 
-def drop_replays(stream: DataFrame, key: str, ts: str, overlap: str) -> DataFrame:
-    """Drop exact replays by (key, change time) and rows later than the overlap.
-
-    The key alone would lose newer versions. Spark counts late rows as
-    ``numRowsDroppedByWatermark`` in the query progress. Event time needs a zoned
-    timestamp, so the watermark runs on a cast copy.
-    """
-    marked = stream.withColumn("__event_time", F.col(ts).cast("timestamp")).withWatermark("__event_time", overlap)
-    return marked.dropDuplicatesWithinWatermark([key, ts]).drop("__event_time")
-
-
 def stream_upsert(
     stream: DataFrame,
     spec: ObjectSpec,
     ts: str,
-    overlap: str,
     target: str,
     checkpoint: str,
-    buckets: int = 64,
     tie_breakers: Sequence[str] = (),
 ) -> StreamingQuery:
     """Start the upsert stream into a ``write_keyed`` folder and return the query.
 
-    Each micro-batch is reduced to the newest row per key and merged where it is
-    not older than the stored row, so a batch that is run again changes nothing.
-    Two staging folders beside the checkpoint are used in turn, so they do not pile up.
+    Each micro-batch is reduced to the newest row per key by (``ts``, tie-breakers) and appended to the target's change
+    folder; nothing stored is rewritten, so a batch costs what it brings. No row is too late: ``keyed_state`` orders
+    stored rows and changes by (``ts``, tie-breakers), so late new keys land, late old versions lose, and replays or a
+    batch that is run again change nothing. ``compact`` merges the changes into the target on a slower schedule.
     """
-    spark = stream.sparkSession
 
-    def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        upsert_into_path(
-            spark, target, batch, spec, buckets, stage=f"{checkpoint.rstrip('/')}-stage/{batch_id % 2}", on_duplicate="latest",
-            on_null_key="drop", latest_by=[ts, *tie_breakers], newer_by=ts,
-        )
+    def append_batch(batch: DataFrame, batch_id: int) -> None:
+        append_changes(batch, target, spec, f"{checkpoint.rstrip('/')}#{batch_id}", latest_by=[ts, *tie_breakers])
 
-    return (
-        drop_replays(stream, spec.key, ts, overlap)
-        .writeStream.foreachBatch(merge_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return stream.writeStream.foreachBatch(append_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def empty_target(spark: SparkSession, path: str, schema: str, key: str, buckets: int = 64) -> None:
