@@ -1,8 +1,15 @@
-"""SentencePiece encoding and decoding with a Viterbi search that streams.
-
-The vocabulary and its scores come from a model file; a text's ids are the pieces with the greatest sum of scores. The
-search keeps backpointers only for a window behind the reading position. No piece is longer than the longest one of
-the vocabulary, so the live ends lie within that length; when the paths of all live ends run through one boundary,
+"""SentencePiece encoding and decoding with a search that streams.
+
+The vocabulary, its scores and its type come from a model file. A unigram model's ids are the pieces with the greatest
+sum of scores. A BPE model's scores are ranks of merges: of all neighbours whose union is a piece, those with the best
+one are merged, the leftmost first, until none are left. A short text is merged so. In a longer one every beginning has
+one last piece: the one that, joined to the last piece before it, is merged to just these two. (No merge crosses a
+boundary of the result, so any neighbours in it are merged alone as within the text; and the first merge across
+a boundary would also be made by the two pieces alone.) So beginnings point back to shorter ones, as in the search for
+sums.
+
+Either search keeps backpointers only for a window behind the reading position. No piece is longer than the longest one
+of the vocabulary, so the live ends lie within that length; when the paths of all live ends run through one boundary,
 nothing after it can change what lies before, and the ids up to it are committed and forgotten. Word starts are such
 boundaries in vocabularies whose pieces have no space but at their start, so words may be searched one by one, and
 a worker keeps the ids of words it has met, in a table of bounded size.
@@ -12,7 +19,8 @@ Scale: map-only; texts don't move. Memory beside the text and its ids is the win
 Defined results: a null or empty text has no ids and decodes to ''; characters without a piece become the ids of their
 bytes; of equal sums the path whose pieces end with the longer one wins; control ids decode to nothing. A text with
 the space mark U+2581 decodes to one with spaces, as the format has it. Repeated rows and null ids are ordinary rows,
-an empty table gives no rows; other columns are ignored.
+an empty table gives no rows; other columns are ignored. Models of words or characters, or with unused pieces in BPE,
+are refused.
 """
 
 from __future__ import annotations
@@ -32,9 +40,39 @@ from ledgersync.llm.common import table
 SPACE = "▁"
 KNOWN = 600_000  # entries of a worker's table of words
 LONGEST_KNOWN = 48
+UNIGRAM, BPE = 1, 2  # the format's numbers of model types
+_NO = (-inf, -1)
 _CHUNK = re.compile(rf"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 
 
+def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
+    """The fields of a message in protocol buffer coding."""
+
+    def varint(at: int) -> tuple[int, int]:
+        value = shift = 0
+        while True:
+            value |= (data[at] & 127) << shift
+            shift, at = shift + 7, at + 1
+            if data[at - 1] < 128:
+                return value, at
+
+    at = 0
+    while at < len(data):
+        tag, at = varint(at)
+        if tag & 7 == 0:
+            value, at = varint(at)
+        else:
+            size, at = varint(at) if tag & 7 == 2 else ({1: 8, 5: 4}[tag & 7], at)
+            value, at = data[at : at + size], at + size
+        yield tag >> 3, value
+
+
+def model_type(model: bytes) -> int:
+    """The type of a model file: field 3 of the trainer's settings, which are field 2 of the file."""
+    settings = [value for field, value in _fields(model) if field == 2]
+    return next((value for s in settings for field, value in _fields(s) if field == 3), UNIGRAM)
+
+
 class Pieces:
     """A vocabulary with scores, and the search over it."""
 
@@ -42,7 +80,12 @@ class Pieces:
         from sentencepiece import SentencePieceProcessor
 
         model = SentencePieceProcessor(model_file=model_file)
+        self.type = model_type(model.serialized_model_proto())
+        if self.type not in (UNIGRAM, BPE) or (self.type == BPE and any(map(model.is_unused, range(model.get_piece_size())))):
+            raise ValueError(f"{model_file}: neither a unigram model nor a BPE model without unused pieces")
         self.trie: dict = {}
+        self.back: dict = {}  # the pieces read from their ends
+        self.merges: dict[str, tuple[float, int]] = {}
         self.byte_id = [0] * 256
         self.plain: list[bytes] = []  # what an id decodes to
         scores, self.longest, inner = [], 1, set()
@@ -58,6 +101,11 @@ class Pieces:
                 for c in piece:
                     node = node.setdefault(c, {})
                 node[""] = (i, model.get_score(i))
+                node = self.back
+                for c in reversed(piece):
+                    node = node.setdefault(c, {})
+                node[""] = piece
+                self.merges[piece] = (model.get_score(i), i)
                 scores.append(model.get_score(i))
                 self.longest = max(self.longest, len(piece))
                 inner.update(zip(piece, piece[1:], strict=False))
@@ -67,6 +115,7 @@ class Pieces:
         self.by_word = not any((b == SPACE and a != SPACE) or "\n" in (a, b) for a, b in inner)
         self.inner = frozenset(inner)
         self.known: dict[str, bytes] = {}
+        self.neighbours: dict[tuple[str, str], bool] = {}
 
     def arcs(self, text: str, i: int) -> list[tuple[int, float, int | None]]:
         """(end, score, id) of the pieces that start at ``i``; id None for a character without piece."""
@@ -84,7 +133,7 @@ class Pieces:
         return out
 
     def stream(self, text: str) -> Iterator[list[int]]:
-        """Yields ids of ``text`` as soon as they are certain."""
+        """Yields the ids of ``text`` with the greatest sum of scores as soon as they are certain."""
         # of the boundaries after the last commit, in order: greatest sum, start and id of the last piece
         total, start, last = [0.0], [0], [None]
         done, window, longest = 0, 2 * self.longest, self.longest
@@ -137,13 +186,82 @@ class Pieces:
         ids.reverse()
         return ids
 
+    def merged(self, text: str) -> list[str]:
+        """``text`` in the pieces that BPE merges leave of it; for short texts."""
+        parts, merges = list(text), self.merges
+        scores = [merges.get(a + b, _NO)[0] for a, b in zip(parts, parts[1:], strict=False)]
+        while scores and (best := max(scores)) > -inf:
+            k = scores.index(best)
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+            del scores[k]
+            if k:
+                scores[k - 1] = merges.get(parts[k - 1] + parts[k], _NO)[0]
+            if k < len(scores):
+                scores[k] = merges.get(parts[k] + parts[k + 1], _NO)[0]
+        return parts
+
+    def _stay(self, a: str, b: str) -> bool:
+        """Whether merging leaves ``a`` and ``b`` apart, each as one piece; ``a`` is empty at the start of a text."""
+        found = self.neighbours.get((a, b))
+        if found is None:
+            if len(self.neighbours) >= KNOWN:
+                self.neighbours.clear()
+            found = self.neighbours[a, b] = self.merged(a + b) == ([a, b] if a else [b])
+        return found
+
+    def stream_merged(self, text: str) -> Iterator[list[int]]:
+        """Yields the ids that BPE merges leave of ``text`` as soon as they are certain."""
+        # the last piece of each beginning of the text that ends after the last commit
+        last, done, longest, look = [""], 0, self.longest, 2 * self.longest
+        for end in range(1, len(text) + 1):
+            node, found = self.back, [text[end - 1]]
+            for at in range(end - 1, max(done, end - longest) - 1, -1):
+                node = node.get(text[at])
+                if node is None:
+                    break
+                if "" in node and at < end - 1:
+                    found.append(node[""])
+            last.append(next(p for p in reversed(found) if self._stay(last[end - len(p) - done], p)))
+            if end == len(text) or end >= look:
+                live = {end} if end == len(text) else set(range(max(done, end - longest + 1), end + 1))
+                while len(live) > 1:  # follow the latest end back until all paths meet
+                    at = max(live)
+                    live.remove(at)
+                    live.add(at - len(last[at - done]))
+                meet = live.pop()
+                if meet > done:
+                    pieces, at = [], meet
+                    while at > done:
+                        pieces.append(last[at - done])
+                        at -= len(pieces[-1])
+                    yield self._ids(reversed(pieces))
+                    del last[: meet - done]
+                    done = meet
+                look = end + max(longest, (end - done) // 2)
+
+    def _ids(self, pieces: Iterable[str]) -> list[int]:
+        ids: list[int] = []
+        for p in pieces:
+            if p in self.merges:
+                ids.append(self.merges[p][1])
+            else:
+                ids += [self.byte_id[b] for b in p.encode()]
+        return ids
+
     def _apart(self, chunk: str) -> list[str]:
         """``chunk`` cut where no piece of the vocabulary can run across."""
         cuts = [0, *(k for k, pair in enumerate(zip(chunk, chunk[1:], strict=False), 1) if pair not in self.inner), len(chunk)]
         return [chunk[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
+    def search(self, text: str) -> Iterator[list[int]]:
+        """Yields ids of ``text`` by the search of the model's type."""
+        return self.stream_merged(text) if self.type == BPE else self.stream(text)
+
     def _search(self, part: str) -> bytes:
-        ids = [i for some in self.stream(part) for i in some]
+        if self.type == BPE and len(part) <= LONGEST_KNOWN:
+            ids = self._ids(self.merged(part))
+        else:
+            ids = [i for some in self.search(part) for i in some]
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _chunk(self, chunk: str) -> bytes:
@@ -167,7 +285,7 @@ class Pieces:
             return b""
         marked = SPACE + text.replace(" ", SPACE)
         if not self.by_word:
-            return b"".join(np.array(ids, "<u4").tobytes() for ids in self.stream(marked))
+            return b"".join(np.array(ids, "<u4").tobytes() for ids in self.search(marked))
         known, new = self.known.get, self._chunk
         return b"".join([known(c) or new(c) for c in _CHUNK.findall(marked)])
 
