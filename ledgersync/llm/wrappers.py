@@ -5,8 +5,12 @@ such terms: elements, optional terms, repeated groups, and texts that are either
 repetitions (list items, paragraphs, pairs of a term and its text) are folded into repeated groups first; then wrappers
 are aligned two by two: terms with the same tag and class match and are merged inside, texts that differ become slots,
 terms of only one side become optional. Each element of a wrapper counts the pages and the characters, linked or not,
-that it was seen with. From the host's wrapper the place of the article is chosen - a tag or class that says so, or
-else the element that holds most of the unlinked slot text - and each page is read at that place.
+that it was seen with. A wrapper also keeps the blocks that have the same text at the same path on all its pages; if
+the host has ENOUGH different pages these, and texts that never differ, are constants and all other text is slot text.
+From the host's wrapper the place of the article is chosen - a tag or class that says so, or else the element that
+holds most of the unlinked slot text - and each page is read at that place, without the constant blocks. A constant
+block of fewer than LABEL words that are not all linked stays: it may be a label within the articles. So does all text
+of a page that would have none without its constants.
 
 Scale: a task folds its pages into one wrapper per host and emits only those; wrappers of a host meet in two rounds
 (salted, then whole), so a host with a third of all pages is as cheap as any. Pages are then joined to their host's
@@ -19,6 +23,7 @@ an empty table gives no rows. Extra columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
@@ -60,6 +65,8 @@ SCOPE = frozenset("table ul ol dl select div article section main body aside nav
 DEEPEST = 100
 WIDEST = 64  # terms side by side in a wrapper before same tags are taken together
 SALTS = 64
+ENOUGH = 3  # different pages of a host before what they share is no article
+LABEL = 5
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _ATTR = re.compile(r"([^\s=/\"'>]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)|([^\s=/\"'>]+)")
 
@@ -241,6 +248,10 @@ def merge(a: list[list], b: list[list]) -> list[list]:
     return out
 
 
+def _digest(*parts: str) -> str:
+    return hashlib.blake2b("\x1f".join(parts).encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
+
+
 def page_terms(node: Node) -> tuple[list[list], int, int]:
     """A node's children as folded terms, with their characters and how many of them are linked."""
     terms, chars, linked = [], 0, 0
@@ -262,8 +273,75 @@ def page_terms(node: Node) -> tuple[list[list], int, int]:
     return fold(terms), chars, linked
 
 
-def article_path(terms: list[list]) -> list[str] | None:
+def blocks(root: Node) -> dict[str, tuple[Node, list[str], int, str]]:
+    """The blocks of a page that can be constant, by path and text: (element, path, unlinked characters, block around)."""
+    found: dict[str, tuple[Node, list[str], int, str]] = {}
+
+    def visit(node: Node, path: list[str]) -> tuple[list[str], list[str], int, int, int]:
+        parts, within, words, chars, linked = [], [], 0, 0, 0
+        for child in node.children:
+            if isinstance(child, str):
+                if text := " ".join(child.split()):
+                    parts.append(text)
+                    words, chars = words + text.count(" ") + 1, chars + len(text)
+            elif not unwanted(child, True):
+                here = [*path, child.key]
+                inner, below, w, c, n = visit(child, here)
+                n = c if child.tag == "a" else n
+                if c:
+                    text = _digest(*inner)
+                    parts.append(text)
+                    if child.tag in BLOCK and (w >= LABEL or n == c):
+                        name = _digest(text, *here)
+                        for b in below:
+                            found[b] = (*found[b][:3], name)
+                        found[name] = (child, here, c - n, "")
+                        within.append(name)
+                    else:
+                        within += below
+                words, chars, linked = words + w, chars + c, linked + n
+        return parts, within, words, chars, linked
+
+    visit(root, [])
+    return found
+
+
+# The wrapper of a host's pages: their number, the least ENOUGH digests of different ones, unlinked characters, shared
+# blocks (path, unlinked characters, block around), terms.
+
+
+def page_wrapper(page: str) -> dict:
+    root = parse(page)
+    terms, chars, linked = page_terms(root)
+    same = {name: [path, plain, around] for name, (_, path, plain, around) in blocks(root).items()}
+    return {"n": 1, "pages": [_digest(page)], "plain": chars - linked, "same": same, "terms": terms}
+
+
+def merge_wrappers(a: dict, b: dict) -> dict:
+    return {
+        "n": a["n"] + b["n"],
+        "pages": sorted({*a["pages"], *b["pages"]})[:ENOUGH],
+        "plain": a["plain"] + b["plain"],
+        "same": {name: v for name, v in a["same"].items() if name in b["same"]},
+        "terms": merge(a["terms"], b["terms"]),
+    }
+
+
+def constants(wrapper: dict) -> list[str]:
+    return sorted(wrapper["same"]) if len(wrapper["pages"]) >= ENOUGH else []
+
+
+def article_path(wrapper: dict) -> list[str] | None:
     """The names from the root to the place of the article; None if the whole page is the place."""
+    n, known = wrapper["n"], set(constants(wrapper))
+    fixed: dict[tuple[str, ...], int] = {}  # characters of constant blocks in each element, a page
+    for path, plain, around in (wrapper["same"][name] for name in sorted(known)):
+        for k in range(len(path) + 1) if around not in known else ():
+            fixed[tuple(path[:k])] = fixed.get(tuple(path[:k]), 0) + plain
+
+    def slots(t: list, path: list[str]) -> int:
+        return max(0, t[5] - t[6] - n * fixed.get(tuple(path), 0))
+
     named: list[tuple[int, int, int, list[str]]] = []
 
     def visit(items: list[list], path: list[str]) -> None:
@@ -273,23 +351,26 @@ def article_path(terms: list[list]) -> list[str] | None:
             elif t[0] == "e":
                 here = [*path, t[1]]
                 if level := says_article(t[1]):
-                    named.append((level, t[5] - t[6], -len(here), here))
+                    named.append((level, slots(t, here), -len(here), here))
                 visit(t[7], here)
 
-    visit(terms, [])
+    visit(wrapper["terms"], [])
     if named:
         return max(named)[3]
     path: list[str] = []
+    terms, total = wrapper["terms"], max(0, wrapper["plain"] - n * fixed.get((), 0))
     while True:
         flat = [u for t in terms for u in (t[3] if t[0] == "g" else [t]) if u[0] == "e"]
-        own = sum(len(t[1] or " " * 40) for t in terms if t[0] == "t")
-        total = own + sum(t[5] - t[6] for t in flat)
-        top = max(flat, key=lambda t: (t[5] - t[6], t[1]), default=None)
+        if len(wrapper["pages"]) >= ENOUGH:  # texts that all pages share
+            same = [t[1] for t in terms if t[0] == "t" and t[1] is not None and not t[2]]
+            total = max(0, total - n * sum(len(x) if len(x) <= 80 else int(x[80:]) for x in same))
+        top = max(flat, key=lambda t: (slots(t, [*path, t[1]]), t[1]), default=None)
+        most = slots(top, [*path, top[1]]) if top else 0
         # one paragraph or item is no place
-        if top is None or top[5] - top[6] <= 0.5 * total or top[3] or top[1].split("|")[0] not in ("body", "div", "section", "main", "table", "tbody", "tr", "td", "center"):
+        if not most or most <= 0.5 * total or top[3] or top[1].split("|")[0] not in ("body", "div", "section", "main", "table", "tbody", "tr", "td", "center"):
             return path or None
         path.append(top[1])
-        terms = top[7]
+        terms, total = top[7], most
 
 
 def places(root: Node, path: list[str]) -> list[Node]:
@@ -299,8 +380,8 @@ def places(root: Node, path: list[str]) -> list[Node]:
     return found
 
 
-def block_text(nodes: list[Node]) -> str:
-    """The texts of the nodes' blocks, in page order."""
+def block_text(nodes: list[Node], without: frozenset[int] = frozenset()) -> str:
+    """The texts of the nodes' blocks, in page order, without the elements of these Python ids."""
     blocks: list[list[str]] = [[]]
 
     def visit(node: Node) -> None:
@@ -309,7 +390,7 @@ def block_text(nodes: list[Node]) -> str:
                 blocks[-1].append(child)
             elif child.tag in BLOCK:
                 blocks.append([])
-                if not unwanted(child, True):
+                if id(child) not in without and not unwanted(child, True):
                     visit(child)
                 blocks.append([])
             elif not unwanted(child, True):
@@ -322,20 +403,25 @@ def block_text(nodes: list[Node]) -> str:
     return " ".join(b for b in made if b)
 
 
-def article_text(page: str | None, path: list[str] | None) -> str:
-    """The main text of a page whose host keeps articles at ``path``."""
+def article_text(page: str | None, path: list[str] | None, same: list[str] | None = None) -> str:
+    """The main text of a page whose host keeps articles at ``path`` and has the ``same`` blocks on all pages."""
     if not page:
         return ""
     root = parse(page)
     found = places(root, path) if path else []
     if not found:  # a page unlike its host's others is its own wrapper
-        own = article_path(page_terms(root)[0])
+        own = article_path(page_wrapper(page))
         found = places(root, own) if own else []
-    return block_text(found or [root])
+    found = found or [root]
+    if same:
+        known = blocks(root)
+        if text := block_text(found, frozenset(id(known[name][0]) for name in same if name in known)):
+            return text
+    return block_text(found)
 
 
 def _fold_pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    by_host: dict[str, list[list]] = {}
+    by_host: dict[str, dict] = {}
     salt = TaskContext.get().partitionId() % SALTS
 
     def rows() -> pd.DataFrame:
@@ -344,8 +430,8 @@ def _fold_pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for host, page in zip(batch["host"], batch["html"], strict=True):
             if page:
-                terms = page_terms(parse(page))[0]
-                by_host[host] = merge(by_host[host], terms) if host in by_host else terms
+                made = page_wrapper(page)
+                by_host[host] = merge_wrappers(by_host[host], made) if host in by_host else made
         if len(by_host) > 2_000:
             yield rows()
             by_host.clear()
@@ -357,28 +443,32 @@ def _merge_wrappers(parts: pd.DataFrame) -> str:
     texts = sorted(parts["wrapper"])
     made = json.loads(texts[0])
     for t in texts[1:]:
-        made = merge(made, json.loads(t))
+        made = merge_wrappers(made, json.loads(t))
     return json.dumps(made)
 
 
 def infer_wrappers(pages: DataFrame) -> DataFrame:
-    """(host, wrapper, path): the wrapper of each host of ``pages`` (host, html) and the article's place in it."""
+    """(host, wrapper, path, same): the wrapper of each host of ``pages`` (host, html), the article's place and the constant blocks in it."""
 
     def some(parts: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"host": [parts["host"].iloc[0]], "wrapper": [_merge_wrappers(parts)]})
 
     def whole(parts: pd.DataFrame) -> pd.DataFrame:
         wrapper = _merge_wrappers(parts)
-        return pd.DataFrame({"host": [parts["host"].iloc[0]], "wrapper": [wrapper], "path": [article_path(json.loads(wrapper))]})
+        made = json.loads(wrapper)
+        return pd.DataFrame({"host": [parts["host"].iloc[0]], "wrapper": [wrapper], "path": [article_path(made)], "same": [constants(made)]})
 
     local = pages.select("host", "html").mapInPandas(_fold_pages, "host string, salt int, wrapper string")
     met = local.groupBy("host", "salt").applyInPandas(some, "host string, wrapper string")
-    return met.groupBy("host").applyInPandas(whole, "host string, wrapper string, path array<string>")
+    return met.groupBy("host").applyInPandas(whole, "host string, wrapper string, path array<string>, same array<string>")
 
 
 def _read_pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        text = [article_text(page, None if path is None else list(path)) for page, path in zip(batch["html"], batch["path"], strict=True)]
+        text = [
+            article_text(page, None if path is None else list(path), None if same is None else list(same))
+            for page, path, same in zip(batch["html"], batch["path"], batch["same"], strict=True)
+        ]
         yield batch[["page_id", "url"]].assign(text=text, n_chars=[len(t) for t in text])
 
 
@@ -387,7 +477,7 @@ def extract_articles(pages: DataFrame) -> DataFrame:
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
     read = pages.select("page_id", "url", "html", host.alias("host"))
     wrappers = stage(infer_wrappers(read), "wrappers")
-    joined = read.join(wrappers.select("host", "path"), "host", "left").select("page_id", "url", "html", "path")
+    joined = read.join(wrappers.select("host", "path", "same"), "host", "left").select("page_id", "url", "html", "path", "same")
     return joined.mapInPandas(_read_pages, "page_id long, url string, text string, n_chars long")
 
 
