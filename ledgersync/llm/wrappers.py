@@ -56,6 +56,10 @@ NOT_ARTICLE = re.compile(
     r"pagination|pager|pagenav|disclaimer|alert|hidden|skip|copyright|footnav|sitenav|sidenav)"
 )
 ARTICLE = re.compile(r"(articlebody|article|story|storybody|entrycontent|postcontent|postbody|post|entry|maintext|articletext|bodytext)")
+#: First and last words that say how an element looks or what it goes with, not what it is.
+MODIFIERS = frozenset("has have no not with without is js overflow".split())
+STATES = frozenset("open opened closed visible enabled disabled on off active inactive true false".split())
+ALONE = frozenset("hidden skip".split())  # say something only as a whole name
 CLOSES = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
     "option": ("option",), "thead": ("tr", "td", "th"), "tbody": ("tr", "td", "th", "thead", "tbody"), "tfoot": ("tr", "td", "th", "tbody"),
@@ -74,11 +78,12 @@ _ATTR = re.compile(r"([^\s=/\"'>]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)|([^\s=
 class Node:
     """An element of a page; children are nodes and texts in page order."""
 
-    __slots__ = ("tag", "attrs", "children", "_key")
+    __slots__ = ("tag", "attrs", "children", "_key", "holds")
 
     def __init__(self, tag: str, attrs: str = "") -> None:
         self.tag, self.attrs, self.children = tag, attrs, []
         self._key = None
+        self.holds = 0  # 2 with the article's place inside, 1 with most of the page's text, else 0
 
     def values(self) -> dict[str, str]:
         if not self.attrs.strip(" /"):
@@ -142,11 +147,49 @@ def parse(text: str) -> Node:
             at = end.end() if end else n
         elif tag not in VOID and not m[3].rstrip().endswith("/") and len(stack) < DEEPEST:
             stack.append(node)
+    _weigh(root)
     return root
 
 
+def _weigh(root: Node) -> None:
+    """Find the elements that hold the page's main or article element or most of its unlinked text."""
+    sizes: list[tuple[Node, int, bool, int]] = []
+
+    def visit(node: Node) -> tuple[int, bool, int]:
+        size, main, article = 0, node.tag == "main" or "articlebody" in node.attrs.lower(), 0
+        for child in node.children:
+            if isinstance(child, str):
+                size += len(child.strip())
+            elif child.tag not in DROPPED:
+                n, m, a = visit(child)
+                size, main, article = size + (n if child.tag != "a" else 0), main or m, max(article, a)
+        article = max(article, size) if node.tag == "article" else article
+        sizes.append((node, size, main, article))
+        return size, main, article
+
+    total = visit(root)[0]
+    for node, size, main, article in sizes:
+        node.holds = 2 if main or 2 * article > total else int(2 * size > total)
+
+
+def named_unwanted(name: str) -> int:
+    """2 if a class or id name is one of NOT_ARTICLE, 1 if its first or last word is, else 0."""
+    parts = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower())
+    if not parts:
+        return 0
+    if NOT_ARTICLE.fullmatch("".join(parts)):
+        return 2
+    if parts[0] in MODIFIERS or parts[-1] in STATES:
+        return 0
+    return int(any(NOT_ARTICLE.fullmatch(x) and x not in ALONE for x in (parts[0], parts[-1])))
+
+
 def unwanted(node: Node, inside: bool) -> bool:
-    """Whether an element is no part of an article; ``inside``: within the article's place."""
+    """Whether an element is no part of an article; ``inside``: within the article's place.
+
+    A name counts as a whole or by its first or last word. By a whole name an element with the page's article place is
+    never unwanted, by a word of one also none with most of the page's text.
+    """
     if node.tag in DROPPED or (node.tag == "header" and not inside):
         return True
     if not node.attrs:
@@ -154,8 +197,10 @@ def unwanted(node: Node, inside: bool) -> bool:
     v = node.values()
     if "hidden" in v or v.get("aria-hidden") == "true" or v.get("role", "").lower() in ROLES or "display:none" in v.get("style", "").replace(" ", ""):
         return True
-    names = re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{v.get('class', '')} {v.get('id', '')}").lower())
-    return node.tag not in ("body", "main") and any(NOT_ARTICLE.fullmatch(w) or (w == "header" and not inside) for w in names)
+    names = f"{v.get('class', '')} {v.get('id', '')}".split()
+    if node.tag not in ("body", "main") and max(map(named_unwanted, names), default=0) > node.holds:
+        return True
+    return not inside and not node.holds and any(re.fullmatch(r"(site|page|main|global|top)?header", re.sub(r"[^a-z]", "", x.lower())) for x in names)
 
 
 def says_article(key: str) -> int:
@@ -252,7 +297,7 @@ def _digest(*parts: str) -> str:
     return hashlib.blake2b("\x1f".join(parts).encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
 
 
-def page_terms(node: Node) -> tuple[list[list], int, int]:
+def page_terms(node: Node, inside: bool = False) -> tuple[list[list], int, int]:
     """A node's children as folded terms, with their characters and how many of them are linked."""
     terms, chars, linked = [], 0, 0
     for child in node.children:
@@ -264,8 +309,8 @@ def page_terms(node: Node) -> tuple[list[list], int, int]:
                 else:
                     terms[-1][1] = None
                 chars += len(text)
-        elif child.tag not in DROPPED and not unwanted(child, True):
-            inner, c, n = page_terms(child)
+        elif child.tag not in DROPPED and not unwanted(child, inside):
+            inner, c, n = page_terms(child, inside or says_article(child.key) > 0)
             if child.tag == "a":
                 n = c
             terms.append(["e", child.key, False, False, 1, c, n, inner])
@@ -277,7 +322,7 @@ def blocks(root: Node) -> dict[str, tuple[Node, list[str], int, str]]:
     """The blocks of a page that can be constant, by path and text: (element, path, unlinked characters, block around)."""
     found: dict[str, tuple[Node, list[str], int, str]] = {}
 
-    def visit(node: Node, path: list[str]) -> tuple[list[str], list[str], int, int, int]:
+    def visit(node: Node, path: list[str], inside: bool, counted: bool) -> tuple[list[str], list[str], int, int, int]:
         parts, within, words, chars, linked = [], [], 0, 0, 0
         for child in node.children:
             if isinstance(child, str):
@@ -286,7 +331,8 @@ def blocks(root: Node) -> dict[str, tuple[Node, list[str], int, str]]:
                     words, chars = words + text.count(" ") + 1, chars + len(text)
             elif not unwanted(child, True):
                 here = [*path, child.key]
-                inner, below, w, c, n = visit(child, here)
+                known = counted and not unwanted(child, inside)  # a site's header is no part of the wrapper
+                inner, below, w, c, n = visit(child, here, inside or says_article(child.key) > 0, known)
                 n = c if child.tag == "a" else n
                 if c:
                     text = _digest(*inner)
@@ -295,14 +341,14 @@ def blocks(root: Node) -> dict[str, tuple[Node, list[str], int, str]]:
                         name = _digest(text, *here)
                         for b in below:
                             found[b] = (*found[b][:3], name)
-                        found[name] = (child, here, c - n, "")
+                        found[name] = (child, here, c - n if known else 0, "")
                         within.append(name)
                     else:
                         within += below
                 words, chars, linked = words + w, chars + c, linked + n
         return parts, within, words, chars, linked
 
-    visit(root, [])
+    visit(root, [], False, True)
     return found
 
 
@@ -380,25 +426,30 @@ def places(root: Node, path: list[str]) -> list[Node]:
     return found
 
 
-def block_text(nodes: list[Node], without: frozenset[int] = frozenset()) -> str:
-    """The texts of the nodes' blocks, in page order, without the elements of these Python ids."""
+def block_text(nodes: list[Node], without: frozenset[int] = frozenset(), inside: bool = True) -> str:
+    """The texts of the nodes' blocks, in page order, without the elements of these Python ids.
+
+    Site headers are left out if the nodes aren't ``inside`` an article's place, up to an article-like element.
+    """
     blocks: list[list[str]] = [[]]
 
-    def visit(node: Node) -> None:
+    def visit(node: Node, inside: bool) -> None:
         for child in node.children:
             if isinstance(child, str):
                 blocks[-1].append(child)
-            elif child.tag in BLOCK:
+                continue
+            within = inside or says_article(child.key) > 0
+            if child.tag in BLOCK:
                 blocks.append([])
-                if id(child) not in without and not unwanted(child, True):
-                    visit(child)
+                if id(child) not in without and not unwanted(child, inside):
+                    visit(child, within)
                 blocks.append([])
-            elif not unwanted(child, True):
-                visit(child)
+            elif not unwanted(child, inside):
+                visit(child, within)
 
     for n in nodes:
         blocks.append([])
-        visit(n)
+        visit(n, inside)
     made = (" ".join(html.unescape("".join(b)).split()) for b in blocks)
     return " ".join(b for b in made if b)
 
@@ -410,14 +461,21 @@ def article_text(page: str | None, path: list[str] | None, same: list[str] | Non
     root = parse(page)
     found = places(root, path) if path else []
     if not found:  # a page unlike its host's others is its own wrapper
-        own = article_path(page_wrapper(page))
-        found = places(root, own) if own else []
+        path = article_path(page_wrapper(page))
+        found = places(root, path) if path else []
     found = found or [root]
+    # a place that says so, or with text beside it, is narrower than the page
+    inside = any(map(says_article, path or [])) or sum(map(_size, found)) < _size(root)
     if same:
         known = blocks(root)
-        if text := block_text(found, frozenset(id(known[name][0]) for name in same if name in known)):
+        if text := block_text(found, frozenset(id(known[name][0]) for name in same if name in known), inside):
             return text
-    return block_text(found)
+    return block_text(found, inside=inside) or block_text(found)
+
+
+def _size(node: Node) -> int:
+    """The characters of an element, of its unwanted parts too."""
+    return sum(len(c.strip()) if isinstance(c, str) else _size(c) for c in node.children if isinstance(c, str) or c.tag not in RAW | {"head"})
 
 
 def _fold_pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
