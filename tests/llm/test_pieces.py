@@ -60,7 +60,21 @@ def _fields(data, at, end):
         at = stop
 
 
-def test_stream_equals_whole_search(vocabulary):
+@pytest.fixture(scope="module")
+def unigram(tmp_path_factory):
+    """The model's file with its search method (field 3 of the trainer's settings, field 2 of the file) set from BPE (2) to unigram (1)."""
+    data = bytearray(open(MODEL, "rb").read())
+    start, end = next((a, b) for field, a, b in _fields(data, 0, len(data)) if field == 2)
+    at = next(a for field, a, _ in _fields(data, start, end) if field == 3)
+    assert data[at] == 2
+    data[at] = 1
+    path = tmp_path_factory.mktemp("model") / "unigram.model"
+    path.write_bytes(bytes(data))
+    return str(path)
+
+
+def test_stream_equals_whole_search(unigram):
+    vocabulary = Pieces(unigram)
     rng = random.Random(3)
     for n in [1, 2, 15, 16, 17, 40, 200, 1500]:
         for letters in ("ab", "the interning of", "aé漢 \n\t", "ethraniosl  "):
@@ -72,16 +86,10 @@ def test_stream_equals_whole_search(vocabulary):
             assert vocabulary.decode(want) == text
 
 
-def test_never_below_the_librarys_own_search(vocabulary, spark, sf_dir):
+def test_never_below_the_librarys_own_search(unigram, spark, sf_dir):
     from sentencepiece import SentencePieceProcessor
 
-    data = bytearray(open(MODEL, "rb").read())
-    # the search method (field 3 of the trainer's settings, field 2 of the file) set from BPE (2) to unigram (1)
-    start, end = next((a, b) for field, a, b in _fields(data, 0, len(data)) if field == 2)
-    at = next(a for field, a, _ in _fields(data, start, end) if field == 3)
-    assert data[at] == 2
-    data[at] = 1
-    library = SentencePieceProcessor(model_proto=bytes(data))
+    vocabulary, library = Pieces(unigram), SentencePieceProcessor(model_file=unigram)
     words = {w for r in spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60).collect() for w in r.text.split()}
     sure = [w for w in sorted(words) if None not in [p for i in range(len(w)) for _, _, p in vocabulary.arcs(w, i)]]
     assert len(sure) > 1000
