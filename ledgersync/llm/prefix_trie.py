@@ -59,8 +59,7 @@ def rebuilt(sequences: DataFrame, shared: Column, base: Column, most: int) -> Da
 
 def _burst(classes: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
     """Classes by the container they stay in, and the chains of the burst containers, each by round."""
-    settled, chains = [], []
-    open_ = classes.select("*", F.lit("").alias("head"), F.lit(0).alias("skip"), F.lit(None).cast("string").alias("parent"), F.lit(None).cast("long").alias("up"))
+    settled, chains, open_ = [], [], classes
     while True:
         size = F.size("ids") - F.col("skip") + 1
         found = open_.groupBy("head").agg(
@@ -79,7 +78,7 @@ def _burst(classes: DataFrame) -> tuple[list[DataFrame], list[DataFrame]]:
         chains.append(large.join(ended, F.col("head") == F.col("_head"), "left").drop("_head"))
         goes_on = marked.where("size(ids) > jump")
         next_head = F.expr("md5(concat(head, '/', array_join(slice(ids, skip + 1, jump + 1 - skip), '')))")
-        open_ = goes_on.select(*classes.columns, next_head.alias("head"), (F.col("jump") + 1).alias("skip"), F.col("head").alias("parent"), F.col("_up").alias("up"))
+        open_ = goes_on.select("path", "conv", "n", "ids", "chars", next_head.alias("head"), (F.col("jump") + 1).alias("skip"), F.col("head").alias("parent"), F.col("_up").alias("up"))
 
 
 class _Node:
@@ -199,7 +198,9 @@ def prefix_trie(sequences: DataFrame) -> DataFrame:
     known = sequences.select("conv_id", ids.alias("ids"), chars.alias("chars"))
     known = stage(known.withColumn("path", F.substring(F.sha2(F.array_join("ids", ""), 256), 1, 32)), "trie-sequences")
     copies = known.groupBy("path").agg(F.min("conv_id").alias("conv"), F.count("*").alias("n"))
-    classes = stage(copies.join(known.select("conv_id", "ids", "chars"), F.col("conv") == F.col("conv_id")).drop("conv_id"), "trie-classes")
+    classes = copies.join(known.select("conv_id", "ids", "chars"), F.col("conv") == F.col("conv_id")).drop("conv_id")
+    root = {"head": F.lit(""), "skip": F.lit(0), "parent": F.lit(None).cast("string"), "up": F.lit(None).cast("long")}
+    classes = stage(classes.withColumns(root), "trie-classes")
     settled, chains = _burst(classes)
     columns = ["head", "ids", "chars", "skip", "parent", "up", "path", "conv", "n"]
     waiting = settled[0].select(*columns)
