@@ -326,16 +326,15 @@ def op2_shingle_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _SQL = r"""
-WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
-]+') AS w FROM documents),
+WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
 sets AS (SELECT doc_id, CASE WHEN coalesce(len(w), 0) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
                              ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) END AS s FROM words),
 firsts AS (SELECT doc_id, len(s) AS n, unnest(list_sort(s)[1 : len(s) - CAST(ceil(0.8 * len(s) - 1e-9) AS INTEGER) + 1]) AS f FROM sets),
 pairs AS (SELECT DISTINCT a.doc_id AS a, b.doc_id AS b FROM firsts a JOIN firsts b ON a.f = b.f AND a.doc_id < b.doc_id
           WHERE least(a.n, b.n) * 100 >= 80 * greatest(a.n, b.n)),
-overlaps AS (SELECT p.a, p.b, len(x.s) + len(y.s) AS n, len(list_intersect(x.s, y.s)) AS o
+shared AS (SELECT p.a, p.b, len(x.s) + len(y.s) AS n, len(list_intersect(x.s, y.s)) AS o
              FROM pairs p JOIN sets x ON x.doc_id = p.a JOIN sets y ON y.doc_id = p.b),
-half AS (SELECT a, b FROM overlaps WHERE 100 * o >= 80 * (n - o)),
+half AS (SELECT a, b FROM shared WHERE 100 * o >= 80 * (n - o)),
 link AS (SELECT a, b FROM half UNION ALL SELECT b, a FROM half),
 reach AS (SELECT a AS doc_id, a AS low FROM link UNION SELECT l.b, r.low FROM reach r JOIN link l ON l.a = r.doc_id WHERE r.low < l.b)
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, coalesce(r.low, s.doc_id) AS component_id
