@@ -30,6 +30,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -521,13 +522,13 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
     return met.groupBy("host").applyInPandas(whole, "host string, wrapper string, path array<string>, same array<string>")
 
 
-def _read_pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _read_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        text = [
-            article_text(page, None if path is None else list(path), None if same is None else list(same))
-            for page, path, same in zip(batch["html"], batch["path"], batch["same"], strict=True)
-        ]
-        yield batch[["page_id", "url"]].assign(text=text, n_chars=[len(t) for t in text])
+        for lo in range(0, batch.num_rows, 256):
+            part = batch.slice(lo, 256)
+            text = [article_text(page, path, same) for page, path, same in zip(*(part.column(c).to_pylist() for c in ("html", "path", "same")), strict=True)]
+            made = [pa.array(text, pa.string()), pa.array([len(t) for t in text], pa.int64())]
+            yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), *made], ["page_id", "url", "text", "n_chars"])
 
 
 def extract_articles(pages: DataFrame) -> DataFrame:
@@ -536,7 +537,8 @@ def extract_articles(pages: DataFrame) -> DataFrame:
     read = pages.select("page_id", "url", "html", host.alias("host"))
     wrappers = stage(infer_wrappers(read), "wrappers")
     joined = read.join(wrappers.select("host", "path", "same"), "host", "left").select("page_id", "url", "html", "path", "same")
-    return joined.mapInPandas(_read_pages, "page_id long, url string, text string, n_chars long")
+    typed = joined.withColumn("page_id", F.col("page_id").cast("long"))
+    return typed.mapInArrow(_read_pages, "page_id long, url string, text string, n_chars long")
 
 
 def op3_page_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
