@@ -15,12 +15,12 @@ unlabelled, null ids are never trained on nor held out, repeated rows are ordina
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -31,7 +31,12 @@ HIDDEN = 12
 WINDOW = 120  # characters of a training window
 STEPS, BATCH = 160, 256
 STRETCH, SIDE_BY_SIDE = 256, 2048  # bytes read from one start; stretches read together
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
+
+
+def has_letter(text: str) -> bool:
+    """Whether the text holds a letter by Unicode's categories (the same rule as in training); numerals are none."""
+    return _LETTER.search(text) is not None
 
 
 def _gate(x: np.ndarray) -> np.ndarray:
@@ -232,21 +237,21 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
     """``docs`` with lang_pred and score, from ``text`` alone; columns of these names are replaced."""
     schema = docs.drop("lang_pred", "score").schema
 
-    def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, len(batch), 1_000):
-                part = batch.iloc[lo : lo + 1_000]
-                texts = part["text"].tolist()
-                lettered = [k for k, t in enumerate(texts) if isinstance(t, str) and _LETTER.search(t)] if net else []
+            for lo in range(0, batch.num_rows, 1_000):
+                part = batch.slice(lo, 1_000)
+                texts = part.column("text").to_pylist()
+                lettered = [k for k, t in enumerate(texts) if t and has_letter(t)] if net else []
                 name, score = ["und"] * len(texts), [0.0] * len(texts)
                 if lettered:
                     p = _pooled(net, [texts[k] for k in lettered])
                     for k, best, value in zip(lettered, p.argmax(axis=1), p.max(axis=1), strict=True):
                         name[k], score[k] = net.languages[best], float(min(1.0, value))
-                yield part[schema.names].assign(lang_pred=name, score=score)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(name), pa.array(score)], [*part.schema.names, "lang_pred", "score"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    return docs.select(*schema.names).mapInPandas(label, f"{fields}, lang_pred string, score double")
+    return docs.select(*schema.names).mapInArrow(label, f"{fields}, lang_pred string, score double")
 
 
 def op5_byte_language(spark: SparkSession, sf_dir: str) -> DataFrame:
