@@ -19,8 +19,9 @@ import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Mapping
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgersync.llm.common import table
 
@@ -115,19 +116,19 @@ class Scanner:
 def scan_licences(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, least: float = 0.8) -> DataFrame:
     """(doc_id, licence, template, dice, first_line, n_lines) for ``docs`` (doc_id, text)."""
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(templates, least)
         for batch in batches:
-            rows = [
-                (doc_id, name.split("/")[0], name, *found)
-                for doc_id, text in zip(batch["doc_id"].astype("Int64"), batch["text"], strict=True)
-                if isinstance(text, str)
-                for name, found in sorted(scanner.scan(text).items())
-            ]
-            made = pd.DataFrame(rows, columns=["doc_id", "licence", "template", "dice", "first_line", "n_lines"])
-            yield made.astype({"doc_id": "Int64", "dice": float, "first_line": int, "n_lines": int})
-
-    return docs.select("doc_id", "text").mapInPandas(scan, "doc_id long, licence string, template string, dice double, first_line long, n_lines long")
+            at, rows = [], []
+            for k, text in enumerate(batch.column("text")):
+                found = scanner.scan(text.as_py()) if text.is_valid else {}
+                at += [k] * len(found)
+                rows += [(name.split("/")[0], name, *best) for name, best in sorted(found.items())]
+            columns = list(zip(*rows, strict=True)) or [()] * 5
+            made = [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.float64(), pa.int64(), pa.int64()), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(at, pa.int64())), *made], ["doc_id", "licence", "template", "dice", "first_line", "n_lines"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(scan, "doc_id long, licence string, template string, dice double, first_line long, n_lines long")
 
 
 def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
