@@ -12,8 +12,9 @@ Scale: a cell holds at most some ten thousand vectors and a few thousand queries
 table's size; queries meet all vectors in blocks, and the best k of every cell are merged by a rank limit per query.
 
 Defined results: vectors that are null, empty, or hold null or non-finite components take no part; a vector meets those
-of its own number of components; repeated ids are ordinary rows, a query leaves out every row with its own id; ties go
-to the smaller id, then to one of the equal rows; an empty table gives an empty result. Other columns are ignored.
+of its own number of components; rows without id take no part; repeated ids are ordinary rows, a query leaves out every
+row with its own id; queries of one id with different vectors are answered each, equal ones once; ties go to the
+smaller id, then to one of the equal rows; an empty table gives an empty result. Other columns are ignored.
 Scores must fit a long.
 """
 
@@ -33,14 +34,14 @@ VECTORS_PER_BLOCK = 16_384
 QUERIES_PER_BLOCK = 4_096
 STRIP = 512  # vectors scored at a time; thresholds rise in between
 PAIRS = 1 << 16  # pairs scored at a time
-_ANSWER = "query_id long, vec_id long, score long"
+_ANSWER = "query long, vec_id long, score long"
 
 
 def quantized(vectors: DataFrame, scale: int = 1024) -> DataFrame:
     """(vec_id, dim, v, norm): components as floor(scale * x), for the vectors that take part."""
     sound = F.expr("embedding IS NOT NULL AND size(embedding) > 0 AND forall(embedding, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('infinity'))")
     v = F.expr(f"transform(embedding, x -> CAST(floor({scale}D * CAST(x AS DOUBLE)) AS BIGINT))")
-    taken = vectors.where(sound).select("vec_id", v.alias("v"))
+    taken = vectors.where(sound & F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long"), v.alias("v"))
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
     return taken.select("vec_id", F.size("v").alias("dim"), "v", norm.alias("norm"))
 
@@ -128,7 +129,7 @@ def _cell(queries: pd.DataFrame, vectors: pd.DataFrame, rotation: np.ndarray, k:
             np.minimum.at(lowest, best_q, best_score)
             full = count >= k
             least[full] = np.maximum(least[full], lowest[full])
-    return pd.DataFrame({"query_id": qid[best_q], "vec_id": best_id, "score": best_score})
+    return pd.DataFrame({"query": queries["query"].to_numpy(np.int64)[best_q], "vec_id": best_id, "score": best_score})
 
 
 def _cells(queries: DataFrame, vectors: DataFrame, turns: dict[int, np.ndarray], k: int) -> DataFrame:
@@ -136,7 +137,7 @@ def _cells(queries: DataFrame, vectors: DataFrame, turns: dict[int, np.ndarray],
 
     def cell(key: tuple, q: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
         if q.empty or v.empty:
-            return pd.DataFrame({c: np.zeros(0, np.int64) for c in ("query_id", "vec_id", "score")})
+            return pd.DataFrame({c: np.zeros(0, np.int64) for c in ("query", "vec_id", "score")})
         return _cell(q, v, turns[int(key[0])], k)
 
     keys = ["dim", "qb", "cb"]
@@ -144,7 +145,7 @@ def _cells(queries: DataFrame, vectors: DataFrame, turns: dict[int, np.ndarray],
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = W.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
@@ -159,7 +160,8 @@ def exact_top_k(queries: DataFrame, vectors: DataFrame, k: int = 10, scale: int
     laid = items.repartitionByRange(max(1, -(-size // VECTORS_PER_BLOCK)), F.desc("norm"), "vec_id").withColumn("cb", F.spark_partition_id())
     laid = stage(laid, "topk-vectors")
     turns = rotations(laid)
-    asked = stage(quantized(queries, scale).dropDuplicates(["vec_id", "v"]), "topk-queries")
+    asked = quantized(queries, scale).dropDuplicates(["vec_id", "v"]).withColumn("query", F.monotonically_increasing_id())
+    asked = stage(asked, "topk-queries")
     n_blocks = max(1, -(-asked.count() // QUERIES_PER_BLOCK))
     blocks = laid.groupBy("dim", "cb").agg(F.max("norm").alias("top"))
     first = blocks.groupBy("dim").agg(F.max_by("cb", F.struct("top", -F.col("cb"))).alias("cb"))
@@ -167,8 +169,8 @@ def exact_top_k(queries: DataFrame, vectors: DataFrame, k: int = 10, scale: int
     spread = F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)).cast("int")
     start = asked.withColumn("qb", spread).withColumn("least", F.lit(float("-inf"))).join(first, "dim")
     known = _cells(start, seeds.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))), turns, k)
-    least = _ranked(known, k).where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("least"))
-    bounded = asked.join(least, "vec_id", "left").withColumn("least", F.coalesce("least", F.lit(float("-inf"))))
+    least = _ranked(known, k).where(F.col("rank") == k).select("query", F.col("score").cast("double").alias("least"))
+    bounded = asked.join(least, "query", "left").withColumn("least", F.coalesce("least", F.lit(float("-inf"))))
     # queries that need vectors of alike length share a block
     need = F.when(F.col("norm") > 0, F.col("least") / F.col("norm")).otherwise(F.lit(float("-inf")))
     bounded = stage(bounded.withColumn("need", need).repartitionByRange(n_blocks, "need", "vec_id").withColumn("qb", F.spark_partition_id()), "topk-bounds")
@@ -176,7 +178,8 @@ def exact_top_k(queries: DataFrame, vectors: DataFrame, k: int = 10, scale: int
     cells = needs.join(blocks, "dim").where(F.col("top") * (1 + 1e-9) >= F.col("need")).select("dim", "qb", "cb")
     cells = stage(cells, "topk-cells")
     found = _cells(bounded.join(cells, ["dim", "qb"]), laid.join(cells, ["dim", "cb"]), turns, k)
-    return _ranked(found, k).select("query_id", "rank", "vec_id", "score")
+    named = asked.select("query", F.col("vec_id").alias("query_id"))
+    return _ranked(found, k).join(named, "query").select("query_id", "rank", "vec_id", "score")
 
 
 def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
