@@ -15,7 +15,8 @@ written; cells are worked out twice, once to count them.
 
 Defined results: null, empty and zero vectors, and those with null or non-finite components, link with nothing but get
 a row; a repeated id links its rows like any others (not by the id), each row is counted, and the output has one row
-for each; vectors of unlike numbers of components never link; an empty table gives an empty result. Other columns,
+for each; vectors of unlike numbers of components never link; a null id is an ordinary row, kept if its
+component has no other id; an empty table gives an empty result. Other columns,
 labels included, are ignored.
 """
 
@@ -26,6 +27,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -152,16 +154,17 @@ def _tile(cosine: float):
 def _as_bytes(batches):
     """Vectors as bytes of single-precision numbers, -0.0 as 0.0 (equal, but unlike as keys)."""
     for batch in batches:
-        yield pd.DataFrame({"vec_id": batch["vec_id"], "v": [(np.asarray(x, "<f4") + np.float32(0)).tobytes() for x in batch["embedding"]]})
+        v = [(np.asarray(x.values, "<f4") + np.float32(0)).tobytes() for x in batch.column("embedding")]
+        yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(v, pa.binary())], ["vec_id", "v"])
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``vectors`` (vec_id, embedding)."""
     spark = vectors.sparkSession
-    vectors = vectors.select("vec_id", F.col("embedding").cast("array<float>").alias("embedding"))
+    vectors = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<float>").alias("embedding"))
     sound = F.expr("embedding IS NOT NULL AND forall(embedding, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('infinity')) AND exists(embedding, x -> x <> 0)")
     rows = vectors.select("vec_id", "embedding", F.coalesce(sound, F.lit(False)).alias("sound"))
-    keyed = rows.where("sound").select("vec_id", "embedding").mapInPandas(_as_bytes, "vec_id long, v binary")
+    keyed = rows.where("sound").select("vec_id", "embedding").mapInArrow(_as_bytes, "vec_id long, v binary")
     classes = keyed.groupBy("v").agg(F.min("vec_id").alias("low"), F.count("*").alias("copies"))
     classes = classes.select(F.monotonically_increasing_id().alias("rep"), F.length("v").alias("dim"), "v", "low", "copies")
     classes = stage(classes, "vectors")
@@ -185,7 +188,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
     by_class = known.join(known.groupBy("group").agg(F.min("low").alias("component_id")), "group").select("v", "n_links", "component_id")
     linked = keyed.join(by_class, "v").select("vec_id", "n_links", "component_id")
     alone = rows.where("NOT sound").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+    return linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
 def op10_vector_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
