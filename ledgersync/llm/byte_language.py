@@ -5,7 +5,7 @@ and the document gets their mean. It is trained here, in numpy, by backpropagati
 of labelled texts. Gates use the soft sign x / (1 + |x|), which is cheap and keeps gradients alive.
 
 Training takes a sample bounded by ``per_language`` windows of ``WINDOW`` characters for each language, picked by hash,
-so reruns pick and train alike; the driver holds no more than that. Prediction is map-only: texts are cut into stretches
+so reruns pick and train alike; the driver holds no more than that. Prediction is map-only, and only texts go to Python: they are cut into stretches
 of ``STRETCH`` bytes, all of them read, many side by side, so memory is bounded whatever the length of a text.
 
 Defined results: ``und`` with score 0 if a text is null or has no letter, or if nothing is labelled; ties go to the
@@ -235,23 +235,22 @@ def _pooled(net: Network, texts: list[str]) -> np.ndarray:
 
 def identify(docs: DataFrame, net: Network | None) -> DataFrame:
     """``docs`` with lang_pred and score, from ``text`` alone; columns of these names are replaced."""
-    schema = docs.drop("lang_pred", "score").schema
-
-    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 1_000):
-                part = batch.slice(lo, 1_000)
-                texts = part.column("text").to_pylist()
-                lettered = [k for k, t in enumerate(texts) if t and has_letter(t)] if net else []
-                name, score = ["und"] * len(texts), [0.0] * len(texts)
-                if lettered:
-                    p = _pooled(net, [texts[k] for k in lettered])
-                    for k, best, value in zip(lettered, p.argmax(axis=1), p.max(axis=1), strict=True):
-                        name[k], score[k] = net.languages[best], float(min(1.0, value))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(name), pa.array(score)], [*part.schema.names, "lang_pred", "score"])
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    return docs.select(*schema.names).mapInArrow(label, f"{fields}, lang_pred string, score double")
+
+    @F.arrow_udf("struct<lang_pred:string,score:double>")
+    def label(column: pa.Array) -> pa.Array:
+        name, score = ["und"] * len(column), [0.0] * len(column)
+        for lo in range(0, len(column), 1_000):
+            texts = column.slice(lo, 1_000).to_pylist()
+            lettered = [k for k, t in enumerate(texts) if t and has_letter(t)] if net else []
+            if lettered:
+                p = _pooled(net, [texts[k] for k in lettered])
+                for k, best, value in zip(lettered, p.argmax(axis=1), p.max(axis=1), strict=True):
+                    name[lo + k], score[lo + k] = net.languages[best], float(min(1.0, value))
+        return pa.StructArray.from_arrays([pa.array(name), pa.array(score)], ["lang_pred", "score"])
+
+    rest = docs.drop("lang_pred", "score")
+    found = rest.select(F.struct(*[F.col(f"`{c}`") for c in rest.columns]).alias("row"), label("text").alias("found"))
+    return found.select("row.*", "found.lang_pred", "found.score")
 
 
 def op5_byte_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -58,8 +58,35 @@ def test_run_on_hostile_documents(spark, documents, tmp_path):
     assert cp.run(spark, str(empty)).count() == 0
 
 
+def test_decisions_are_made_for_rows(spark, sf_dir, documents):
+    words = "one two three four five six seven eight nine ten"
+    lonely, other = "a text that nothing else here comes near to at all", "quite different words stand in this document of ours"
+    rows = [(1, words, "en", "s")] * 3 + [(2, words, "en", "s"), (3, words, "en", "t"), (3, other, "en", "s"), (None, words, "en", "s"), (None, lonely, "en", "s")]
+    df = documents(rows).withColumnsRenamed({"size": "row", "taken": "key"}).repartition(4)  # names the stages use themselves
+    unique = cp.dedup_stage(spark, df, sf_dir)
+    assert unique.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in unique.collect()), key=str) == sorted([(1, words), (3, other), (None, lonely)], key=str)
+    several = documents([(7, f"word{i} " * 40, "en", "s") for i in range(30)] + [(None, f"null{i} " * 40, "en", "t") for i in range(30)])
+    mixed = cp.mix_stage(spark, several, sf_dir).collect()
+    taken = Counter()
+    for r in mixed:
+        taken[r.source] += len(r.text.split())
+    # weights 3 and 1 share 3600 words: the first source stops at twice its size, the rest goes to the other
+    assert abs(taken["s"] - 2400) <= 320 and abs(taken["t"] - 1200) <= 320
+
+
+def test_rejection_by_score(spark, sf_dir, documents, monkeypatch):
+    rows = [(i, t, lang, "s") for i, (t, lang) in enumerate([("the good words of the north " * 5, "en"), ("les bons mots du grand nord " * 5, "fr")] * 200)]
+    clean = documents(rows)
+    odd = documents([(1000, "12 ½ ² 3 ①", None, "s"), (1001, "!!", None, "s"), (1002, None, None, "s"), (1003, "the words", None, "s")])
+    kept = {r.doc_id for r in cp.language_stage(spark, clean.union(odd), sf_dir).collect()}
+    assert kept == set(range(400)) | {1003}
+    monkeypatch.setattr(cp, "ABOVE_CHANCE", 2.0)  # certainty in one of two languages
+    assert cp.language_stage(spark, clean.union(documents([(1004, "x", None, "s")])), sf_dir).where("doc_id = 1004").count() == 0
+
+
 def test_everything_is_registered():
     names = entry_module.queries()
     assert "pipeline" in names and cp.ORACLE_SQL is None
-    assert [n for n in range(1, 11) if sum(x.startswith(f"op{n}_") for x in names) != 1] == []
+    assert [n for n in range(1, 14) if sum(x.startswith(f"op{n}_") for x in names) != 1] == []
     assert set(registered.SQL) <= set(registered.QUERIES) <= set(names) and set(registered.SQL) <= set(entry_module.oracle_sql())
