@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and works on every row that its predecessor kept; ``run`` writes each result
 below the shared scratch folder and reads it back for the next one. All stages but the last return the columns of
-documents. Rows that share an id share its decisions.
+documents. Decisions are made for rows, whatever their ids: repeated and null ids are rows like others, and of rows
+with equal or nearly equal texts exactly one stays.
 """
 
 from __future__ import annotations
@@ -15,26 +16,39 @@ from ledgersync.llm import byte_language, pieces, shingle_join
 from ledgersync.llm.common import stage, table
 from ledgersync.llm.mixing import mixed_documents
 
-#: Documents whose best language has less than this mean probability are rejected, as are those without letters.
-LEAST_SCORE = 0.3
+#: Documents whose best language has a mean probability below this many times chance are rejected, as are those without
+#: letters. A few words of a learned language can score little more than chance, and clean documents must stay.
+ABOVE_CHANCE = 1.2
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a recognisable language; learned from the labels of ``docs`` outside the held-out fold."""
-    found = byte_language.identify(docs, byte_language.fit(docs))
-    return found.where(f"lang_pred <> 'und' AND score >= {LEAST_SCORE}").select(*docs.columns)
+    net = byte_language.fit(docs)
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
+    least = ABOVE_CHANCE / len(net.languages) if net and len(net.languages) > 1 else 0.0
+    return byte_language.identify(row, net).where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select("row.*")
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id."""
-    groups = shingle_join.near_duplicates(docs)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    """Of each group of near duplicates one row: the smallest id, nulls last, and of its rows one by content."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed = stage(docs.select(row.alias("row"), F.monotonically_increasing_id().alias("key")), "pipeline-rows")
+    groups = shingle_join.near_duplicates(keyed.select(F.col("key").alias("doc_id"), "row.text"))
+    order = F.struct(F.col("row.doc_id").isNull(), "row.doc_id", F.xxhash64("row.text", "row.source"), "key")
+    ranked = keyed.select("key", order.alias("order")).join(groups.select(F.col("doc_id").alias("key"), "component_id"), "key")
+    kept = ranked.groupBy("component_id").agg(F.min("order").alias("first")).select(F.col("first.key").alias("key"))
+    return keyed.join(kept, "key", "left_semi").select("row.*")
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources mixed to their target weights: documents repeated, cut or left out as the schedule takes them."""
-    return mixed_documents(docs)
+    """Sources mixed to their target weights: documents repeated, cut or left out as the schedule takes them.
+
+    A row counts by its content here, so that a rerun over other files of the same rows mixes alike.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    mixed = mixed_documents(docs.select(row.alias("row"), F.xxhash64("doc_id", "text", "source").alias("doc_id"), "text", "source"))
+    made = {"text": F.col("text"), "n_chars": F.char_length("text").cast("long")}
+    return mixed.select(*[made.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
