@@ -90,23 +90,10 @@ def member_split(df: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame, D
     return keyed.join(k, key, "left_semi"), keyed.join(k, key, "left_anti")
 
 
-def interval_join(
-    events: DataFrame, spans: DataFrame, key: str, at: str, start: str, end: str, as_of: str | datetime
-) -> DataFrame:
-    """Each event with every span of its key that contains it; an open end means ``as_of``.
-
-    The result holds one row per (event, containing span). Where only an extreme
-    span per event is wanted use ``interval_min``, which never builds these pairs.
-    """
-    s = spans.withColumnRenamed(key, "__key")
-    until = F.coalesce(F.col(end), ts(as_of))
-    cond = (events[key] == s["__key"]) & F.col(at).between(F.col(start), until)
-    return events.join(s, cond, "inner").drop("__key")
-
-
 _LEVELS = 5  # day blocks of 1, 8, 64, 512 and 4096 days
 _EDGE = 9  # code level of the partial first and last days
 _ORIGIN = "DATE'0001-01-01'"
+_day = f"CAST(datediff(to_date({{}}), {_ORIGIN}) AS BIGINT)".format
 
 
 def _code(level: int, block: str) -> str:
@@ -141,6 +128,64 @@ def _with_blocks(df: DataFrame, lo: str, hi: str, out: str) -> DataFrame:
     return df.withColumn(out, F.expr(f"concat({', '.join(parts)})")).drop(*steps)
 
 
+def _cut_spans(spans: DataFrame) -> DataFrame:
+    """Add one row for each block code of a span (``__from``, ``__to``): its whole days as aligned blocks, and its partial
+    first and last day on their own. The codes of a span don't overlap, so a point of it meets exactly one of them."""
+    sp = spans.filter(F.col("__from") <= F.col("__to")).withColumns(
+        {
+            "__first": F.expr(_day("__from")),
+            "__last": F.expr(_day("__to")),
+            "__midnight": F.expr("__from = CAST(to_date(__from) AS TIMESTAMP_NTZ)"),
+        }
+    )
+    sp = _with_blocks(sp, "IF(__midnight, __first, __first + 1)", "__last", "__blocks")
+    # A first day that starts at midnight is whole, hence among the blocks, unless it is also the last day.
+    edges = f"IF(__midnight OR __first = __last, array({_code(_EDGE, '__last')}), array({_code(_EDGE, '__first')}, {_code(_EDGE, '__last')}))"
+    return sp.withColumn("__code", F.explode(F.expr(f"concat(__blocks, {edges})"))).drop("__blocks", "__midnight")
+
+
+def _probes(events: DataFrame) -> DataFrame:
+    """Add one row for each block code that can hold the moment ``__at``."""
+    probes = [_code(lv, f"shiftright(__day, {3 * lv})") for lv in range(_LEVELS)] + [_code(_EDGE, "__day")]
+    return events.withColumn("__day", F.expr(_day("__at"))).withColumn("__code", F.explode(F.expr(f"array({', '.join(probes)})"))).drop("__day")
+
+
+HOT_BLOCK = 100_000  # events of a block that one task joins
+
+
+def _block_pairs(ev: DataFrame, sp: DataFrame, hot: int) -> DataFrame:
+    """Events (``__key``, ``__at``) and spans (``__key``, ``__from``, ``__to``) that share a block code, each pair once."""
+    sp, ev = _cut_spans(sp).drop("__first", "__last"), _probes(ev)
+    parts = F.ceil(F.count(F.lit(1)) / F.lit(hot)).cast("int").alias("__parts")
+    split = ev.groupBy(F.col("__key").alias("__k"), F.col("__code").alias("__c")).agg(parts).filter("__parts > 1")
+    in_block = (F.col("__key") == F.col("__k")) & (F.col("__code") == F.col("__c"))
+    part = F.coalesce(F.pmod(F.xxhash64("__event"), F.col("__parts")), F.lit(0))
+    dealt = ev.join(split, in_block, "left").withColumn("__part", part).drop("__k", "__c", "__parts")
+    every = F.explode(F.expr("sequence(0L, COALESCE(__parts, 1) - 1L)"))
+    copies = sp.join(split, in_block, "left").withColumn("__part", every).drop("__k", "__c", "__parts")
+    return dealt.join(copies, ["__key", "__code", "__part"])
+
+
+def interval_join(
+    events: DataFrame, spans: DataFrame, key: str, at: str, start: str, end: str, as_of: str | datetime, hot: int = HOT_BLOCK
+) -> DataFrame:
+    """Each event with every span of its key that contains it; an open end means ``as_of``.
+
+    The result holds one row per (event, containing span). Whole days of a span become a few aligned day blocks, and
+    events look for the blocks of their day, so a key with n events and m spans compares about its result and the spans
+    that begin or end on an event's day, never n * m. Blocks with more than ``hot`` events are split: their events are
+    dealt by content over as many parts as needed, and the block's spans go to each. Where only an extreme span per event
+    is wanted use ``interval_min``, which never builds the pairs.
+    """
+    kept = [c for c in spans.columns if c != key]
+    until = F.coalesce(F.col(end), ts(as_of))
+    sp = spans.select(F.col(key).alias("__key"), F.col(start).alias("__from"), until.alias("__to"), F.struct(*kept).alias("__span"))
+    ev = events.select(F.struct(*events.columns).alias("__event"), F.col(key).alias("__key"), F.col(at).alias("__at"))
+    met = _block_pairs(ev.filter("__key IS NOT NULL AND __at IS NOT NULL"), sp.filter("__key IS NOT NULL"), hot)
+    inside = met.filter(f"__code < {_code(_EDGE, '0L')} OR __at BETWEEN __from AND __to")
+    return inside.select("__event.*", *[F.col(f"__span.`{c}`") for c in kept])
+
+
 def interval_min(
     events: DataFrame,
     spans: DataFrame,
@@ -162,24 +207,9 @@ def interval_min(
     ``event_id`` must identify an event.
     """
     mins = [F.min(v).alias(v) for v in values]
-    day = f"CAST(datediff(to_date({{}}), {_ORIGIN}) AS BIGINT)".format
     active = events.select(F.col(key)).distinct()
-    sp = (
-        spans.select(F.col(key), F.col(start).alias("__from"), F.coalesce(F.col(end), ts(as_of)).alias("__to"), *values)
-        .filter(F.col("__from") <= F.col("__to"))
-        .join(active, key, "left_semi")
-        .withColumns(
-            {
-                "__first": F.expr(day("__from")),
-                "__last": F.expr(day("__to")),
-                "__midnight": F.expr("__from = CAST(to_date(__from) AS TIMESTAMP_NTZ)"),
-            }
-        )
-    )
-    sp = _with_blocks(sp, "IF(__midnight, __first, __first + 1)", "__last", "__blocks")
-    # A first day that starts at midnight is whole, hence among the blocks, unless it is also the last day.
-    edges = f"IF(__midnight OR __first = __last, array({_code(_EDGE, '__last')}), array({_code(_EDGE, '__first')}, {_code(_EDGE, '__last')}))"
-    sp = sp.withColumn("__code", F.explode(F.expr(f"concat(__blocks, {edges})")))
+    sp = spans.select(F.col(key), F.col(start).alias("__from"), F.coalesce(F.col(end), ts(as_of)).alias("__to"), *values)
+    sp = _cut_spans(sp.join(active, key, "left_semi"))
     # On a first day only the start matters, on a last day only the end: open spans collapse to one row there.
     sp = sp.withColumns(
         {
@@ -189,12 +219,7 @@ def interval_min(
     )
     sp = sp.groupBy(key, "__code", "__after", "__until").agg(*mins)
 
-    probes = [_code(lv, f"shiftright(__day, {3 * lv})") for lv in range(_LEVELS)] + [_code(_EDGE, "__day")]
-    probe = (
-        events.select(event_id, key, F.col(at).alias("__at"))
-        .withColumn("__day", F.expr(day("__at")))
-        .select(event_id, key, "__at", F.explode(F.expr(f"array({', '.join(probes)})")).alias("__code"))
-    )
+    probe = _probes(events.select(event_id, key, F.col(at).alias("__at")))
     inside = "(__after IS NULL OR __at >= __after) AND (__until IS NULL OR __at <= __until)"
     best = probe.join(sp, [key, "__code"]).filter(inside).groupBy(event_id).agg(*mins)
     return events.join(best, event_id)
