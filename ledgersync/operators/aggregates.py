@@ -46,19 +46,31 @@ def _codes(values: Sequence[int | str]) -> str:
 class Bucket:
     """One conditional sum: rows meeting ``when`` (an SQL condition) add ``sign`` times the amount.
 
-    Without a qualifying row the sum is NULL, or ``default`` if given.
+    Without a qualifying row the sum is NULL, or ``default`` if given. ``accounts`` and
+    ``processes`` name every account and process that ``when`` tells apart (none: it asks
+    for no such code); a bucket that doesn't say may use any.
     """
 
     name: str
     when: str
     sign: int = 1
     default: int | None = None
+    accounts: tuple[str, ...] | None = None
+    processes: tuple[int, ...] | None = None
 
     def total(self, amount: str) -> Column:
         text = f"SUM(CASE WHEN {self.when} THEN {'-' if self.sign < 0 else ''}({amount}) END)"
         return F.expr(f"{text if self.default is None else f'COALESCE({text}, {self.default})'} AS {self.name}")
 
 
+def _outside_null(column: str, named: Sequence[tuple | None]) -> Column:
+    """``column`` with codes that no bucket tells apart as NULL; as it is where a bucket doesn't say."""
+    if any(n is None for n in named):
+        return F.col(column)
+    codes = sorted({c for n in named if n for c in n})
+    return F.expr(f"IF({column} IN ({_codes(codes)}), {column}, NULL) AS {column}" if codes else f"CAST(NULL AS STRING) AS {column}")
+
+
 # Debit plus credit (credits are stored negative).
 LEDGER_AMOUNT = "COALESCE(debit, 0) + COALESCE(credit, 0)"
 
@@ -68,20 +80,24 @@ def bucket_sums(df: DataFrame, keys: Sequence[str], amount: str, buckets: Sequen
     return df.groupBy(*keys).agg(*[b.total(amount) for b in buckets], *extra)
 
 
-def _balance_terms(prefix: str, cond: str) -> list[Bucket]:
+def _balance_terms(prefix: str, cond: str, processes: tuple[int, ...] = ()) -> list[Bucket]:
+    def term(name: str, accounts: tuple[str, ...], sign: int = 1) -> Bucket:
+        return Bucket(f"{prefix}{name}", f"{cond} AND account_id IN ({_codes(accounts)})", sign, None, accounts, processes)
+
     return [
-        Bucket(f"{prefix}balance_remaining", f"{cond} AND account_id IN ({_codes(BALANCE_ACCOUNTS)})"),
-        Bucket(f"{prefix}unearned_finance", f"{cond} AND account_id = '{UNEARNED_ACCOUNT}'", -1),
-        Bucket(f"{prefix}residual", f"{cond} AND account_id = '{RESIDUAL_ACCOUNT}'"),
-        Bucket(f"{prefix}deferred_residual", f"{cond} AND account_id = '{DEFERRED_RESIDUAL_ACCOUNT}'", -1),
-        Bucket(f"{prefix}deferred_expense", f"{cond} AND account_id = '{DEFERRED_EXPENSE_ACCOUNT}'"),
-        Bucket(f"{prefix}security_deposit", f"{cond} AND account_id = '{DEPOSIT_ACCOUNT}'", -1),
+        term("balance_remaining", BALANCE_ACCOUNTS),
+        term("unearned_finance", (UNEARNED_ACCOUNT,), -1),
+        term("residual", (RESIDUAL_ACCOUNT,)),
+        term("deferred_residual", (DEFERRED_RESIDUAL_ACCOUNT,), -1),
+        term("deferred_expense", (DEFERRED_EXPENSE_ACCOUNT,)),
+        term("security_deposit", (DEPOSIT_ACCOUNT,), -1),
     ]
 
 
 def gross_bucket(name: str, processes: Sequence[int], cond: str = "TRUE", default: int | None = None) -> Bucket:
     """Gross receivable under one process list."""
-    return Bucket(name, f"{cond} AND account_id = '{GROSS_ACCOUNT}' AND process_oid IN ({_codes(processes)})", default=default)
+    when = f"{cond} AND account_id = '{GROSS_ACCOUNT}' AND process_oid IN ({_codes(processes)})"
+    return Bucket(name, when, default=default, accounts=(GROSS_ACCOUNT,), processes=tuple(processes))
 
 
 def snapshot_buckets(posted: str = "TRUE") -> list[Bucket]:
@@ -97,7 +113,7 @@ def termination_buckets() -> list[Bucket]:
     """Balances moved by the termination process, and gross before it; no date limit."""
     return [
         gross_bucket("term_gross_receivable", TERMINATION_GROSS_PROCESSES),
-        *_balance_terms("term_", f"process_oid = {TERMINATION_PROCESS}"),
+        *_balance_terms("term_", f"process_oid = {TERMINATION_PROCESS}", (TERMINATION_PROCESS,)),
     ]
 
 
@@ -118,12 +134,23 @@ def ledger_buckets(
     """
     flags, counts = flags or {}, counts or {}
     named = [F.expr(f"{c} AS {n}") for n, c in flags.items()]
-    reduced = gl.groupBy("general_ledger_account_id_oid", "account_id", "process_oid", *named).agg(
+    # accounts and processes outside every bucket become NULL first, so that their rows fall together
+    account, process = _outside_null("account_id", [b.accounts for b in buckets]), _outside_null("process_oid", [b.processes for b in buckets])
+    reduced = gl.groupBy("general_ledger_account_id_oid", account, process, *named).agg(
         F.expr(f"SUM({LEDGER_AMOUNT}) AS amount"), F.expr("COUNT(1) AS ledger_rows")
     )
-    contracts = account_ids.select("general_ledger_account_id_oid", "contract_oid").filter("contract_oid IS NOT NULL")
-    joined = reduced.join(contracts, "general_ledger_account_id_oid")
-    row_counts = [F.expr(f"COALESCE(SUM(CASE WHEN {c} THEN ledger_rows END), 0) AS {n}") for n, c in counts.items()]
+    return spread_buckets(reduced, account_ids, buckets, counts)
+
+
+def contracts_of(account_ids: DataFrame) -> DataFrame:
+    """(account id, contract) of the account ids that belong to a contract."""
+    return account_ids.select("general_ledger_account_id_oid", "contract_oid").filter("contract_oid IS NOT NULL")
+
+
+def spread_buckets(reduced: DataFrame, account_ids: DataFrame, buckets: Sequence[Bucket], counts: Mapping[str, str] | None = None) -> DataFrame:
+    """Bucket sums per contract from a ledger already reduced to amounts per account id, account, process and flags."""
+    joined = reduced.join(contracts_of(account_ids), "general_ledger_account_id_oid")
+    row_counts = [F.expr(f"COALESCE(SUM(CASE WHEN {c} THEN ledger_rows END), 0) AS {n}") for n, c in (counts or {}).items()]
     return bucket_sums(joined, ["contract_oid"], "amount", buckets, *row_counts)
 
 
@@ -267,15 +294,18 @@ def schedule_rollup(streams: DataFrame, items: DataFrame, frequencies: DataFrame
     """
     s = streams.filter(F.col("schedule_definition_oid").isNotNull()).join(_item_totals(items), "payment_stream_oid", "left")
     if frequencies is None:
-        s = s.withColumn("frequency_label", F.lit(None).cast("string"))
+        s = s.withColumn("__label", F.lit(None).cast("int"))
     else:
-        f = frequencies.select(F.col("data_value").alias("frequency"), F.col("descr").alias("frequency_label"))
-        s = s.join(f, "frequency", "left")
+        # the greatest label by its place among the few labels: a text maximum would force a sorted aggregation
+        place = F.dense_rank().over(W.orderBy("frequency_label"))
+        labels = frequencies.select(F.col("data_value").alias("frequency"), F.col("descr").alias("frequency_label"))
+        labels = labels.dropna().withColumn("__label", place)
+        s = s.join(labels.select("frequency", "__label"), "frequency", "left")
     occ, inv, start = F.col("occurrences"), F.col("is_invoiced") == 1, F.col("start_date")
     uninv, both = F.col("is_invoiced") == 0, F.col("occurrences") * F.col("item_both")
     stream_change, item_change = F.col("last_change_datetime"), F.col("item_change")
     complete = stream_change.isNotNull() & item_change.isNotNull()
-    return s.groupBy("schedule_definition_oid").agg(
+    out = s.groupBy("schedule_definition_oid").agg(
         F.min(F.when(inv, start)).alias("first_invoiced"),
         F.max(F.when(uninv, start)).alias("next_date"),
         F.sum(F.when(inv, occ).otherwise(0)).alias("invoiced_occurrences"),
@@ -286,11 +316,14 @@ def schedule_rollup(streams: DataFrame, items: DataFrame, frequencies: DataFrame
         F.sum(occ * F.col("item_tax")).alias("total_tax_amount_due"),
         F.sum(F.when(inv, both).otherwise(0)).alias("invoiced_total"),
         F.sum(F.when(uninv, both).otherwise(0)).alias("uninvoiced_total"),
-        F.max("frequency_label").alias("frequency_label"),
+        F.max("__label").alias("__label"),
         F.max(F.when(complete, F.greatest(stream_change, item_change))).alias("full_change"),
         F.max(F.when(stream_change.isNull(), item_change)).alias("item_only_change"),
         F.max(item_change).alias("item_change"),
     )
+    if frequencies is None:
+        return out.withColumn("frequency_label", F.lit(None).cast("string")).drop("__label")
+    return out.join(labels.select("__label", "frequency_label").distinct(), "__label", "left").drop("__label")
 
 
 def term_payments(streams: DataFrame) -> DataFrame:
