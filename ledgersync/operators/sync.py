@@ -15,6 +15,7 @@ from ledgersync.operators.joins import lookup
 from ledgersync.operators.windows import latest_per_key
 from ledgersync.registry import ObjectSpec
 from ledgersync.session import scratch_path
+from ledgersync.sources.folders import names_below, remove_folder
 
 # Fixed value: the attribute that holds the opportunity id.
 OPPORTUNITY_ATTRIBUTE = 23
@@ -293,43 +294,66 @@ def upsert_into_path(
     _mark(spark, root, "")
 
 
-def append_changes(changes: DataFrame, path: str, spec: ObjectSpec, run: str, latest_by: Sequence[str]) -> None:
+def _batch_name(run: str) -> str:
+    return f"b{hashlib.sha256(run.encode()).hexdigest()[:16]}"
+
+
+def append_changes(changes: DataFrame, path: str, spec: ObjectSpec, run: str, latest_by: Sequence[str], on_null_key: str = "drop") -> None:
     """Append a batch of changes, its newest row per key, to the change folder of a ``write_keyed`` target.
 
-    ``run`` names the batch: appended again it replaces itself. Rows without a key are dropped, as they match nothing.
+    ``run`` names the batch: appended again it replaces itself. Rows without a key match nothing: they are dropped, or with
+    ``on_null_key='insert'`` every one is kept in a folder of its own, which ``compact`` leaves alone.
     """
-    newest = one_row_per_key(changes.select(*spec.columns), spec.key, "latest", "drop", latest_by)
-    newest.write.mode("overwrite").parquet(f"{_beside(path, 'changes')}/batch=b{hashlib.sha256(run.encode()).hexdigest()[:16]}")
+    if on_null_key not in ("drop", "insert"):
+        raise ValueError(f"on_null_key={on_null_key!r}")
+    rows = changes.select(*spec.columns)
+    newest = one_row_per_key(rows, spec.key, "latest", "drop", latest_by)
+    newest.write.mode("overwrite").parquet(f"{_beside(path, 'changes')}/batch={_batch_name(run)}")
+    if on_null_key == "insert":
+        rows.filter(F.col(spec.key).isNull()).write.mode("overwrite").parquet(f"{_beside(path, 'keyless')}/batch={_batch_name(run)}")
 
 
-def _changes(spark: SparkSession, path: str, spec: ObjectSpec) -> DataFrame | None:
-    """All appended changes that no ``compact`` has merged yet."""
-    found = _read_if_there(spark, _beside(path, "changes"))
+def _merged_batches(spark: SparkSession, path: str) -> list[str]:
+    """Batches that ``compact`` has merged and not yet removed."""
     merged = _read_if_there(spark, _beside(path, "compacted"))
-    if found is not None and merged is not None:
-        found = found.join(merged.select(F.col("batch").cast(found.schema["batch"].dataType).alias("batch")).distinct(), "batch", "left_anti")
-    return found
+    return [] if merged is None else [r.batch for r in merged.distinct().collect()]
+
+
+def _pending(spark: SparkSession, path: str) -> list[str]:
+    """Batches appended since the last ``compact``, from one listing of the change folder."""
+    done = set(_merged_batches(spark, path))
+    return [b for b in names_below(spark, _beside(path, "changes"), "batch=") if b not in done]
+
+
+def _read_batches(spark: SparkSession, path: str, batches: Sequence[str]) -> DataFrame:
+    return spark.read.parquet(*[f"{_beside(path, 'changes')}/batch={b}" for b in batches])
 
 
 def keyed_state(spark: SparkSession, path: str, spec: ObjectSpec, schema: str, latest_by: Sequence[str]) -> DataFrame:
-    """The stored rows with all appended changes, in whatever order these came: per key the greatest by ``latest_by``."""
-    target = spark.read.schema(schema).parquet(path).select(*spec.columns)
-    changes = _changes(spark, path, spec)
-    if changes is None:
-        return target
-    return merge_object(target, changes, spec, on_duplicate="latest", on_null_key="drop", latest_by=latest_by, newer_by=latest_by)
+    """The stored rows with all appended changes, in whatever order these came: per key the greatest by ``latest_by``.
+
+    Only batches that aren't merged yet are opened. Kept rows without a key follow as they are.
+    """
+    out = spark.read.schema(schema).parquet(path).select(*spec.columns)
+    if batches := _pending(spark, path):
+        changes = _read_batches(spark, path, batches)
+        out = merge_object(out, changes, spec, on_duplicate="latest", on_null_key="drop", latest_by=latest_by, newer_by=latest_by)
+    keyless = [f"{_beside(path, 'keyless')}/batch={b}" for b in names_below(spark, _beside(path, "keyless"), "batch=")]
+    return out.unionByName(spark.read.schema(schema).parquet(*keyless).select(*spec.columns)) if keyless else out
 
 
 def compact(spark: SparkSession, path: str, spec: ObjectSpec, latest_by: Sequence[str], stage: str | None = None) -> None:
     """Merge the appended changes into the target and note their batches as merged.
 
-    A batch merged twice changes nothing, so a run that stops in between is simply run again.
+    A batch merged twice changes nothing, so a run that stops in between is simply run again. Batches that an earlier
+    ``compact`` merged are removed: whoever began to read before it has had a whole interval to finish.
     """
-    changes = _changes(spark, path, spec)
-    if changes is None:
-        return
-    batches = [r.batch for r in changes.select("batch").distinct().collect()]  # one name per micro-batch since the last run
-    named = changes.filter(F.col("batch").isin(batches))
-    upsert_into_path(spark, path, named, spec, stage=stage, on_duplicate="latest", on_null_key="drop", latest_by=list(latest_by), newer_by=list(latest_by))
+    earlier, batches = _merged_batches(spark, path), _pending(spark, path)
     if batches:
-        spark.createDataFrame([(str(b),) for b in batches], "batch string").coalesce(1).write.mode("append").parquet(_beside(path, "compacted"))
+        named = _read_batches(spark, path, batches)
+        upsert_into_path(spark, path, named, spec, stage=stage, on_duplicate="latest", on_null_key="drop", latest_by=list(latest_by), newer_by=list(latest_by))
+        spark.createDataFrame([(b,) for b in batches], "batch string").coalesce(1).write.mode("append").parquet(_beside(path, "compacted"))
+    for b in earlier:
+        remove_folder(spark, f"{_beside(path, 'changes')}/batch={b}")
+    if earlier:  # merged again if this is lost half way, which changes nothing
+        spark.createDataFrame([(b,) for b in batches], "batch string").coalesce(1).write.mode("overwrite").parquet(_beside(path, "compacted"))

@@ -26,17 +26,19 @@ def stream_upsert(
     target: str,
     checkpoint: str,
     tie_breakers: Sequence[str] = (),
+    on_null_key: str = "drop",
 ) -> StreamingQuery:
     """Start the upsert stream into a ``write_keyed`` folder and return the query.
 
     Each micro-batch is reduced to the newest row per key by (``ts``, tie-breakers) and appended to the target's change
     folder; nothing stored is rewritten, so a batch costs what it brings. No row is too late: ``keyed_state`` orders
     stored rows and changes by (``ts``, tie-breakers), so late new keys land, late old versions lose, and replays or a
-    batch that is run again change nothing. ``compact`` merges the changes into the target on a slower schedule.
+    batch that is run again change nothing. ``compact`` merges the changes into the target on a slower schedule. Rows
+    without a key are dropped, or kept every one with ``on_null_key='insert'``.
     """
 
     def append_batch(batch: DataFrame, batch_id: int) -> None:
-        append_changes(batch, target, spec, f"{checkpoint.rstrip('/')}#{batch_id}", latest_by=[ts, *tie_breakers])
+        append_changes(batch, target, spec, f"{checkpoint.rstrip('/')}#{batch_id}", latest_by=[ts, *tie_breakers], on_null_key=on_null_key)
 
     return stream.writeStream.foreachBatch(append_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
