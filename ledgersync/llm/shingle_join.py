@@ -8,14 +8,16 @@ only those are compared shingle by shingle.
 Points meet where they share a shingle among their first ones in a common order of all shingles: a pair at similarity t
 shares one among the first n - ceil(t n) + 1 of each. The order puts shingles that many documents share last, so passages
 found everywhere bring nobody together. The points that meet at a shingle form a cell. First each point of
-a cell is compared with the cell's least point, which joins groups of copies by single links. Then only cells are left
-that hold more than one component: their points are packed by size into leaves of bounded length, with the greatest
-count of each group as the leaf's box, and leaf meets leaf where boxes and sizes allow; inside, pairs of different
-components are bounded by summed minima, then verified.
+a cell is compared with the cell's least point, which joins groups of copies by single links. Then only cells of three
+points and more are left that hold more than one component: their points are packed by size into leaves of bounded length,
+with the greatest count of each group as the leaf's box, and leaf meets leaf where boxes and sizes allow; inside, pairs of
+different components are bounded by summed minima, by those of a finer vector of ``FINE`` groups, then verified. Pairs
+inside a component need no look: the result are components, not links.
 
 Scale: every stage is a join, a grouping with partial sums, or a window over (shingle, id) rows that spills; no list of
-a cell's points is ever built beyond a leaf. Texts are shuffled only for classes in surviving pairs. Links of a group of k copies
-number about k, not k * k. Components come from alternating star steps.
+a cell's points is ever built beyond a leaf. Texts are shuffled only for classes in surviving pairs and a few others that
+an id filter of bounded size lets through. Links of a group of k copies number about k, not k * k. Components come from
+alternating star steps.
 
 Defined results: null, blank and wordless texts have no shingles and link with nothing; fewer words than a shingle make
 one shingle of all; repeated rows and repeated ids are documents of their own (a repeated id takes part in each of its
@@ -36,12 +38,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgersync.llm.common import components, stage, table
+from ledgersync.operators.bitmaps import key_bitmaps, mark_members
 
 GROUPS = 48
 LEAF = 128  # points of a leaf
-FINE_BITS = 9  # pairs are bounded once more by 2**FINE_BITS groups before sets are joined to them
-PAIRS = 1 << 17  # pairs bounded at a time
+FINE = 512  # groups of the finer vector, in bytes, that bounds the pairs left once more
+PAIRS, FINE_PAIRS = 1 << 17, 1 << 13  # pairs bounded at a time
 KNOWN_WORDS = 400_000
+FILTER_BITS, MOST_FILTER_BITS = 64, 1 << 29  # for each wanted id, and in all (64 MB)
 COMMON = 1 / 500  # share of all documents from which a shingle is common
 
 
@@ -94,11 +98,27 @@ def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[pa.Re
             yield part, hash_text(part.column("text").cast(pa.binary()).to_pylist())
 
 
-_POINTS = "doc_id long, n long, low long, mix long, counts array<int>, shingle long, times long"
+_POINTS = "doc_id long, n long, low long, mix long, counts array<int>, fine binary, shingle long, times long"
+
+
+def _fine(sets: list[np.ndarray]) -> list[bytes]:
+    """The finer count vectors; all bytes 255, which bound nothing, where a count passes a byte."""
+    made = [np.bincount((s >> np.uint64(55)).astype(np.int64), minlength=FINE) for s in sets]
+    return [(f if f.max(initial=0) < 255 else np.full(FINE, 255)).astype(np.uint8).tobytes() for f in made]
+
+
+def _fine_overlap(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Most shingles that sets with these vectors can share, row by row."""
+    found = np.minimum(a, b).sum(axis=1, dtype=np.int64)
+    return np.where(found == 255 * FINE, np.iinfo(np.int32).max, found)
+
+
+def _rows_of(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, FINE)
 
 
 def _points(width: int):
-    """Documents as points: size, two digests of the set, and the counts of the groups; and, in rows of their own,
+    """Documents as points: size, two digests of the set, and the counts of both kinds of groups; and, in rows of their own,
     shingles that more than one document of a part has, with the number of those documents."""
 
     def points(batches):
@@ -115,6 +135,7 @@ def _points(width: int):
                 pa.array([len(s) for s in sets] + [None] * more, pa.int64()),
                 *[pa.concat_arrays([pa.array(np.array(x, np.uint64).view(np.int64)), pa.nulls(more, pa.int64())]) for x in (low, mix)],
                 pa.array(counts + [None] * more, pa.list_(pa.int32())),
+                pa.array(_fine(sets) + [None] * more, pa.binary()),
                 *[pa.concat_arrays([pa.nulls(here, pa.int64()), pa.array(x, pa.int64())]) for x in (value, times)],
             ]
             yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in _POINTS.split(", ")])
@@ -174,9 +195,20 @@ def _bounded(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFra
     return sized.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _perhaps_listed(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
+    """The rows of ``docs`` whose id is in ``ids`` and a few others, so that the join after it moves few texts.
+
+    Ids are hashed to bits, ``FILTER_BITS`` for each listed one but ``MOST_FILTER_BITS`` in all, which bounds what is broadcast.
+    """
+    bits = min(MOST_FILTER_BITS, FILTER_BITS * max(n, 1))
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(bits)) + 1
+    maps = stage(key_bitmaps(ids.select(bit("id").alias("bit")), "bit"), "id-bits")
+    return mark_members(docs.withColumn("bit", bit("doc_id")), "bit", maps, "listed").where("listed").drop("bit", "listed")
+
+
 def _sets_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """(node, fine, set) of the classes named in ``nodes``: a finer count vector and the sorted shingles."""
-    wanted = classes.select("node", "doc_id", "n", "low").join(nodes, "node").withColumnRenamed("doc_id", "id")
+    """(node, set) of the classes named in ``nodes``: the sorted shingles."""
+    wanted = stage(classes.select("node", "doc_id", "n", "low").join(nodes, "node").withColumnRenamed("doc_id", "id"), "wanted")
 
     def sets(batches):
         seen: set[int] = set()  # a class once where rows repeat; a repetition in another task is only read twice
@@ -188,29 +220,36 @@ def _sets_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame, width: int)
                 if hit[-1]:
                     seen.add(node)
             made = pa.array([s.astype("<u8").tobytes() for s in found], pa.binary())
-            fine = [np.bincount((s >> np.uint64(64 - FINE_BITS)).astype(np.int64), minlength=1 << FINE_BITS) for s in found]
-            packed = pa.array([np.minimum(f, 255).astype(np.uint8).tobytes() if f.max(initial=0) < 255 else None for f in fine], pa.binary())
-            yield pa.RecordBatch.from_arrays([part.column("node"), packed, made], ["node", "fine", "set"]).filter(pa.array(hit, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([part.column("node"), made], ["node", "set"]).filter(pa.array(hit, pa.bool_()))
 
-    texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("id"))).select("node", "n", "low", "text")
-    return stage(texts.mapInArrow(sets, "node long, fine binary, set binary"), "shingle-sets")
+    some = _perhaps_listed(docs, wanted.select("id"), wanted.count())
+    texts = some.join(wanted, F.col("doc_id").eqNullSafe(F.col("id"))).select("node", "n", "low", "text")
+    return stage(texts.mapInArrow(sets, "node long, set binary"), "shingle-sets")
 
 
 def _nodes(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
 
 
-def _verified(pairs: DataFrame, made: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose sets have the similarity, by the finer vectors first."""
+def _refined(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) that the finer vectors allow."""
 
     def refine(batches):
         for batch in batches:
-            hit = []
-            for x, y, n in zip(batch.column("fine_a"), batch.column("fine_b"), batch.column("n").to_pylist(), strict=True):
-                v, u = x.as_buffer(), y.as_buffer()
-                overlap = np.minimum(np.frombuffer(v, np.uint8), np.frombuffer(u, np.uint8)).sum(dtype=np.int64) if v and u else n
-                hit.append((1 + similarity) * overlap >= similarity * n - 1e-9)
-            yield batch.select(["a", "b"]).filter(pa.array(hit, pa.bool_()))
+            hit = np.zeros(batch.num_rows, bool)
+            for lo in range(0, batch.num_rows, FINE_PAIRS):
+                part = batch.slice(lo, FINE_PAIRS)
+                overlap = _fine_overlap(_rows_of(part.column("fine_a")), _rows_of(part.column("fine_b")))
+                hit[lo : lo + FINE_PAIRS] = (1 + similarity) * overlap >= similarity * part.column("m").to_numpy() - 1e-9
+            yield batch.select(["a", "b"]).filter(pa.array(hit))
+
+    side = lambda x: classes.select(F.col("node").alias(x), F.col("fine").alias(f"fine_{x}"), F.col("n").alias(f"n_{x}"))
+    sized = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("m", F.col("n_a") + F.col("n_b"))
+    return sized.select("a", "b", "fine_a", "fine_b", "m").mapInArrow(refine, "a long, b long")
+
+
+def _verified(pairs: DataFrame, made: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose sets have the similarity."""
 
     def compare(batches):
         for batch in batches:
@@ -221,12 +260,8 @@ def _verified(pairs: DataFrame, made: DataFrame, similarity: float) -> DataFrame
                 hit.append((1 + similarity) * both >= similarity * (len(s) + len(t)) - 1e-9)
             yield batch.select(["a", "b"]).filter(pa.array(hit, pa.bool_()))
 
-    part = lambda x, *c: made.select(F.col("node").alias(x), *c)
-    size = F.expr("CAST(length(set) div 8 AS BIGINT)")
-    sized = pairs.join(part("a", F.col("fine").alias("fine_a"), size.alias("m_a")), "a").join(part("b", F.col("fine").alias("fine_b"), size.alias("m_b")), "b")
-    left = stage(sized.withColumn("n", F.col("m_a") + F.col("m_b")).mapInArrow(refine, "a long, b long"), "refined-pairs")
-    joined = left.join(part("a", F.col("set").alias("set_a")), "a").join(part("b", F.col("set").alias("set_b")), "b")
-    return stage(joined.mapInArrow(compare, "a long, b long"), "shingle-links")
+    part = lambda x: made.select(F.col("node").alias(x), F.col("set").alias(f"set_{x}"))
+    return stage(pairs.join(part("a"), "a").join(part("b"), "b").mapInArrow(compare, "a long, b long"), "shingle-links")
 
 
 def _leaf_pairs(similarity: float):
@@ -235,14 +270,14 @@ def _leaf_pairs(similarity: float):
     def lists(batch: pa.RecordBatch, side: str) -> tuple[np.ndarray, ...]:
         start = batch.column(f"low_{side}").offsets.to_numpy().astype(np.int64)
         flat = [batch.column(f"{c}_{side}").flatten().to_numpy(zero_copy_only=False) for c in ("low", "n", "component", "counts")]
-        return start[:-1] - start[0], np.diff(start), *flat[:3], flat[3].reshape(-1, GROUPS)
+        return start[:-1] - start[0], np.diff(start), *flat[:3], flat[3].reshape(-1, GROUPS), _rows_of(batch.column(f"fine_{side}").flatten())
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            start_a, len_a, low_a, n_a, group_a, counts_a = lists(batch, "a")
-            start_b, len_b, low_b, n_b, group_b, counts_b = lists(batch, "b")
+            start_a, len_a, low_a, n_a, group_a, counts_a, fine_a = lists(batch, "a")
+            start_b, len_b, low_b, n_b, group_b, counts_b, fine_b = lists(batch, "b")
             same = batch.column("same").to_numpy(zero_copy_only=False)
             until = np.cumsum(len_a * len_b)
             lo = 0
@@ -258,6 +293,11 @@ def _leaf_pairs(similarity: float):
                 i, j = i[hit], j[hit]
                 overlap = np.minimum(counts_a[i], counts_b[j]).sum(axis=1)
                 hit = (1 + similarity) * overlap >= similarity * (n_a[i] + n_b[j]) - 1e-9
+                i, j = i[hit], j[hit]
+                hit = np.zeros(len(i), bool)
+                for at in range(0, len(i), FINE_PAIRS):
+                    x, y = i[at : at + FINE_PAIRS], j[at : at + FINE_PAIRS]
+                    hit[at : at + FINE_PAIRS] = (1 + similarity) * _fine_overlap(fine_a[x], fine_b[y]) >= similarity * (n_a[x] + n_b[y]) - 1e-9
                 found = np.unique(np.sort(np.stack([low_a[i[hit]], low_b[j[hit]]], axis=1), axis=1), axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["low_a", "low_b"])
                 lo = hi
@@ -267,18 +307,20 @@ def _leaf_pairs(similarity: float):
 
 def _across(cells: DataFrame, classes: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
     """(low_a, low_b): pairs that share a cell, lie in different components and pass the bounds of leaves and points."""
-    named = classes.join(found, "node", "left").select("low", "n", "counts", F.coalesce("component", "node").alias("component"))
+    named = classes.join(found, "node", "left").select("low", "n", "counts", "fine", F.coalesce("component", "node").alias("component"))
     labelled = stage(cells.select("key", "low").join(named.select("low", "component"), "low"), "labelled-cells")
-    mixed = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
+    # in a cell of two points the star has met the only pair
+    held = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("points"))
+    mixed = held.where("x < y AND points > 2").select("key")
     points = labelled.select("key", "low").join(mixed, "key").join(named, "low")
     packed = points.withColumn("leaf", F.expr(f"(row_number() OVER (PARTITION BY key ORDER BY n, low, component) - 1) div {LEAF}").cast("int"))
     leaves = packed.groupBy("key", "leaf").agg(
-        F.collect_list(F.struct("low", "n", "component", "counts")).alias("points"),
+        F.collect_list(F.struct("low", "n", "component", "counts", "fine")).alias("points"),
         F.min("n").alias("least"), F.max("n").alias("most"), F.min("component").alias("from"), F.max("component").alias("to"),
         F.array(*[F.max(F.col("counts")[g]) for g in range(GROUPS)]).alias("box"),
     )
     leaves = stage(leaves, "leaves")
-    parts = lambda x: [*[F.col(f"points.{c}").alias(f"{c}_{x}") for c in ("low", "n", "component")], F.flatten("points.counts").alias(f"counts_{x}")]
+    parts = lambda x: [*[F.col(f"points.{c}").alias(f"{c}_{x}") for c in ("low", "n", "component", "fine")], F.flatten("points.counts").alias(f"counts_{x}")]
     inside = leaves.where("from < to").select(*parts("a"), *parts("b"), F.lit(True).alias("same"))
     side = lambda x: leaves.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("leaf", "least", "most", "from", "to", "box")])
     met = side("a").join(side("b"), "key").where("leaf_a < leaf_b AND NOT (from_a = to_a AND from_b = to_b AND from_a = from_b)")
@@ -296,7 +338,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8) ->
     docs = docs.select("doc_id", "text")
     points = stage(docs.mapInArrow(_points(width), _POINTS), "shingle-points")
     rows = points.where("n IS NOT NULL")
-    distinct = rows.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("doc_id"), F.first("counts").alias("counts"))
+    distinct = rows.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("doc_id"), F.first("counts").alias("counts"), F.first("fine").alias("fine"))
     classes = stage(distinct.withColumn("node", F.monotonically_increasing_id()), "shingle-classes")
     firsts = docs.select("text").mapInArrow(_first(width, similarity, _common(points, rows.count())), "key long, low long")
     cell = W.partitionBy("key")
@@ -304,11 +346,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8) ->
     met = met.where("pivot < last AND (before IS NULL OR before < low)")  # a set once, where there is another one
     cells = stage(met.select("key", "low", "pivot"), "shingle-cells")
     stars = cells.where("low <> pivot").select(F.col("pivot").alias("low_a"), F.col("low").alias("low_b")).distinct()
-    pairs = stage(_bounded(stars, classes, similarity), "pairs")
+    pairs = stage(_refined(_bounded(stars, classes, similarity), classes, similarity), "pairs")
     sets = _sets_of(_nodes(pairs), classes, docs, width)
     links = _verified(pairs, sets, similarity)
     found = stage(components(links, spark), "components")
-    more = stage(_bounded(_across(cells, classes, found, similarity), classes, similarity).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    by_low = lambda x: classes.select(F.col("low").alias(f"low_{x}"), F.col("node").alias(x))
+    left = _across(cells, classes, found, similarity).join(by_low("a"), "low_a").join(by_low("b"), "low_b")
+    left = left.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    more = stage(left.join(pairs, ["a", "b"], "left_anti"), "pairs")
     if not more.isEmpty():
         new = stage(_nodes(more).join(sets.select("node"), "node", "left_anti"), "nodes")
         if not new.isEmpty():

@@ -89,3 +89,30 @@ def test_sets_are_those_of_the_words():
     texts = ["A b  c d e f", "a b c d e f f f f f f f f f f f f", "x"]
     hashed = sj.Shingles(5)([t.encode() for t in texts])
     assert [len(h) for h in hashed] == [len(_set(t)) for t in texts] and len(np.intersect1d(hashed[0], hashed[1])) == 2
+
+
+def test_near_copies_cost_about_their_links(spark, documents, monkeypatch):
+    import random
+
+    from ledgersync.llm import shingle_join as sj
+
+    rng, counted = random.Random(4), {}
+    base = [f"w{rng.randrange(10_000)}" for _ in range(400)]
+    rows = []
+    for i in range(300):  # each has one stretch of its own, so all are alike and no two are equal
+        words = list(base)
+        at = rng.randrange(390)
+        words[at : at + 3] = [f"x{i}a", f"x{i}b", f"x{i}c"]
+        rows.append((i, " ".join(words), "en", "s"))
+    rows += [(1000 + i, " ".join(base[:200] + [f"y{i}_{k}" for k in range(200)]), "en", "s") for i in range(100)]  # share half of it
+    real = sj.stage
+
+    def counting(df, name):
+        out = real(df, name)
+        counted[name] = counted.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(sj, "stage", counting)
+    got = {r.doc_id: r.component_id for r in sj.near_duplicates(documents(rows)).collect()}
+    assert got == {i: 0 if i < 300 else i for i, *_ in rows}
+    assert counted["pairs"] < 4 * 300  # all pairs are 79,800
