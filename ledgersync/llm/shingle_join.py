@@ -8,8 +8,8 @@ only those are compared shingle by shingle.
 Points meet where they share a shingle among their first ones in a common order of all shingles: a pair at similarity t
 shares one among the first n - ceil(t n) + 1 of each. The order puts shingles that many documents share last, so passages
 found everywhere bring nobody together. The points that meet at a shingle form a cell. First each point of
-a cell is compared with the cell's least point, which joins groups of copies by single links. Then only cells of three
-points and more are left that hold more than one component: their points are packed by size into leaves of bounded length,
+a cell is compared with the cell's least point, which joins groups of copies by single links; further turns take other
+pivots where a cell of three points and more holds several components. What such cells still hold is compared in full: their points are packed by size into leaves of bounded length,
 with the greatest count of each group as the leaf's box, and leaf meets leaf where boxes and sizes allow; inside, pairs of
 different components are bounded by summed minima, by those of a finer vector of ``FINE`` groups, then verified. Pairs
 inside a component need no look: the result are components, not links.
@@ -46,6 +46,8 @@ FINE = 512  # groups of the finer vector, in bytes, that bounds the pairs left o
 PAIRS, FINE_PAIRS = 1 << 17, 1 << 13  # pairs bounded at a time
 KNOWN_WORDS = 400_000
 FILTER_BITS, MOST_FILTER_BITS = 64, 1 << 29  # for each wanted id, and in all (64 MB)
+PIVOTS = 16
+LAST_TURN = 1 / 50  # share of the first stars' links at which further stars give way to all pairs that are left
 COMMON = 1 / 500  # share of all documents from which a shingle is common
 
 
@@ -305,14 +307,32 @@ def _leaf_pairs(similarity: float):
     return pairs
 
 
-def _across(cells: DataFrame, classes: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
+def _mixed(cells: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, low, component) of the cells that hold several components, once where cells hold the same points.
+
+    In a cell of two points the first star has met the only pair.
+    """
+    component = F.coalesce("component", "node").alias("component")
+    labelled = stage(cells.select("key", "low").join(classes.join(found, "node", "left").select("low", component), "low"), "labelled-cells")
+    digests = [F.sum(F.xxhash64("low", F.lit(k)).cast("decimal(38,0)")).alias(f"d{k}") for k in (1, 2)]
+    held = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("points"), *digests)
+    kept = held.where("x < y AND points > 2").groupBy("points", "d1", "d2").agg(F.min("key").alias("key"))
+    return stage(labelled.join(kept.select("key"), "key"), "mixed-cells")
+
+
+def _stars(cells: DataFrame, turn: int) -> DataFrame:
+    """(low_a, low_b): the points of each cell with its pivot, where their components differ.
+
+    Every turn takes other pivots, and cells that hold much the same points take up to ``PIVOTS`` different ones.
+    """
+    first = F.min(F.struct(F.xxhash64("low", F.pmod("key", F.lit(PIVOTS)), F.lit(turn)), "low", "component")).over(W.partitionBy("key"))
+    met = cells.withColumn("pivot", first).where("component <> pivot.component")
+    return met.select(F.least("low", "pivot.low").alias("low_a"), F.greatest("low", "pivot.low").alias("low_b")).distinct()
+
+
+def _across(cells: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
     """(low_a, low_b): pairs that share a cell, lie in different components and pass the bounds of leaves and points."""
-    named = classes.join(found, "node", "left").select("low", "n", "counts", "fine", F.coalesce("component", "node").alias("component"))
-    labelled = stage(cells.select("key", "low").join(named.select("low", "component"), "low"), "labelled-cells")
-    # in a cell of two points the star has met the only pair
-    held = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("points"))
-    mixed = held.where("x < y AND points > 2").select("key")
-    points = labelled.select("key", "low").join(mixed, "key").join(named, "low")
+    points = cells.join(classes.select("low", "n", "counts", "fine"), "low")
     packed = points.withColumn("leaf", F.expr(f"(row_number() OVER (PARTITION BY key ORDER BY n, low, component) - 1) div {LEAF}").cast("int"))
     leaves = packed.groupBy("key", "leaf").agg(
         F.collect_list(F.struct("low", "n", "component", "counts", "fine")).alias("points"),
@@ -350,16 +370,29 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8) ->
     sets = _sets_of(_nodes(pairs), classes, docs, width)
     links = _verified(pairs, sets, similarity)
     found = stage(components(links, spark), "components")
-    by_low = lambda x: classes.select(F.col("low").alias(f"low_{x}"), F.col("node").alias(x))
-    left = _across(cells, classes, found, similarity).join(by_low("a"), "low_a").join(by_low("b"), "low_b")
-    left = left.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = stage(left.join(pairs, ["a", "b"], "left_anti"), "pairs")
-    if not more.isEmpty():
+    few, turn = links.count() * LAST_TURN, 0
+
+    def follow(more: DataFrame) -> int:
+        """Verify further pairs of classes and join what they link; the number of links."""
+        nonlocal pairs, sets, links, found
+        more = stage(more.join(pairs, ["a", "b"], "left_anti"), "pairs")
+        if more.isEmpty():
+            return 0
         new = stage(_nodes(more).join(sets.select("node"), "node", "left_anti"), "nodes")
         if not new.isEmpty():
             sets = sets.union(_sets_of(new, classes, docs, width))
-        links = links.union(_verified(more, sets, similarity))
+        made = _verified(more, sets, similarity)
+        pairs, links = pairs.union(more), links.union(made)
         found = stage(components(links, spark), "components")
+        return made.count()
+
+    while True:  # more stars as long as they join many, so that few pairs are left across components
+        cells, turn = _mixed(cells, classes, found), turn + 1
+        if follow(_refined(_bounded(_stars(cells, turn), classes, similarity), classes, similarity)) <= few:
+            break
+    by_low = lambda x: classes.select(F.col("low").alias(f"low_{x}"), F.col("node").alias(x))
+    left = _across(_mixed(cells, classes, found), classes, similarity).join(by_low("a"), "low_a").join(by_low("b"), "low_b")
+    follow(left.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     named = classes.join(found, "node", "left").select(*key, "doc_id", F.coalesce("component", "node").alias("component"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     by_class = named.drop("doc_id").join(least, "component").drop("component")
