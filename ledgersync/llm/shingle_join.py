@@ -8,7 +8,7 @@ only those are compared shingle by shingle.
 Points meet where they share a shingle among their first ones in a common order of all shingles: a pair at similarity t
 shares one among the first n - ceil(t n) + 1 of each. The order puts shingles that many documents share last, so passages
 found everywhere bring nobody together. The points that meet at a shingle form a cell. First each point of
-a cell is compared with the cell's least point, which joins groups of copies by single links; further turns take other
+a cell is compared with the cell's least point, which joins groups of copies by single links; a second turn takes other
 pivots where a cell of three points and more holds several components. What such cells still hold is compared in full: their points are packed by size into leaves of bounded length,
 with the greatest count of each group as the leaf's box, and leaf meets leaf where boxes and sizes allow; inside, pairs of
 different components are bounded by summed minima, by those of a finer vector of ``FINE`` groups, then verified. Pairs
@@ -46,8 +46,7 @@ FINE = 512  # groups of the finer vector, in bytes, that bounds the pairs left o
 PAIRS, FINE_PAIRS = 1 << 17, 1 << 13  # pairs bounded at a time
 KNOWN_WORDS = 400_000
 FILTER_BITS, MOST_FILTER_BITS = 64, 1 << 29  # for each wanted id, and in all (64 MB)
-PIVOTS = 16
-LAST_TURN = 1 / 50  # share of the first stars' links at which further stars give way to all pairs that are left
+PIVOTS = 16  # different pivots that cells with much the same points take in the second turn
 COMMON = 1 / 500  # share of all documents from which a shingle is common
 
 
@@ -320,12 +319,12 @@ def _mixed(cells: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
     return stage(labelled.join(kept.select("key"), "key"), "mixed-cells")
 
 
-def _stars(cells: DataFrame, turn: int) -> DataFrame:
+def _stars(cells: DataFrame) -> DataFrame:
     """(low_a, low_b): the points of each cell with its pivot, where their components differ.
 
-    Every turn takes other pivots, and cells that hold much the same points take up to ``PIVOTS`` different ones.
+    Cells that hold much the same points take up to ``PIVOTS`` different ones, other than the least point of the first turn.
     """
-    first = F.min(F.struct(F.xxhash64("low", F.pmod("key", F.lit(PIVOTS)), F.lit(turn)), "low", "component")).over(W.partitionBy("key"))
+    first = F.min(F.struct(F.xxhash64("low", F.pmod("key", F.lit(PIVOTS))), "low", "component")).over(W.partitionBy("key"))
     met = cells.withColumn("pivot", first).where("component <> pivot.component")
     return met.select(F.least("low", "pivot.low").alias("low_a"), F.greatest("low", "pivot.low").alias("low_b")).distinct()
 
@@ -369,30 +368,28 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8) ->
     pairs = stage(_refined(_bounded(stars, classes, similarity), classes, similarity), "pairs")
     sets = _sets_of(_nodes(pairs), classes, docs, width)
     links = _verified(pairs, sets, similarity)
-    found = stage(components(links, spark), "components")
-    few, turn = links.count() * LAST_TURN, 0
 
-    def follow(more: DataFrame) -> int:
-        """Verify further pairs of classes and join what they link; the number of links."""
-        nonlocal pairs, sets, links, found
+    def follow(more: DataFrame) -> bool:
+        """Verify further pairs of classes; whether there were any."""
+        nonlocal pairs, sets, links
         more = stage(more.join(pairs, ["a", "b"], "left_anti"), "pairs")
         if more.isEmpty():
-            return 0
+            return False
         new = stage(_nodes(more).join(sets.select("node"), "node", "left_anti"), "nodes")
         if not new.isEmpty():
             sets = sets.union(_sets_of(new, classes, docs, width))
-        made = _verified(more, sets, similarity)
-        pairs, links = pairs.union(more), links.union(made)
-        found = stage(components(links, spark), "components")
-        return made.count()
+        pairs, links = pairs.union(more), links.union(_verified(more, sets, similarity))
+        return True
 
-    while True:  # more stars as long as they join many, so that few pairs are left across components
-        cells, turn = _mixed(cells, classes, found), turn + 1
-        if follow(_refined(_bounded(_stars(cells, turn), classes, similarity), classes, similarity)) <= few:
-            break
+    # the least neighbour stands for the component while stars are compared: this only lets some pairs more through
+    both = links.union(links.select("b", "a")).groupBy(F.col("a").alias("node")).agg(F.min("b").alias("other"))
+    cells = _mixed(cells, classes, both.select("node", F.least("node", "other").alias("component")))
+    follow(_refined(_bounded(_stars(cells), classes, similarity), classes, similarity))
+    found = stage(components(links, spark), "components")
     by_low = lambda x: classes.select(F.col("low").alias(f"low_{x}"), F.col("node").alias(x))
     left = _across(_mixed(cells, classes, found), classes, similarity).join(by_low("a"), "low_a").join(by_low("b"), "low_b")
-    follow(left.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    if follow(left.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()):
+        found = stage(components(links, spark), "components")
     named = classes.join(found, "node", "left").select(*key, "doc_id", F.coalesce("component", "node").alias("component"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     by_class = named.drop("doc_id").join(least, "component").drop("component")
