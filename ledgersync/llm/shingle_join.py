@@ -46,7 +46,8 @@ FINE = 512  # groups of the finer vector, in bytes, that bounds the pairs left o
 PAIRS, FINE_PAIRS = 1 << 17, 1 << 13  # pairs bounded at a time
 KNOWN_WORDS = 400_000
 FILTER_BITS, MOST_FILTER_BITS = 64, 1 << 29  # for each wanted id, and in all (64 MB)
-PIVOTS = 16  # different pivots that cells with much the same points take in the second turn
+SENT = 1 << 17  # pairs a task remembers, so as to send them once
+PIVOTS = 32  # different pivots that cells with much the same points take in the second turn
 COMMON = 1 / 500  # share of all documents from which a shingle is common
 
 
@@ -274,6 +275,7 @@ def _leaf_pairs(similarity: float):
         return start[:-1] - start[0], np.diff(start), *flat[:3], flat[3].reshape(-1, GROUPS), _rows_of(batch.column(f"fine_{side}").flatten())
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent = np.zeros((0, 2), np.int64)  # pairs handed over lately, which other cells of the task may hold as well
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -300,7 +302,10 @@ def _leaf_pairs(similarity: float):
                     x, y = i[at : at + FINE_PAIRS], j[at : at + FINE_PAIRS]
                     hit[at : at + FINE_PAIRS] = (1 + similarity) * _fine_overlap(fine_a[x], fine_b[y]) >= similarity * (n_a[x] + n_b[y]) - 1e-9
                 found = np.unique(np.sort(np.stack([low_a[i[hit]], low_b[j[hit]]], axis=1), axis=1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["low_a", "low_b"])
+                both, first = np.unique(np.concatenate([sent, found]), axis=0, return_index=True)
+                fresh = both[first >= len(sent)]
+                sent = both if len(both) <= SENT else np.zeros((0, 2), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(fresh[:, 0]), pa.array(fresh[:, 1])], ["low_a", "low_b"])
                 lo = hi
 
     return pairs
