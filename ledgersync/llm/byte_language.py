@@ -30,7 +30,7 @@ from ledgersync.llm.common import table
 HIDDEN = 12
 WINDOW = 120  # characters of a training window
 STEPS, BATCH = 160, 256
-STRETCH, SIDE_BY_SIDE = 256, 2048  # bytes read from one start; stretches read together
+STRETCH, SIDE_BY_SIDE = 256, 1024  # bytes read from one start; stretches read together
 _LETTER = regex.compile(r"\p{L}")
 
 
