@@ -20,7 +20,7 @@ words that the worker has encoded before; the vocabulary drops white space, so a
 turn. Positions over all shards come from one total per shard.
 
 Defined results: a null text is empty and has the end id alone; a null id comes first; rows with the same id stand side
-by side, in no set order; a text of any length is one document, which grows its segment; an empty table gives no rows.
+by side, in order of a hash of their texts, and may fill several shards; a text of any length is one document, which grows its segment; an empty table gives no rows.
 Other columns are ignored.
 """
 
@@ -31,6 +31,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +48,7 @@ LANES = 64
 BLOCK = 1 << 16
 INTERVAL = 256
 SEGMENT_IDS = 1 << 21
-KNOWN_WORDS = 600_000  # entries of a worker's table of words and marks
+KNOWN_WORDS, KNOWN_PARTS = 600_000, 400_000  # entries of a worker's tables of words, and of words apart from their marks
 SEGMENT = "shard int, segment int, first long, doc_ids array<long>, lengths array<long>, data binary"
 _HEAD = "<4s7IQ"
 _LOW, _WORD = np.uint64(1 << 31), np.uint64(32)
@@ -148,18 +149,18 @@ def decode_segment(data: bytes) -> np.ndarray:
     return ids.ravel()[:n]
 
 
-# The text is lower-cased. Plain Latin letters (a-z and U+00E0..U+00FF but the division sign, and their capitals) up to
+# Parts of a lower-cased word. Plain Latin letters (a-z and U+00E0..U+00FF but the division sign, and their capitals) up to
 # an ASCII character that is neither letter nor apostrophe, or else everything up to white space.
 _LETTERS = rb"[a-z\xc3\x80-\x96\x98-\xb6\xb8-\xbf]++(?=[\x00-\x26\x28-\x40\x5b-\x60\x7b-\x7f]|\Z)"
-_PARTS = re.compile(_LETTERS + rb"|[^\x20\x09-\x0D]+")
+_PARTS = re.compile(_LETTERS + rb"|.+", re.DOTALL)
 _PLAIN = re.compile(_LETTERS)
 
 
 class WordEncoder:
     """Ids of texts under a vocabulary that never joins what ASCII white space separates, and lower-cases.
 
-    Letters and the marks or digits behind them are separate to the vocabulary too, so a word and its marks are looked
-    up apart.
+    Words are looked up whole. Letters and the marks or digits behind them are separate to the vocabulary too, so an
+    unknown word is put together from its parts, of which far fewer are new.
     """
 
     def __init__(self, path: str) -> None:
@@ -171,6 +172,7 @@ class WordEncoder:
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
+        self.parts: dict[bytes, bytes] = {}
 
     def _encode_apart(self, words: list[bytes]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
@@ -186,25 +188,26 @@ class WordEncoder:
         data, starts = ids.tobytes(), [0, *ends[:-1].tolist()]
         return [data[a:b] for a, b in zip(starts, ends.tolist(), strict=True)]
 
-    def _learn(self, parts: set[bytes]) -> None:
-        plain = [w for w in parts if _PLAIN.fullmatch(w)]
+    def _learn(self, words: set[bytes]) -> None:
+        if len(self.parts) > KNOWN_PARTS:
+            self.parts.clear()
+        split = {w: _PARTS.findall(w) for w in words}
+        new = {p for parts in split.values() for p in parts}.difference(self.parts)
+        plain = [p for p in new if _PLAIN.fullmatch(p)]
         for lo in range(0, len(plain), 5_000):
-            self.known.update(zip(plain[lo : lo + 5_000], self._encode_letters(plain[lo : lo + 5_000]), strict=True))
-        rest = list(parts.difference(plain))
-        self.known.update(zip(rest, self._encode_apart(rest), strict=True))
+            self.parts.update(zip(plain[lo : lo + 5_000], self._encode_letters(plain[lo : lo + 5_000]), strict=True))
+        rest = list(new.difference(plain))
+        self.parts.update(zip(rest, self._encode_apart(rest), strict=True))
+        self.known.update((w, b"".join([self.parts[p] for p in parts])) for w, parts in split.items())
 
     def __call__(self, texts: list[bytes | None]) -> list[bytes]:
         """Each text's ids as little-endian u32."""
         if len(self.known) > KNOWN_WORDS:
             self.known.clear()
-        known = self.known
-        split = [_PARTS.findall((t or b"").lower()) for t in texts]
-        found = [list(map(known.get, words)) for words in split]
-        new = {w for words, ids in zip(split, found, strict=True) if None in ids for w, x in zip(words, ids, strict=True) if x is None}
-        if not new:
-            return [b"".join(ids) for ids in found]
-        self._learn(new)
-        return [b"".join([known[w] if x is None else x for w, x in zip(words, ids, strict=True)]) for words, ids in zip(split, found, strict=True)]
+        split = [(t or b"").lower().split() for t in texts]
+        if new := set(chain.from_iterable(split)).difference(self.known):
+            self._learn(new)
+        return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -256,7 +259,8 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int =
 
     ``vocabulary`` is a file of the tokenizers library that every executor can read.
     """
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    order = [F.col("doc_id"), F.xxhash64("text")]  # rows of one id may lie in several shards
+    ordered = docs.select("doc_id", "text").repartitionByRange(*order).sortWithinPartitions(*order)
     ordered.mapInArrow(_write(vocabulary, end_id), SEGMENT).write.parquet(path)
 
 
