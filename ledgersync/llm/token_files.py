@@ -48,7 +48,7 @@ LANES = 64
 BLOCK = 1 << 16
 INTERVAL = 256
 SEGMENT_IDS = 1 << 21
-KNOWN_WORDS, KNOWN_PARTS = 600_000, 400_000  # entries of a worker's tables of words, and of words apart from their marks
+KNOWN_WORDS, KNOWN_PARTS = 800_000, 800_000  # entries of a worker's tables of words, and of words apart from their marks
 SEGMENT = "shard int, segment int, first long, doc_ids array<long>, lengths array<long>, data binary"
 _HEAD = "<4s7IQ"
 _LOW, _WORD = np.uint64(1 << 31), np.uint64(32)
