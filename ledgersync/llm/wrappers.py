@@ -306,7 +306,8 @@ def page_terms(node: Node, inside: bool = False) -> tuple[list[list], int, int]:
             text = " ".join(child.split())
             if text:
                 if not terms or terms[-1][0] != "t":
-                    terms.append(["t", text if len(text) <= 80 else text[:80] + str(len(text)), False])
+                    # a long text as its beginning, a digest of all of it and its length
+                    terms.append(["t", text if len(text) <= 80 else text[:64] + _digest(text) + str(len(text)), False])
                 else:
                     terms[-1][1] = None
                 chars += len(text)

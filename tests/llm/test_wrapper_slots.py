@@ -26,3 +26,9 @@ def test_constant_blocks_within_the_place_are_left_out(spark):
 def test_repeated_pages_make_nothing_constant(spark):
     page = "<body><div class=c1><p>The only page of this host, seen over and over</div></body>"
     assert set(_texts(spark, [page] * 8).values()) == {"The only page of this host, seen over and over"}
+
+
+def test_long_texts_of_one_beginning_and_length_differ():
+    text = "The same long opening of a text that goes on for more than eighty characters before it differs, number "
+    one, two, again = (w.page_terms(w.parse(f"<div class=c1>{text}{k}</div>"))[0] for k in (1, 2, 1))
+    assert one == again and one != two
