@@ -20,9 +20,21 @@ from ledgersync.llm.mixing import mixed_documents
 #: letters. A few words of a learned language can score little more than chance, and clean documents must stay.
 ABOVE_CHANCE = 1.2
 
+#: Most bytes of an Arrow batch in the stages that work in Python. Some texts and shingle sets are hundreds of times longer
+#: than others, so a number of rows alone doesn't bound what a task holds.
+BATCH_BYTES = 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches by ``BATCH_BYTES``; a lower bound that is set already stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a recognisable language; learned from the labels of ``docs`` outside the held-out fold."""
+    bound_batches(spark)
     net = byte_language.fit(docs)
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
     least = ABOVE_CHANCE / len(net.languages) if net and len(net.languages) > 1 else 0.0
@@ -31,6 +43,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates one row: the smallest id, nulls last, and of its rows one by content."""
+    bound_batches(spark)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     keyed = stage(docs.select(row.alias("row"), F.monotonically_increasing_id().alias("key")), "pipeline-rows")
     groups = shingle_join.near_duplicates(keyed.select(F.col("key").alias("doc_id"), "row.text"))
@@ -53,6 +66,7 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document of the mixture, decoded again and compared with its text."""
+    bound_batches(spark)
     encoded = pieces.with_ids(docs, public_tokenizers.path("piece_bpe_32k.model"))
     return encoded.select("doc_id", "lang", "source", "n_chars", "n_ids", "ids", "round_trip")
 
