@@ -90,3 +90,15 @@ def test_everything_is_registered():
     assert "pipeline" in names and cp.ORACLE_SQL is None
     assert [n for n in range(1, 14) if sum(x.startswith(f"op{n}_") for x in names) != 1] == []
     assert set(registered.SQL) <= set(registered.QUERIES) <= set(names) and set(registered.SQL) <= set(entry_module.oracle_sql())
+
+
+def test_batches_bounded_by_bytes(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for given, wanted in ((str(64 << 20), cp.BATCH_BYTES), (str(1 << 30), cp.BATCH_BYTES), ("4096", 4096)):
+            spark.conf.set(key, given)
+            cp.bound_batches(spark)
+            assert int(spark.conf.get(key).rstrip("b")) == wanted
+    finally:
+        spark.conf.set(key, before)
