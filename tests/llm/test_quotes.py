@@ -117,3 +117,11 @@ def test_hostile_rows(spark):
     assert got == sorted(_brute(rows), key=repr)
     assert [r[5] for r in got if r[0] is None and r[2] == 1] == [0]
     assert reply_ordered(df.limit(0)).count() == 0
+
+
+def test_texts_and_roles_with_equal_beginnings(spark):
+    long = "x" * 64
+    roles = [None, "", "a", long, long + "a", long + "b", long + "bb"]
+    rows = [(1, 5, role, text) for role in roles for text in (long, long + "z", long + "a", "b", "é" * 70, "é" * 64 + "a", None, "b")]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA).repartition(5)
+    assert _rows(reply_ordered(df)) == sorted(_brute(rows), key=repr)
