@@ -181,7 +181,10 @@ def interval_join(
     until = F.coalesce(F.col(end), ts(as_of))
     sp = spans.select(F.col(key).alias("__key"), F.col(start).alias("__from"), until.alias("__to"), F.struct(*kept).alias("__span"))
     ev = events.select(F.struct(*events.columns).alias("__event"), F.col(key).alias("__key"), F.col(at).alias("__at"))
-    met = _block_pairs(ev.filter("__key IS NOT NULL AND __at IS NOT NULL"), sp.filter("__key IS NOT NULL"), hot)
+    ev, sp = ev.filter("__key IS NOT NULL AND __at IS NOT NULL"), sp.filter("__key IS NOT NULL")
+    # Rows of keys that only one side knows are cut off while they are single rows, before they become blocks.
+    keys = events.select(F.col(key).alias("__key")).distinct().join(spans.select(F.col(key).alias("__key")).distinct(), "__key", "left_semi")
+    met = _block_pairs(ev.join(keys, "__key", "left_semi"), sp.join(keys, "__key", "left_semi"), hot)
     inside = met.filter(f"__code < {_code(_EDGE, '0L')} OR __at BETWEEN __from AND __to")
     return inside.select("__event.*", *[F.col(f"__span.`{c}`") for c in kept])
 
