@@ -19,21 +19,18 @@ def tax_detail(cat: TableCatalog) -> DataFrame:
     td = cat.read("tax_detail_finalized").filter(F.col("contract_oid") != 0)
     td = code_lookup(td, cat.read("lti_values"), "tax_jurisdiction_oid", {"descr": "tax_jurisdiction"})
     td = lookup(td, cat.read("tax_product"), "tax_product_oid", {"description": "product"})
-    td = lookup(td, cat.read("tax_exception_asset"), "contract_item_oid", {"tax_exception_oid": "tax_exception_oid"})
-    td = lookup(td, cat.read("tax_exception"), "tax_exception_oid", {"inactive_date": "inactive_date"})
-    td = td.filter(F.col("inactive_date").isNull())
-    td = lookup(
-        td,
-        cat.read("tax_exception_detail"),
-        "tax_exception_oid",
-        {
-            "tax_code_oid": "exception_tax_code_oid",
-            "jurisdiction_oid": "exception_jurisdiction_oid",
-            "taxability_oid": "exception_taxability_oid",
-            "rate_override": "rate_override",
-            "rate_adjustment": "rate_adjustment",
-        },
-    )
+    # Exceptions are put together by item first: most tax rows have none, and their empty ids would all meet in one task.
+    exceptions = lookup(cat.read("tax_exception_asset"), cat.read("tax_exception"), "tax_exception_oid", {"inactive_date": "inactive_date"})
+    of_exception = {
+        "tax_code_oid": "exception_tax_code_oid",
+        "jurisdiction_oid": "exception_jurisdiction_oid",
+        "taxability_oid": "exception_taxability_oid",
+        "rate_override": "rate_override",
+        "rate_adjustment": "rate_adjustment",
+    }
+    exceptions = lookup(exceptions, cat.read("tax_exception_detail"), "tax_exception_oid", of_exception)
+    found = {c: c for c in ("tax_exception_oid", "inactive_date", *of_exception.values())}
+    td = lookup(td, exceptions, "contract_item_oid", found).filter(F.col("inactive_date").isNull())
     td = lookup(td, cat.read("tax_code"), "tax_code_oid", {"code": "code", "description": "code_description", "state_oid": "state_oid"})
     td = lookup(td, cat.read("state"), [("state_oid", "oid")], {"name": "state_name"})
     rates = {
