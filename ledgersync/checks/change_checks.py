@@ -21,7 +21,7 @@ from ledgersync.plans import contracts as contract_plans
 from ledgersync.plans import delinquency, equipment, schedules, tax
 from ledgersync.plans.notes import multi_deal_entities
 from ledgersync.registry import OBJECTS, ObjectSpec
-from ledgersync.session import scratch_path
+from ledgersync.session import scratch_path, stored
 from ledgersync.sources.pull import pull_changes, watermark
 from ledgersync.sources.sink import write_quarantined
 from ledgersync.sources.star import StarCatalog
@@ -238,8 +238,9 @@ _LEDGER_DDL = "general_ledger_account_id_oid bigint, account_id string, process_
 
 
 def _streamed_balances(c: StarCatalog) -> DataFrame:
-    """The ledger in files of one micro-batch each, with a reversal, over two runs of the stream."""
+    """The ledger in folders of one micro-batch each, with a reversal, over two runs of the stream."""
     columns = [p.split()[0] for p in _LEDGER_DDL.split(", ")]
+    account_ids = stored(c.read("general_ledger_account_id"), "stream-accounts")  # a table, as it is on a ledger: every micro-batch reads it
     gl, folder = c.read("general_ledger"), scratch_path(c.spark, "stream-ledger")
     target, checkpoint = scratch_path(c.spark, "stream-balances"), scratch_path(c.spark, "stream-checkpoint")
     buckets = G.snapshot_buckets()
@@ -248,9 +249,10 @@ def _streamed_balances(c: StarCatalog) -> DataFrame:
     back = part(0).withColumns({"debit": -F.col("debit"), "credit": -F.col("credit")})
     for run in ([part(0), part(1), back], [part(2), part(0)]):
         for k, rows in enumerate(run):
-            rows.coalesce(1).write.parquet(f"{folder}/f{len(run)}{k}")
-        stream = change_stream(c.spark, f"{folder}/*", _LEDGER_DDL, files_per_trigger=1)
-        stream_balances(stream, c.read("general_ledger_account_id"), buckets, target, checkpoint).awaitTermination()
+            rows.write.parquet(f"{folder}/f{len(run)}{k}")
+        files = len(c.spark.read.schema(_LEDGER_DDL).parquet(f"{folder}/f{len(run)}0").inputFiles())
+        stream = change_stream(c.spark, f"{folder}/*", _LEDGER_DDL, files_per_trigger=files)
+        stream_balances(stream, account_ids, buckets, target, checkpoint).awaitTermination()
     return current_balances(c.spark, target, buckets)
 
 
