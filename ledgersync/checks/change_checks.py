@@ -152,7 +152,7 @@ def _crm_folder(c: StarCatalog) -> StarCatalog:
     """A catalog whose downstream namespace is a folder: contracts, and accounting rows split in two halves per contract."""
     folder = scratch_path(c.spark, "crm")
     OBJECTS["contract"].to_crm(contract_plans.contracts(c)).write.parquet(f"{folder}/contract")
-    copy = _stored(c).select("contract_oid", *_BALANCES)
+    copy = stored(_stored(c).select("contract_oid", *_BALANCES), "crm-balances")  # both halves are cut from it
     halves = union_arms(copy, copy.select("contract_oid", *[F.lit(None).cast("decimal(38,2)").alias(b) for b in _BALANCES]))
     halves.write.parquet(f"{folder}/accounting")
     return StarCatalog(c.spark, c.root, crm_root=folder)
