@@ -149,7 +149,9 @@ def contracts_of(account_ids: DataFrame) -> DataFrame:
 
 def spread_buckets(reduced: DataFrame, account_ids: DataFrame, buckets: Sequence[Bucket], counts: Mapping[str, str] | None = None) -> DataFrame:
     """Bucket sums per contract from a ledger already reduced to amounts per account id, account, process and flags."""
-    joined = reduced.join(contracts_of(account_ids), "general_ledger_account_id_oid")
+    joined = reduced.join(contracts_of(account_ids), "general_ledger_account_id_oid").drop("general_ledger_account_id_oid")
+    # Laid out by contract as the narrow rows they are: they are reduced already, and partial sums would send every bucket of each.
+    joined = joined.repartition("contract_oid")
     row_counts = [F.expr(f"COALESCE(SUM(CASE WHEN {c} THEN ledger_rows END), 0) AS {n}") for n, c in (counts or {}).items()]
     return bucket_sums(joined, ["contract_oid"], "amount", buckets, *row_counts)
 

@@ -11,7 +11,7 @@ from ledgersync.checks import change_checks
 from ledgersync.checks.harness import AS_OF
 from ledgersync.operators import joins
 from ledgersync.operators import sync as R
-from ledgersync.plans import equipment, payments, schedules, tax
+from ledgersync.plans import accounting, equipment, payments, schedules, tax
 from ledgersync.sources.star import StarCatalog
 
 
@@ -87,3 +87,10 @@ def test_opportunity_joins_while_rows_are_narrow(spark, sf_dir, monkeypatch, mod
     monkeypatch.setattr(module, "with_opportunity", lambda df, *args, **kw: met.append(df.columns) or real(df, *args, **kw))
     build(StarCatalog(spark, sf_dir))
     assert len(met) == 1 and late not in met[0]
+
+
+def test_ledger_buckets_shuffle_narrow_rows(spark, sf_dir, no_broadcast):
+    """Between the meeting with the account ids and the bucket sums lies no shuffle of partial sums of every bucket."""
+    plan = plan_of(accounting.contract_ledger(StarCatalog(spark, sf_dir), AS_OF)).split("Initial Plan")[-1]
+    shuffles = [line for line in plan.splitlines() if "hashpartitioning(contract_oid" in line]
+    assert len(shuffles) == 1 and "REPARTITION_BY_COL" in shuffles[0]
