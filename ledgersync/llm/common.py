@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import Any
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +30,24 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_kept: dict[str, Any] = {}
+
+
+def kept_in_worker(name: str, make: Callable[[], Any]) -> Any:
+    """The Python worker's table ``name``: it outlives a task, until the worker makes another one or turns to other work."""
+    if name not in _kept:
+        forget_kept()
+        _kept[name] = make()
+    return _kept[name]
+
+
+def forget_kept() -> None:
+    """Give back what the worker kept for a stage before, so that tables of several stages never add up."""
+    if _kept:
+        _kept.clear()
+        pa.default_memory_pool().release_unused()
+
+
 def components(links: DataFrame, spark: SparkSession) -> DataFrame:
     """(node, component): the smallest node reachable by the undirected ``links`` (a, b).
 

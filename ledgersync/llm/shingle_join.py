@@ -12,7 +12,10 @@ a cell is compared with the cell's least point, which joins groups of copies by
 pivots where a cell of three points and more holds several components. What such cells still hold is compared in full: their points are packed by size into leaves of bounded length,
 with the greatest count of each group as the leaf's box, and leaf meets leaf where boxes and sizes allow; inside, pairs of
 different components are bounded by summed minima, by those of a finer vector of ``FINE`` groups, then verified. Pairs
-inside a component need no look: the result are components, not links.
+inside a component need no look: the result are components, not links. Near copies share most of their cells, so each point
+carries the first ``MEETS`` of its cells, and a pair is left to the first of those it has in common. Two components take the
+``BEST`` pairs of each look at some leaves; the cells where more were held back are looked at once more, without that bound,
+when the links found have joined most of them.
 
 Scale: every stage is a join, a grouping with partial sums, or a window over (shingle, id) rows that spills; no list of
 a cell's points is ever built beyond a leaf. Texts are shuffled only for classes in surviving pairs and a few others that
@@ -37,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgersync.llm.common import components, stage, table
+from ledgersync.llm.common import components, forget_kept, stage, table
 from ledgersync.operators.bitmaps import key_bitmaps, mark_members
 
 GROUPS = 48
@@ -47,6 +50,8 @@ PAIRS, FINE_PAIRS = 1 << 17, 1 << 13  # pairs bounded at a time
 KNOWN_WORDS = 400_000
 FILTER_BITS, MOST_FILTER_BITS = 64, 1 << 29  # for each wanted id, and in all (64 MB)
 SENT = 1 << 17  # pairs a task remembers, so as to send them once
+MEETS = 8  # cells, the first of its own, that a point carries
+BEST = 4  # pairs of two components that are verified before the others
 PIVOTS = 32  # different pivots that cells with much the same points take in the second turn
 COMMON = 1 / 500  # share of all documents from which a shingle is common
 
@@ -93,6 +98,7 @@ class Shingles:
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     """Parts of the batches, whose column ``text`` is read, with the sets of their texts."""
+    forget_kept()
     hash_text = Shingles(width)
     for batch in batches:
         for lo in range(0, batch.num_rows, 256):
@@ -266,22 +272,45 @@ def _verified(pairs: DataFrame, made: DataFrame, similarity: float) -> DataFrame
     return stage(pairs.join(part("a"), "a").join(part("b"), "b").mapInArrow(compare, "a long, b long"), "shingle-links")
 
 
-def _leaf_pairs(similarity: float):
-    """Pairs of two leaves' points of different components that sizes and summed minima allow."""
+def _met_before(meets_a: np.ndarray, meets_b: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Whether two points share one of the cells they carry that comes before the cell ``key``, row by row."""
+    before = np.where(meets_a < key[:, None], meets_a, np.iinfo(np.int64).max)  # no cell that is before the key has that one
+    return ((before[:, :, None] == meets_b[:, None, :]) & (before < key[:, None])[:, :, None]).any(axis=(1, 2))
+
+
+def _beyond(x: np.ndarray, y: np.ndarray, worth: np.ndarray, most: int) -> np.ndarray:
+    """Which pairs come after the ``most`` worthiest of the same two components (x, y)."""
+    low, high = np.minimum(x, y), np.maximum(x, y)
+    order = np.lexsort((-worth, high, low))
+    low, high = low[order], high[order]
+    new = np.ones(len(low), bool)
+    new[1:] = (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+    at = np.arange(len(low))
+    out = np.zeros(len(low), bool)
+    out[order] = at - np.maximum.accumulate(np.where(new, at, 0)) >= most
+    return out
+
+
+def _leaf_pairs(similarity: float, most: int | None = None):
+    """Pairs of two leaves' points of different components that sizes and summed minima allow and no earlier cell holds.
+
+    With ``most``, of those that two components have in one look only the pairs with the highest bounds; where others were
+    held back, the cell follows in a row of its own, (key, null).
+    """
 
     def lists(batch: pa.RecordBatch, side: str) -> tuple[np.ndarray, ...]:
         start = batch.column(f"low_{side}").offsets.to_numpy().astype(np.int64)
-        flat = [batch.column(f"{c}_{side}").flatten().to_numpy(zero_copy_only=False) for c in ("low", "n", "component", "counts")]
-        return start[:-1] - start[0], np.diff(start), *flat[:3], flat[3].reshape(-1, GROUPS), _rows_of(batch.column(f"fine_{side}").flatten())
+        flat = [batch.column(f"{c}_{side}").flatten().to_numpy(zero_copy_only=False) for c in ("low", "n", "component", "counts", "meets")]
+        return start[:-1] - start[0], np.diff(start), *flat[:3], flat[3].reshape(-1, GROUPS), _rows_of(batch.column(f"fine_{side}").flatten()), flat[4].reshape(-1, MEETS)
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent = np.zeros((0, 2), np.int64)  # pairs handed over lately, which other cells of the task may hold as well
         for batch in batches:
             if not batch.num_rows:
                 continue
-            start_a, len_a, low_a, n_a, group_a, counts_a, fine_a = lists(batch, "a")
-            start_b, len_b, low_b, n_b, group_b, counts_b, fine_b = lists(batch, "b")
-            same = batch.column("same").to_numpy(zero_copy_only=False)
+            start_a, len_a, low_a, n_a, group_a, counts_a, fine_a, meets_a = lists(batch, "a")
+            start_b, len_b, low_b, n_b, group_b, counts_b, fine_b, meets_b = lists(batch, "b")
+            same, key = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("same", "key"))
             until = np.cumsum(len_a * len_b)
             lo = 0
             while lo < len(until):  # as many leaf pairs as stay within PAIRS, one at least
@@ -293,19 +322,30 @@ def _leaf_pairs(similarity: float):
                 i, j = start_a[row] + at // len_b[row], start_b[row] + at % len_b[row]
                 n, m = n_a[i], n_b[j]
                 hit = (group_a[i] != group_b[j]) & (np.minimum(n, m) * (1 + similarity) >= similarity * (n + m) - 1e-9) & (~same[row] | (low_a[i] < low_b[j]))
-                i, j = i[hit], j[hit]
+                i, j, row = i[hit], j[hit], row[hit]
                 overlap = np.minimum(counts_a[i], counts_b[j]).sum(axis=1)
                 hit = (1 + similarity) * overlap >= similarity * (n_a[i] + n_b[j]) - 1e-9
-                i, j = i[hit], j[hit]
-                hit = np.zeros(len(i), bool)
+                i, j, row = i[hit], j[hit], row[hit]
+                hit, worth = np.zeros(len(i), bool), np.zeros(len(i))
                 for at in range(0, len(i), FINE_PAIRS):
-                    x, y = i[at : at + FINE_PAIRS], j[at : at + FINE_PAIRS]
-                    hit[at : at + FINE_PAIRS] = (1 + similarity) * _fine_overlap(fine_a[x], fine_b[y]) >= similarity * (n_a[x] + n_b[y]) - 1e-9
-                found = np.unique(np.sort(np.stack([low_a[i[hit]], low_b[j[hit]]], axis=1), axis=1), axis=0)
+                    part = slice(at, at + FINE_PAIRS)
+                    part = at + np.flatnonzero(~_met_before(meets_a[i[part]], meets_b[j[part]], key[row[part]]))
+                    x, y = i[part], j[part]
+                    overlap, both = _fine_overlap(fine_a[x], fine_b[y]), n_a[x] + n_b[y]
+                    hit[part] = (1 + similarity) * overlap >= similarity * both - 1e-9
+                    worth[part] = overlap / both
+                i, j, row, worth = i[hit], j[hit], row[hit], worth[hit]
+                held = np.zeros(0, np.int64)
+                if most is not None:
+                    beyond = _beyond(group_a[i], group_b[j], worth, most)
+                    held = np.unique(key[row[beyond]])
+                    i, j = i[~beyond], j[~beyond]
+                found = np.unique(np.sort(np.stack([low_a[i], low_b[j]], axis=1), axis=1), axis=0)
                 both, first = np.unique(np.concatenate([sent, found]), axis=0, return_index=True)
                 fresh = both[first >= len(sent)]
                 sent = both if len(both) <= SENT else np.zeros((0, 2), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(fresh[:, 0]), pa.array(fresh[:, 1])], ["low_a", "low_b"])
+                made = [pa.array(np.r_[fresh[:, 0], held]), pa.concat_arrays([pa.array(fresh[:, 1]), pa.nulls(len(held), pa.int64())])]
+                yield pa.RecordBatch.from_arrays(made, ["low_a", "low_b"])
                 lo = hi
 
     return pairs
@@ -334,18 +374,24 @@ def _stars(cells: DataFrame) -> DataFrame:
     return met.select(F.least("low", "pivot.low").alias("low_a"), F.greatest("low", "pivot.low").alias("low_b")).distinct()
 
 
-def _across(cells: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
-    """(low_a, low_b): pairs that share a cell, lie in different components and pass the bounds of leaves and points."""
-    points = cells.join(classes.select("low", "n", "counts", "fine"), "low")
+def _across(cells: DataFrame, classes: DataFrame, similarity: float, most: int | None = None) -> DataFrame:
+    """(low_a, low_b): pairs that share a cell, lie in different components and pass the bounds of leaves and points.
+
+    With ``most``, rows (key, null) name the cells where pairs were held back.
+    """
+    first = cells.withColumn("nth", F.row_number().over(W.partitionBy("low").orderBy("key"))).where(F.col("nth") <= MEETS)
+    meets = F.concat(F.sort_array(F.collect_list("key")), F.array_repeat(F.lit((1 << 63) - 1), MEETS - F.count("*").cast("int"))).alias("meets")
+    points = cells.join(first.groupBy("low").agg(meets), "low").join(classes.select("low", "n", "counts", "fine"), "low")
     packed = points.withColumn("leaf", F.expr(f"(row_number() OVER (PARTITION BY key ORDER BY n, low, component) - 1) div {LEAF}").cast("int"))
     leaves = packed.groupBy("key", "leaf").agg(
-        F.collect_list(F.struct("low", "n", "component", "counts", "fine")).alias("points"),
+        F.collect_list(F.struct("low", "n", "component", "counts", "fine", "meets")).alias("points"),
         F.min("n").alias("least"), F.max("n").alias("most"), F.min("component").alias("from"), F.max("component").alias("to"),
         F.array(*[F.max(F.col("counts")[g]) for g in range(GROUPS)]).alias("box"),
     )
     leaves = stage(leaves, "leaves")
-    parts = lambda x: [*[F.col(f"points.{c}").alias(f"{c}_{x}") for c in ("low", "n", "component", "fine")], F.flatten("points.counts").alias(f"counts_{x}")]
-    inside = leaves.where("from < to").select(*parts("a"), *parts("b"), F.lit(True).alias("same"))
+    flat = ("counts", "meets")
+    parts = lambda x: [*[F.col(f"points.{c}").alias(f"{c}_{x}") for c in ("low", "n", "component", "fine")], *[F.flatten(f"points.{c}").alias(f"{c}_{x}") for c in flat]]
+    inside = leaves.where("from < to").select("key", *parts("a"), *parts("b"), F.lit(True).alias("same"))
     side = lambda x: leaves.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("leaf", "least", "most", "from", "to", "box")])
     met = side("a").join(side("b"), "key").where("leaf_a < leaf_b AND NOT (from_a = to_a AND from_b = to_b AND from_a = from_b)")
     # sizes in leaf b are not below those in leaf a
@@ -353,7 +399,7 @@ def _across(cells: DataFrame, classes: DataFrame, similarity: float) -> DataFram
     met = met.where(_allows(similarity, _minima("box_a", "box_b"), "least_a", "least_b")).select("key", "leaf_a", "leaf_b")
     of = lambda x: leaves.select("key", F.col("leaf").alias(f"leaf_{x}"), *parts(x))
     across = met.join(of("a"), ["key", "leaf_a"]).join(of("b"), ["key", "leaf_b"]).withColumn("same", F.lit(False))
-    return inside.unionByName(across.select(*inside.columns)).mapInArrow(_leaf_pairs(similarity), "low_a long, low_b long").distinct()
+    return stage(inside.unionByName(across.select(*inside.columns)).mapInArrow(_leaf_pairs(similarity, most), "low_a long, low_b long").distinct(), "across")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -392,9 +438,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8) ->
     follow(_refined(_bounded(_stars(cells), classes, similarity), classes, similarity))
     found = stage(components(links, spark), "components")
     by_low = lambda x: classes.select(F.col("low").alias(f"low_{x}"), F.col("node").alias(x))
-    left = _across(_mixed(cells, classes, found), classes, similarity).join(by_low("a"), "low_a").join(by_low("b"), "low_b")
-    if follow(left.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()):
-        found = stage(components(links, spark), "components")
+    for most in (BEST, None):
+        left = _across(_mixed(cells, classes, found), classes, similarity, most)
+        met = left.join(by_low("a"), "low_a").join(by_low("b"), "low_b")
+        if follow(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()):
+            found = stage(components(links, spark), "components")
+        held = left.where("low_b IS NULL").select(F.col("low_a").alias("key"))
+        if held.isEmpty():
+            break
+        cells = cells.join(held, "key")
     named = classes.join(found, "node", "left").select(*key, "doc_id", F.coalesce("component", "node").alias("component"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     by_class = named.drop("doc_id").join(least, "component").drop("component")

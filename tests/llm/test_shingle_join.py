@@ -116,3 +116,52 @@ def test_near_copies_cost_about_their_links(spark, documents, monkeypatch):
     got = {r.doc_id: r.component_id for r in sj.near_duplicates(documents(rows)).collect()}
     assert got == {i: 0 if i < 300 else i for i, *_ in rows}
     assert counted["pairs"] < 4 * 300  # all pairs are 79,800
+
+
+def test_near_copies_meet_once(spark, documents, monkeypatch):
+    """Candidates between components: once for a pair, whatever cells it shares, and the best few of two components."""
+    emitted = spark.sparkContext.accumulator(0)
+    real = sj._leaf_pairs
+
+    def counting(*args):
+        def pairs(batches):
+            for batch in real(*args)(batches):
+                emitted.add(batch.num_rows)
+                yield batch
+
+        return pairs
+
+    monkeypatch.setattr(sj, "_leaf_pairs", counting)
+    monkeypatch.setattr(sj, "_stars", lambda cells: cells.select("low", "low").toDF("low_a", "low_b").limit(0))  # leaves do the whole work
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for i in range(240):
+        words = list(base)
+        for k in range(rng.choice([1, 2, 2, 3])):
+            words[rng.randrange(120)] = f"x{i}_{k}"
+        texts.append(" ".join(words))
+    rows = list(enumerate(texts))
+    got = sj.near_duplicates(documents([(i, t, "en", "s") for i, t in rows]).repartition(5))
+    assert sorted(map(tuple, got.collect()), key=repr) == _brute(rows)
+    assert emitted.value < 240 * 239 / 4  # before, pairs came once for each of the two dozen cells they share
+
+
+def test_held_back_pairs_are_looked_at_again(documents, monkeypatch):
+    """Whatever the few pairs tried first, the result is that of all pairs."""
+    monkeypatch.setattr(sj, "BEST", 1)
+    monkeypatch.setattr(sj, "_fine_overlap", lambda a, b: np.full(len(a), 1 << 20))  # bounds that tell nothing: the wrong pairs come first
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(100)]
+    texts = [" ".join(_near(rng, base, rng.randint(1, 4))) for _ in range(150)]
+    rows = list(enumerate(texts))
+    got = sj.near_duplicates(documents([(i, t, "en", "s") for i, t in rows]))
+    assert sorted(map(tuple, got.collect()), key=repr) == _brute(rows)
+
+
+def test_earlier_cell_and_best_pairs():
+    top = np.iinfo(np.int64).max
+    a = np.array([[1, 5, top], [5, 9, top], [2, top, top], [-7, 5, 9]])
+    b = np.array([[5, top, top], [1, 5, top], [3, top, top], [-7, 2, 9]])
+    assert sj._met_before(a, b, np.array([9, 5, 4, top])).tolist() == [True, False, False, True]
+    assert sj._beyond(np.array([1, 2, 1, 3]), np.array([2, 1, 2, 1]), np.array([0.5, 0.9, 0.7, 0.1]), 2).tolist() == [True, False, False, False]
