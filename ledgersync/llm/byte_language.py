@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgersync.llm.common import table
+from ledgersync.llm.common import forget_kept, table
 
 HIDDEN = 12
 WINDOW = 120  # characters of a training window
@@ -214,6 +214,7 @@ def fit(docs: DataFrame, per_language: int = 800) -> Network | None:
 
 def _pooled(net: Network, texts: list[str]) -> np.ndarray:
     """(texts, languages): mean probabilities over all bytes of each text."""
+    forget_kept()
     data = [t.encode() for t in texts]
     owner, pieces = [], []
     for k, d in enumerate(data):

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgersync.llm.common import table
+from ledgersync.llm.common import kept_in_worker, table
 
 SPACE = "▁"
 KNOWN = 600_000  # entries of a worker's table of words
@@ -292,14 +292,9 @@ class Pieces:
         return text[1:] if text.startswith(" ") else text
 
 
-_LOADED: dict[str, Pieces] = {}
-
-
 def pieces(model_file: str) -> Pieces:
     """The worker's vocabulary; it outlives a task."""
-    if model_file not in _LOADED:
-        _LOADED[model_file] = Pieces(model_file)
-    return _LOADED[model_file]
+    return kept_in_worker(f"pieces of {model_file}", lambda: Pieces(model_file))
 
 
 def encode_documents(docs: DataFrame, model_file: str) -> DataFrame:

@@ -121,3 +121,18 @@ def test_all_documents_and_hostile_rows(spark, sf_dir, documents, vocabulary):
     back = decode_documents(encode_documents(df, MODEL), MODEL).collect()
     assert sorted(r.text for r in back) == sorted([t or "" for t in rows] + ["q"])
     assert digests(df.limit(0), MODEL).count() == 0
+
+
+def test_workers_keep_the_table_of_one_stage():
+    import pyarrow as pa
+    import public_tokenizers
+
+    from ledgersync.llm import byte_language, common, pieces, shingle_join
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    assert pieces.pieces(model) is pieces.pieces(model)  # outlives a task
+    list(shingle_join._sets(iter([pa.RecordBatch.from_pydict({"text": ["a b c"]})]), 5))
+    assert not common._kept
+    pieces.pieces(model)
+    byte_language._pooled(byte_language.Network.fresh(["en", "fr"], 0), ["words"])
+    assert not common._kept
