@@ -2,19 +2,19 @@
 
 The vocabulary, its scores and its type come from a model file. A unigram model's ids are the pieces with the greatest
 sum of scores. A BPE model's scores are ranks of merges: of all neighbours whose union is a piece, those with the best
-one are merged, the leftmost first, until none are left. A short text is merged so. In a longer one every beginning has
-one last piece: the one that, joined to the last piece before it, is merged to just these two. (No merge crosses a
-boundary of the result, so any neighbours in it are merged alone as within the text; and the first merge across
-a boundary would also be made by the two pieces alone.) So beginnings point back to shorter ones, as in the search for
-sums.
+one are merged, the leftmost first, until none are left. So every beginning of a text has one last piece: the one that,
+joined to the last piece before it, is merged to just these two. (No merge crosses a boundary of the result, so any
+neighbours in it are merged alone as within the text; and the first merge across a boundary would also be made by the two
+pieces alone.) So beginnings point back to shorter ones, as in the search for sums.
 
 Either search keeps backpointers only for a window behind the reading position. No piece is longer than the longest one
 of the vocabulary, so the live ends lie within that length; when the paths of all live ends run through one boundary,
 nothing after it can change what lies before, and the ids up to it are committed and forgotten. Word starts are such
 boundaries in vocabularies whose pieces have no space but at their start, so words may be searched one by one, and
-a worker keeps the ids of words it has met, in a table of bounded size.
+a worker keeps the ids of words it has met, in tables of bounded size: a full one becomes the older one, from which words
+met again move on.
 
-Scale: map-only; texts don't move. Memory beside the text and its ids is the window and the table.
+Scale: map-only; texts don't move. Memory beside the text and its ids is the window and the tables.
 
 Defined results: a null or empty text has no ids and decodes to ''; characters without a piece become the ids of their
 bytes; of equal sums the path whose pieces end with the longer one wins; control ids decode to nothing. A text with
@@ -28,6 +28,7 @@ from __future__ import annotations
 import re
 import struct
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 from math import inf
 
 import numpy as np
@@ -38,7 +39,10 @@ from pyspark.sql import functions as F
 from ledgersync.llm.common import kept_in_worker, table
 
 SPACE = "▁"
-KNOWN = 600_000  # entries of a worker's table of words
+KNOWN = 150_000  # entries of a worker's table of words, and of the one before it
+NEIGHBOURS, BEGINNINGS = 150_000, 100_000  # entries of its tables of pieces side by side, and of last pieces
+BEGINNING = 6  # characters
+DEPTH = 200  # pieces that are looked up one for another
 LONGEST_KNOWN = 48
 UNIGRAM, BPE = 1, 2  # the format's numbers of model types
 _NO = (-inf, -1)
@@ -83,8 +87,7 @@ class Pieces:
         self.type = model_type(model.serialized_model_proto())
         if self.type not in (UNIGRAM, BPE) or (self.type == BPE and any(map(model.is_unused, range(model.get_piece_size())))):
             raise ValueError(f"{model_file}: neither a unigram model nor a BPE model without unused pieces")
-        self.trie: dict = {}
-        self.back: dict = {}  # the pieces read from their ends
+        self.back: dict = {}  # the pieces read from their ends, for merges
         self.merges: dict[str, tuple[float, int]] = {}
         self.byte_id = [0] * 256
         self.plain: list[bytes] = []  # what an id decodes to
@@ -97,25 +100,35 @@ class Pieces:
             elif model.is_control(i) or model.is_unknown(i) or model.is_unused(i):
                 self.plain.append(b"")
             else:
-                node = self.trie
-                for c in piece:
-                    node = node.setdefault(c, {})
-                node[""] = (i, model.get_score(i))
-                node = self.back
-                for c in reversed(piece):
-                    node = node.setdefault(c, {})
-                node[""] = piece
+                if self.type == BPE:
+                    node = self.back
+                    for c in reversed(piece):
+                        node = node.setdefault(c, {})
+                    node[""] = piece
                 self.merges[piece] = (model.get_score(i), i)
                 scores.append(model.get_score(i))
                 self.longest = max(self.longest, len(piece))
-                inner.update(zip(piece, piece[1:], strict=False))
+                inner.update(piece[k : k + 2] for k in range(len(piece) - 1))
                 self.plain.append(piece.replace(SPACE, " ").encode())
         self.unknown = min(scores) - 10.0
         # no piece runs over the start of a word or a line end
         self.by_word = not any((b == SPACE and a != SPACE) or "\n" in (a, b) for a, b in inner)
         self.inner = frozenset(inner)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # the table of words before this one
         self.neighbours: dict[tuple[str, str], bool] = {}
+        self.beginnings: dict[str, str] = {}  # last pieces of short beginnings
+
+    @cached_property
+    def trie(self) -> dict:
+        """The pieces read from their starts, for sums."""
+        trie: dict = {}
+        for piece, (score, i) in self.merges.items():
+            node = trie
+            for c in piece:
+                node = node.setdefault(c, {})
+            node[""] = (i, score)
+        return trie
 
     def arcs(self, text: str, i: int) -> list[tuple[int, float, int | None]]:
         """(end, score, id) of the pieces that start at ``i``; id None for a character without piece."""
@@ -202,42 +215,70 @@ class Pieces:
 
     def _stay(self, a: str, b: str) -> bool:
         """Whether merging leaves ``a`` and ``b`` apart, each as one piece; ``a`` is empty at the start of a text."""
-        found = self.neighbours.get((a, b))
-        if found is None:
-            if len(self.neighbours) >= KNOWN:
-                self.neighbours.clear()
-            found = self.neighbours[a, b] = self.merged(a + b) == ([a, b] if a else [b])
+        if len(self.neighbours) >= NEIGHBOURS:
+            self.neighbours.clear()
+        found = self.neighbours[a, b] = self.merged(a + b) == ([a, b] if a else [b])
         return found
 
+    def _last(self, text: str, last: dict[int, str], done: int, end: int) -> str:
+        """The last piece of ``text[:end]``; ``last`` keeps those found, by their ends, and has the one that ends at ``done``."""
+        short = not done and end <= BEGINNING  # many words begin alike
+        if short and (p := self.beginnings.get(text[:end])):
+            last[end] = p
+            return p
+        node, found = self.back, [text[end - 1]]
+        for c in text[max(done, end - self.longest) : end][::-1]:
+            node = node.get(c)
+            if node is None:
+                break
+            if "" in node:
+                found.append(node[""])
+        while True:
+            p = found.pop()
+            at = end - len(p)
+            before = last[at] if at in last else self._last(text, last, done, at)
+            stay = self.neighbours.get((before, p))
+            if self._stay(before, p) if stay is None else stay:
+                break
+        last[end] = p
+        if short:
+            if len(self.beginnings) >= BEGINNINGS:
+                self.beginnings.clear()
+            self.beginnings[text[:end]] = p
+        return p
+
     def stream_merged(self, text: str) -> Iterator[list[int]]:
-        """Yields the ids that BPE merges leave of ``text`` as soon as they are certain."""
-        # the last piece of each beginning of the text that ends after the last commit
-        last, done, longest, look = [""], 0, self.longest, 2 * self.longest
-        for end in range(1, len(text) + 1):
-            node, found = self.back, [text[end - 1]]
-            for at in range(end - 1, max(done, end - longest) - 1, -1):
-                node = node.get(text[at])
-                if node is None:
-                    break
-                if "" in node and at < end - 1:
-                    found.append(node[""])
-            last.append(next(p for p in reversed(found) if self._stay(last[end - len(p) - done], p)))
-            if end == len(text) or end >= look:
-                live = {end} if end == len(text) else set(range(max(done, end - longest + 1), end + 1))
+        """Yields the ids that BPE merges leave of ``text`` as soon as they are certain.
+
+        Of a text within the first window, only the beginnings that its own path asks for are looked at.
+        """
+        last, done, end, longest = {0: ""}, 0, 0, self.longest
+        while end < len(text):
+            before, end = end, min(len(text), end + max(longest, (end - done) // 2) if end else 2 * longest)
+            if before or end < len(text) or end > DEPTH:
+                for at in range(before + 1, end + 1):
+                    if at not in last:
+                        self._last(text, last, done, at)
+            meet = end
+            if end < len(text):
+                live = set(range(max(done, end - longest + 1), end + 1))
                 while len(live) > 1:  # follow the latest end back until all paths meet
                     at = max(live)
                     live.remove(at)
-                    live.add(at - len(last[at - done]))
+                    live.add(at - len(last[at]))
                 meet = live.pop()
-                if meet > done:
-                    pieces, at = [], meet
-                    while at > done:
-                        pieces.append(last[at - done])
-                        at -= len(pieces[-1])
-                    yield self._ids(reversed(pieces))
-                    del last[: meet - done]
-                    done = meet
-                look = end + max(longest, (end - done) // 2)
+            if meet > done:
+                pieces, at = [], meet
+                while at > done:
+                    p = last[at] if at in last else self._last(text, last, done, at)
+                    pieces.append(p)
+                    at -= len(p)
+                pieces.reverse()
+                yield self._ids(pieces)
+                if meet < len(text):
+                    for at in range(done, meet):
+                        last.pop(at, None)
+                done = meet
 
     def _ids(self, pieces: Iterable[str]) -> list[int]:
         ids: list[int] = []
@@ -250,8 +291,9 @@ class Pieces:
 
     def _apart(self, chunk: str) -> list[str]:
         """``chunk`` cut where no piece of the vocabulary can run across."""
-        cuts = [0, *(k for k, pair in enumerate(zip(chunk, chunk[1:], strict=False), 1) if pair not in self.inner), len(chunk)]
-        return [chunk[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        inner = self.inner
+        cuts = [k for k in range(1, len(chunk)) if chunk[k - 1 : k + 1] not in inner]
+        return [chunk[a:b] for a, b in zip([0, *cuts], [*cuts, len(chunk)], strict=True)] if cuts else [chunk]
 
     def search(self, text: str) -> Iterator[list[int]]:
         """Yields ids of ``text`` by the search of the model's type."""
@@ -261,19 +303,30 @@ class Pieces:
         ids = [i for some in self.search(part) for i in some]
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def _word(self, word: str) -> bytes | None:
+        """The ids of a word met before."""
+        found = self.known.get(word)
+        if found is None and (found := self.older.get(word)) is not None:
+            self.known[word] = found
+        return found
+
     def _chunk(self, chunk: str) -> bytes:
         if len(self.known) >= KNOWN:
-            self.known.clear()
-        parts = self._apart(chunk)
-        for part in parts:
-            if part not in self.known:
-                found = self._search(part)
-                if len(part) > LONGEST_KNOWN:
-                    return b"".join([self.known.get(p) or self._search(p) for p in parts])
-                self.known[part] = found
-        ids = b"".join([self.known[p] for p in parts])
-        if len(parts) > 1 and len(chunk) <= LONGEST_KNOWN:
-            self.known[chunk] = ids
+            self.older, self.known = self.known, {}
+        ids = self._word(chunk)
+        if ids is None:
+            parts = self._apart(chunk)
+            found = []
+            for part in parts:
+                of_part = self._word(part) if len(parts) > 1 else None
+                if of_part is None:
+                    of_part = self._search(part)
+                    if len(part) <= LONGEST_KNOWN:
+                        self.known[part] = of_part
+                found.append(of_part)
+            ids = b"".join(found)
+            if len(chunk) <= LONGEST_KNOWN:
+                self.known[chunk] = ids
         return ids
 
     def encode(self, text: str | None) -> bytes:

@@ -44,3 +44,25 @@ def test_hostile_texts_and_the_stream_against_the_library():
 def test_window_of_merges_stays_bounded():
     parts = list(Pieces(MODEL).stream_merged(SPACE + "abandonedinterest" * 3000))
     assert len(parts) > 500 and max(map(len, parts)) < 200
+
+
+def test_beginnings_off_the_path_are_not_looked_at():
+    ours = Pieces(MODEL)
+    word = SPACE + "internationalisation"
+    assert [i for some in ours.stream_merged(word) for i in some] == SentencePieceProcessor(model_file=MODEL).encode(word[1:])
+    assert len(ours.neighbours) < len(word) // 2
+
+
+def test_frequent_words_outlive_a_full_table(monkeypatch):
+    from ledgersync.llm import pieces
+
+    monkeypatch.setattr(pieces, "KNOWN", 100)
+    ours, searched = Pieces(MODEL), []
+    search = ours._search
+    monkeypatch.setattr(ours, "_search", lambda part: searched.append(part) or search(part))
+    library, rng = SentencePieceProcessor(model_file=MODEL), random.Random(2)
+    for _ in range(60):
+        text = " ".join(w for _ in range(10) for w in ("the", "".join(rng.choices("etaoin", k=8))))
+        assert _ids(ours.encode(text)) == library.encode(text)
+    assert searched.count(SPACE + "the") == 1 and len(searched) > 500
+    assert len(ours.known) < 200 and sum(len(t) for t in (ours.known, ours.older)) < 400
