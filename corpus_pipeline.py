@@ -56,12 +56,14 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources mixed to their target weights: documents repeated, cut or left out as the schedule takes them.
 
-    A row counts by its content here, so that a rerun over other files of the same rows mixes alike.
+    A row counts by its content here, so that a rerun over other files of the same rows mixes alike. Its text lies outside
+    ``row``, as the mix shuffles what it is given.
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    made = {"text": F.col("text"), "source": F.col("source"), "n_chars": F.char_length("text").cast("long")}
+    rest = [c for c in docs.columns if c not in made]
+    row = F.struct(*[F.col(f"`{c}`") for c in rest])
     mixed = mixed_documents(docs.select(row.alias("row"), F.xxhash64("doc_id", "text", "source").alias("doc_id"), "text", "source"))
-    made = {"text": F.col("text"), "n_chars": F.char_length("text").cast("long")}
-    return mixed.select(*[made.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    return mixed.select(*[made[c].alias(c) if c in made else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

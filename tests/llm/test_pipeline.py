@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -102,3 +103,10 @@ def test_batches_bounded_by_bytes(spark):
             assert int(spark.conf.get(key).rstrip("b")) == wanted
     finally:
         spark.conf.set(key, before)
+
+
+def test_mix_shuffles_texts_once(spark, documents):
+    mixed = cp.mix_stage(spark, documents([(i, f"some words {i}", "en", "s") for i in range(20)]), "")
+    plan = mixed._jdf.queryExecution().optimizedPlan().toString()
+    rows = re.findall(r"struct\(([^)]*)\) AS row#", plan)
+    assert rows and all("doc_id" in r and "text" not in r for r in rows)
