@@ -115,6 +115,15 @@ class Plain(StarCatalog):
         return stored(super()._declared(name), name)
 
 
+def test_listed_equipment_is_joined_up_once(spark, sf_dir, monkeypatch):
+    names, real = [], equipment.stored
+    monkeypatch.setattr(equipment, "stored", lambda df, name: names.append((name, df.columns)) or real(df, name))
+    plan = plan_of(equipment.equipment_changes(StarCatalog(spark, sf_dir), WEEK))
+    assert "l_partkey" not in plan  # of the serial numbers, which the stored rows hold
+    held = dict(names)
+    assert {"serial_number", "contract_item_oid"} <= set(held["equipment-rows"]) and "bill_to_location_oid" not in held["equipment-rows"]
+
+
 @pytest.mark.parametrize("build", [schedules.scheduled_billables_changes, schedules.total_payments_changes, equipment.equipment_changes])
 def test_changes_group_only_affected_rows(spark, sf_dir, build):
     codes = ("data_value", "table_key")  # the code table
