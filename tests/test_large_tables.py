@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -12,6 +13,10 @@ from ledgersync.checks.harness import AS_OF
 from ledgersync.operators import joins
 from ledgersync.operators import sync as R
 from ledgersync.plans import accounting, equipment, payments, schedules, tax
+from ledgersync.registry import OBJECTS
+from ledgersync.session import scratch_path, stored
+from ledgersync.sources.folders import names_below
+from ledgersync.sources.sink import write_upsert_batch
 from ledgersync.sources.star import StarCatalog
 
 
@@ -94,3 +99,52 @@ def test_ledger_buckets_shuffle_narrow_rows(spark, sf_dir, no_broadcast):
     plan = plan_of(accounting.contract_ledger(StarCatalog(spark, sf_dir), AS_OF)).split("Initial Plan")[-1]
     shuffles = [line for line in plan.splitlines() if "hashpartitioning(contract_oid" in line]
     assert len(shuffles) == 1 and "REPARTITION_BY_COL" in shuffles[0]
+
+
+def _collectors(spark, rows):
+    spec = OBJECTS["collector"]
+    return spark.createDataFrame([(k, *[text] * (len(spec.columns) - 1)) for k, text in rows], ", ".join(["contract_oid long", *[f"{c} string" for c in spec.columns[1:]]]))
+
+
+def test_published_rows_are_written_once(spark, tmp_path):
+    scratch = scratch_path(spark, "x").rsplit("/", 1)[0]
+    before = names_below(spark, scratch, "upsert-source")
+    out = write_upsert_batch(_collectors(spark, [(1, "a"), (2, "b")]), "collector", "contract_oid", str(tmp_path), "b1")
+    assert spark.read.parquet(out).count() == 2 and names_below(spark, scratch, "upsert-source") == before
+    assert names_below(spark, str(tmp_path / "object=collector"), "") == ["batch=b1"]
+
+
+@pytest.mark.parametrize("bad", [[(1, "c"), (1, "d")], [(None, "c")]])
+def test_refused_batch_leaves_the_one_before(spark, tmp_path, bad):
+    out = write_upsert_batch(_collectors(spark, [(1, "a"), (2, "b")]), "collector", "contract_oid", str(tmp_path), "b1")
+    with pytest.raises(Exception, match="source row"):
+        write_upsert_batch(_collectors(spark, bad), "collector", "contract_oid", str(tmp_path), "b1")
+    assert spark.read.parquet(out).count() == 2 and names_below(spark, str(tmp_path / "object=collector"), "") == ["batch=b1"]
+    write_upsert_batch(_collectors(spark, [(3, "a")]), "collector", "contract_oid", str(tmp_path), "b1")
+    assert spark.read.parquet(out).count() == 1
+
+
+def test_stored_rows_give_back_their_shuffles(spark):
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for i in range(found.size()) if (name := found.apply(i).getName()).startswith("shuffle_")}
+
+    before = files()
+    assert len(stored(spark.range(1000).repartition(4, "id"), "given-back").collect()) == 1000  # which shuffles nothing itself
+    until = time.time() + 20
+    while (left := files() - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) in (None, "false")
+
+
+@pytest.mark.parametrize("on_null_key", ["insert", "error"])
+def test_failing_key_check_shuffles_rows_once(spark, no_broadcast, on_null_key):
+    source = spark.createDataFrame([(i, i * 2) for i in range(100)], "k long, b long")
+    plan = plan_of(R.one_row_per_key(source, "k", "error", on_null_key))
+    assert plan.count("Exchange hashpartitioning") == 1
+    target = spark.createDataFrame([(1, 0), (None, 0)], "k long, b long")
+    if on_null_key == "insert":
+        assert plan_of(R.merge_upsert(target, source, "k")).count("Exchange hashpartitioning") == 2
+        keyless = source.unionByName(spark.createDataFrame([(None, 7), (None, 7)], "k long, b long"))
+        assert R.merge_upsert(target, keyless, "k").count() == 103
