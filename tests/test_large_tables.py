@@ -12,7 +12,7 @@ from ledgersync.checks import change_checks
 from ledgersync.checks.harness import AS_OF
 from ledgersync.operators import joins
 from ledgersync.operators import sync as R
-from ledgersync.plans import accounting, equipment, payments, schedules, tax
+from ledgersync.plans import accounting, contracts, equipment, payments, schedules, tax
 from ledgersync.registry import OBJECTS
 from ledgersync.session import scratch_path, stored
 from ledgersync.sources.folders import names_below
@@ -148,3 +148,10 @@ def test_failing_key_check_shuffles_rows_once(spark, no_broadcast, on_null_key):
         assert plan_of(R.merge_upsert(target, source, "k")).count("Exchange hashpartitioning") == 2
         keyless = source.unionByName(spark.createDataFrame([(None, 7), (None, 7)], "k long, b long"))
         assert R.merge_upsert(target, keyless, "k").count() == 103
+
+
+def test_wide_columns_of_a_party_join_last(spark, sf_dir, monkeypatch):
+    real, met = contracts.with_opportunity, []
+    monkeypatch.setattr(contracts, "with_opportunity", lambda df, *args, **kw: met.append(df.columns) or real(df, *args, **kw))
+    contracts.customers(StarCatalog(spark, sf_dir))
+    assert len(met) == 1 and "legal_name" not in met[0] and "entity_oid" in met[0]
