@@ -27,7 +27,7 @@ from ledgersync.plans import amortization as am
 from ledgersync.plans import banking, contracts, delinquency, equipment, invoices, journal, notes, payments, schedules, tax
 from ledgersync.operators.sets import union_arms
 from ledgersync.registry import OBJECTS, PUBLISHED
-from ledgersync.session import scratch_path
+from ledgersync.session import scratch_path, stored
 from ledgersync.sources.sink import publish_all
 from ledgersync.sources.star import StarCatalog
 
@@ -173,11 +173,11 @@ def _stored(cat: StarCatalog) -> DataFrame:
 plans.add("p01_accounting_snapshot", _ACC_SCHEMA, lambda c: acc.accounting(c, AS_OF), f"{_DELIVERED} FROM ({accounting_sql(AS_OF)}) AS q")
 plans.add("p01_accounting_changes", _ACC_SCHEMA, lambda c: acc.accounting(c, AS_OF, _stored(c)), _CHANGES)
 def _merged_accounting(cat: StarCatalog) -> DataFrame:
-    """The stored snapshot is a table, as it is downstream: compared with and merged into."""
-    path = scratch_path(cat.spark, "stored-accounting")
-    _stored(cat).write.parquet(path)
-    stored = cat.spark.read.parquet(path)
-    return merge_object(stored, acc.accounting(cat, AS_OF, stored), OBJECTS["accounting"])
+    """The stored snapshot is a table, as it is downstream: compared with and merged into. So are the account ids, read for both dates."""
+    ids = "general_ledger_account_id"
+    cat = StarCatalog(cat.spark, cat.root, overrides={**cat.overrides, ids: stored(cat.read(ids), "account-ids")})
+    held = stored(_stored(cat), "stored-accounting")
+    return merge_object(held, acc.accounting(cat, AS_OF, held), OBJECTS["accounting"])
 
 
 plans.add(

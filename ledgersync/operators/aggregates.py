@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -63,12 +64,29 @@ class Bucket:
         return F.expr(f"{text if self.default is None else f'COALESCE({text}, {self.default})'} AS {self.name}")
 
 
-def _outside_null(column: str, named: Sequence[tuple | None]) -> Column:
-    """``column`` with codes that no bucket tells apart as NULL; as it is where a bucket doesn't say."""
-    if any(n is None for n in named):
-        return F.col(column)
-    codes = sorted({c for n in named if n for c in n})
-    return F.expr(f"IF({column} IN ({_codes(codes)}), {column}, NULL) AS {column}" if codes else f"CAST(NULL AS STRING) AS {column}")
+def _named(named: Sequence[tuple | None]) -> list | None:
+    """The codes that some bucket tells apart; None where a bucket doesn't say."""
+    return None if any(n is None for n in named) else sorted({c for n in named for c in n})
+
+
+def _literals(values: Sequence[int | str]) -> list[str]:
+    return [f"'{v}'" if isinstance(v, str) else f"{v}L" for v in values]
+
+
+def _packed(places: Mapping[str, tuple[str, list[str], str]]) -> tuple[Column, list[Column]]:
+    """Several columns of few values as one number ``__cell``, and the columns it stands for.
+
+    ``places`` gives a column's SQL expression, its values as SQL text and their type; any other value, NULL too, is NULL.
+    """
+    cell, unpacked, below = "0L", [], math.prod(len(values) + 1 for _, values, _ in places.values())
+    for name, (text, values, kind) in places.items():
+        below, n = below // (len(values) + 1), len(values) + 1
+        if values:
+            cases = " ".join(f"WHEN {v} THEN {i * below}L" for i, v in enumerate(values, 1))
+            cell += f" + CASE {text} {cases} ELSE 0L END"
+        known = ", ".join([f"CAST(NULL AS {kind})", *values])
+        unpacked.append(F.expr(f"element_at(array({known}), CAST(__cell DIV {below} % {n} + 1 AS INT)) AS {name}"))
+    return F.expr(f"{cell} AS __cell"), unpacked
 
 
 # Debit plus credit (credits are stored negative).
@@ -133,13 +151,15 @@ def ledger_buckets(
     adds row counts under the given conditions.
     """
     flags, counts = flags or {}, counts or {}
-    named = [F.expr(f"{c} AS {n}") for n, c in flags.items()]
-    # accounts and processes outside every bucket become NULL first, so that their rows fall together
-    account, process = _outside_null("account_id", [b.accounts for b in buckets]), _outside_null("process_oid", [b.processes for b in buckets])
-    reduced = gl.groupBy("general_ledger_account_id_oid", account, process, *named).agg(
+    # Accounts and processes outside every bucket become NULL, so that their rows fall together; what is told apart travels as one number.
+    codes = {"account_id": _named([b.accounts for b in buckets]), "process_oid": _named([b.processes for b in buckets])}
+    places = {n: (n, _literals(values), "BIGINT" if n == "process_oid" and values else "STRING") for n, values in codes.items() if values is not None}
+    cell, unpacked = _packed(places | {n: (f"({c})", ["FALSE", "TRUE"], "BOOLEAN") for n, c in flags.items()})
+    told = [n for n, values in codes.items() if values is None]
+    reduced = gl.groupBy("general_ledger_account_id_oid", cell, *told).agg(
         F.expr(f"SUM({LEDGER_AMOUNT}) AS amount"), F.expr("COUNT(1) AS ledger_rows")
     )
-    return spread_buckets(reduced, account_ids, buckets, counts)
+    return spread_buckets(reduced, account_ids, buckets, counts, unpacked)
 
 
 def contracts_of(account_ids: DataFrame) -> DataFrame:
@@ -147,11 +167,16 @@ def contracts_of(account_ids: DataFrame) -> DataFrame:
     return account_ids.select("general_ledger_account_id_oid", "contract_oid").filter("contract_oid IS NOT NULL")
 
 
-def spread_buckets(reduced: DataFrame, account_ids: DataFrame, buckets: Sequence[Bucket], counts: Mapping[str, str] | None = None) -> DataFrame:
-    """Bucket sums per contract from a ledger already reduced to amounts per account id, account, process and flags."""
+def spread_buckets(
+    reduced: DataFrame, account_ids: DataFrame, buckets: Sequence[Bucket], counts: Mapping[str, str] | None = None, unpacked: Sequence[Column] = ()
+) -> DataFrame:
+    """Bucket sums per contract from a ledger already reduced to amounts per account id, account, process and flags.
+
+    ``unpacked`` are columns made of the reduced ones once the rows lie by contract.
+    """
     joined = reduced.join(contracts_of(account_ids), "general_ledger_account_id_oid").drop("general_ledger_account_id_oid")
     # Laid out by contract as the narrow rows they are: they are reduced already, and partial sums would send every bucket of each.
-    joined = joined.repartition("contract_oid")
+    joined = joined.repartition("contract_oid").select("*", *unpacked)
     row_counts = [F.expr(f"COALESCE(SUM(CASE WHEN {c} THEN ledger_rows END), 0) AS {n}") for n, c in (counts or {}).items()]
     return bucket_sums(joined, ["contract_oid"], "amount", buckets, *row_counts)
 
@@ -211,8 +236,11 @@ def oldest_unpaid_by(
         payments.filter(F.col("applied_date") <= now).groupBy("invoice_detail_oid").agg(F.sum("applied_amount").alias("paid"))
     )
     d = details.filter((F.col("due_date") <= now) & F.col("transaction_code_oid").isin(*codes) & state.isNotNull())
+    # Laid out by invoice as the narrow rows they are: the lines of an invoice are few, and its dates meet again in the window.
+    lines = d.join(paid, "invoice_detail_oid", "left")
+    lines = lines.select("contract_oid", "invoice_header_oid", "due_date", "open_closed_oid", "original_due_amount", "paid")
     per_date = (
-        d.join(paid, "invoice_detail_oid", "left")
+        lines.repartition("contract_oid", "invoice_header_oid")
         .groupBy("contract_oid", "invoice_header_oid", "due_date")
         .agg(
             F.sum(F.when(~state.isin(*paid_excluded), F.col("paid"))).alias("paid"),

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import time
 from datetime import datetime, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgersync.checks import change_checks
 from ledgersync.checks.harness import AS_OF
+from ledgersync.operators import aggregates as G
 from ledgersync.operators import joins
 from ledgersync.operators import sync as R
 from ledgersync.plans import accounting, contracts, equipment, payments, schedules, tax
@@ -155,3 +157,32 @@ def test_wide_columns_of_a_party_join_last(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(contracts, "with_opportunity", lambda df, *args, **kw: met.append(df.columns) or real(df, *args, **kw))
     contracts.customers(StarCatalog(spark, sf_dir))
     assert len(met) == 1 and "legal_name" not in met[0] and "entity_oid" in met[0]
+
+
+def test_lines_are_laid_out_by_invoice_once(spark, sf_dir, no_broadcast):
+    cat = StarCatalog(spark, sf_dir)
+    oldest = G.oldest_unpaid_by(cat.read("invoice_detail"), cat.read("invoice_payment_history"), AS_OF, {"due": G.CLOSED_STATES})
+    plan = plan_of(oldest).split("Initial Plan")[-1]
+    assert plan.count("hashpartitioning(contract_oid") == 2  # by invoice, then the dates of its contract
+
+
+@pytest.mark.parametrize("told", [True, False])
+def test_packed_ledger_codes_give_the_same_sums(spark, told):
+    accounts, processes = [None, "01-10089", "01-10090", "01-10130", "99"], [None, 20119, 20141, 20143, 7]
+    times = [None, datetime(1999, 1, 1), datetime(2001, 1, 1)]
+    cells = [(a, p, t) for a in accounts for p in processes for t in times]
+    gl = spark.createDataFrame(
+        [(i % 6 if i % 31 else None, a, p, t, Decimal(10**i % 1009) if i % 3 else None, Decimal(-i) if i % 5 else None) for i, (a, p, t) in enumerate(cells * 2)],
+        "general_ledger_account_id_oid long, account_id string, process_oid long, post_date timestamp_ntz, debit decimal(18,2), credit decimal(18,2)",
+    )
+    ids = spark.createDataFrame([(0, 1), (1, 1), (2, 2), (3, None), (4, 3), (5, 4)], "general_ledger_account_id_oid long, contract_oid long")
+    buckets = [*G.snapshot_buckets("posted"), *G.termination_buckets()]
+    if not told:
+        buckets.append(G.Bucket("untold", "account_id = '99' OR process_oid = 7"))
+    posted = f"post_date <= TIMESTAMP_NTZ'{AS_OF}'"
+    reduced = G.ledger_buckets(gl, ids, buckets, {"posted": posted}, {"n": "posted"})
+    rows = gl.withColumn("posted", F.expr(posted)).join(ids.dropna(), "general_ledger_account_id_oid")
+    want = G.bucket_sums(rows, ["contract_oid"], G.LEDGER_AMOUNT, buckets, F.expr("COALESCE(SUM(CASE WHEN posted THEN 1 END), 0) AS n"))
+    assert sorted(map(str, reduced.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    shuffled = [x.split("hashpartitioning(")[1] for x in plan_of(reduced).splitlines() if "hashpartitioning(general_ledger_account_id_oid" in x]
+    assert any(" account_id#" in x for x in shuffled) is not told
