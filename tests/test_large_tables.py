@@ -186,3 +186,14 @@ def test_packed_ledger_codes_give_the_same_sums(spark, told):
     assert sorted(map(str, reduced.select(*want.columns).collect())) == sorted(map(str, want.collect()))
     shuffled = [x.split("hashpartitioning(")[1] for x in plan_of(reduced).splitlines() if "hashpartitioning(general_ledger_account_id_oid" in x]
     assert any(" account_id#" in x for x in shuffled) is not told
+
+
+def test_only_streams_of_wanted_schedules_are_summed(spark, sf_dir, monkeypatch, no_broadcast):
+    cat, real, met = StarCatalog(spark, sf_dir), schedules.schedule_rollup, []
+    monkeypatch.setattr(schedules, "schedule_rollup", lambda streams, *args: met.append(streams) or real(streams, *args))
+    out = schedules.scheduled_billables(cat)
+    wanted, every = out.select("schedule_definition_oid").distinct(), cat.read("payment_stream")
+    assert met[0].count() == every.join(wanted, "schedule_definition_oid", "left_semi").count() < every.count()
+    plan = plan_of(out).split("Initial Plan")[-1]
+    for key in ("payment_stream_oid", "schedule_definition_oid"):  # narrow rows, no partial sums
+        assert any(f"hashpartitioning({key}" in x and "REPARTITION_BY_COL" in x for x in plan.splitlines())
