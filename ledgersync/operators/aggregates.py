@@ -82,8 +82,10 @@ def _packed(places: Mapping[str, tuple[str, list[str], str]]) -> tuple[Column, l
     for name, (text, values, kind) in places.items():
         below, n = below // (len(values) + 1), len(values) + 1
         if values:
-            cases = " ".join(f"WHEN {v} THEN {i * below}L" for i, v in enumerate(values, 1))
-            cell += f" + CASE {text} {cases} ELSE 0L END"
+            place = "0L"
+            for i, v in enumerate(values, 1):
+                place = f"IF({text} = {v}, {i * below}L, {place})"
+            cell += f" + {place}"
         known = ", ".join([f"CAST(NULL AS {kind})", *values])
         unpacked.append(F.expr(f"element_at(array({known}), CAST(__cell DIV {below} % {n} + 1 AS INT)) AS {name}"))
     return F.expr(f"{cell} AS __cell"), unpacked
